@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import url_filter
+from . import near_dedup, url_filter
 
 
 def queries() -> dict:
     """Query name -> callable(spark, sf_dir)."""
     return {
+        "op3_near_duplicates": near_dedup.op3_near_duplicates,
         "op4_url_filter": url_filter.op4_url_filter,
     }
 

@@ -13,9 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bloom import probe
 from .common import table
 
-WORDS = 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # The rules (verdict, host, path) of the url contract.
@@ -50,21 +50,6 @@ def rule_column(rules: Sequence[tuple[str, str, str]], host: Column, path: Colum
     return out
 
 
-def _bits(key: Column) -> list[Column]:
-    h = F.xxhash64(key, F.lit(1))
-    return [F.call_function("shiftleft", F.lit(1).cast("long"), (F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63))).cast("int")) for i in range(WORDS)]
-
-
-def _block(key: Column, n_blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(n_blocks)).cast("int")
-
-
-def bloom(keys: DataFrame, key: str, n_blocks: int) -> DataFrame:
-    """(block, w0..w7): the blocked Bloom filter of a column; n_blocks rows at most."""
-    cols = [_block(F.col(key), n_blocks).alias("_block"), *(b.alias(f"_w{i}") for i, b in enumerate(_bits(F.col(key))))]
-    return keys.where(F.col(key).isNotNull()).select(*cols).groupBy("_block").agg(*(F.bit_or(f"_w{i}").alias(f"_w{i}") for i in range(WORDS)))
-
-
 def judge_urls(
     pages: DataFrame,
     listed: DataFrame,
@@ -90,13 +75,7 @@ def judge_urls(
     )
     lh, lp = url_parts(F.col("url"))
     keys = listed.select(canonical(lh, lp).alias("_lkey")).where("_lkey is not null").distinct()
-    # bounded: n_blocks rows of 68 bytes
-    probed = (
-        base.withColumn("_b", _block(F.col("_key"), n_blocks))
-        .join(F.broadcast(bloom(keys, "_lkey", n_blocks)), F.col("_b") == F.col("_block"), "left")
-        .withColumn("_maybe", F.coalesce(F.reduce(F.array(*[(F.col(f"_w{i}").bitwiseAND(b) == b) for i, b in enumerate(_bits(F.col("_key")))]), F.lit(True), lambda a, x: a & x), F.lit(False)))
-        .drop("_b", "_block", *(f"_w{i}" for i in range(WORDS)))
-    )
+    probed = probe(base, "_key", keys, "_lkey", n_blocks, "_maybe")
     sure = probed.where(~F.col("_maybe")).withColumn("_hit", F.lit(False))
     exact = probed.where("_maybe").join(keys.withColumn("_in", F.lit(True)), F.col("_key") == F.col("_lkey"), "left").withColumn("_hit", F.coalesce("_in", F.lit(False))).drop("_lkey", "_in")
     return sure.unionByName(exact).select(
