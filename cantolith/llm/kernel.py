@@ -62,14 +62,14 @@ def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = WORD) -> t
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, A-Z lower-cased."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = BYTE) -> np.ndarray:
+    """A 64-bit hash of the bytes from each start to its end; BYTE makes A-Z lower-case."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     power, inverse = powers(len(data) + 1)
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(BYTE[data] * power[: len(data)], out=sums[1:])
+    np.cumsum(values[data] * power[: len(data)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import near_dedup, url_filter
+from . import near_dedup, substring_dedup, url_filter
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
     return {
         "op3_near_duplicates": near_dedup.op3_near_duplicates,
         "op4_url_filter": url_filter.op4_url_filter,
+        "op10_substring_dedup": substring_dedup.op10_substring_dedup,
     }
 
 
