@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import near_dedup, substring_dedup, url_filter
+from . import license_scan, near_dedup, substring_dedup, url_filter
 
 
 def queries() -> dict:
     """Query name -> callable(spark, sf_dir)."""
     return {
+        "op1_license_scan": license_scan.op1_license_scan,
         "op3_near_duplicates": near_dedup.op3_near_duplicates,
         "op4_url_filter": url_filter.op4_url_filter,
         "op10_substring_dedup": substring_dedup.op10_substring_dedup,
