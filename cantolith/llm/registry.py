@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license_scan, near_dedup, substring_dedup, url_filter
+from . import license_scan, near_dedup, substring_dedup, token_count, url_filter
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op1_license_scan": license_scan.op1_license_scan,
         "op3_near_duplicates": near_dedup.op3_near_duplicates,
         "op4_url_filter": url_filter.op4_url_filter,
+        "op5_token_counts": token_count.op5_token_counts,
         "op10_substring_dedup": substring_dedup.op10_substring_dedup,
     }
 
