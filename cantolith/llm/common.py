@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one call of a numpy kernel takes; a longer document is taken alone.
 KERNEL_BYTES = 1 << 20
+#: Rows of a batch between Spark and Python.
+BATCH_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +39,18 @@ def durable(df: DataFrame) -> DataFrame:
         kept.unpersist()
 
 
+def in_batches(df: DataFrame, kernel, schema: str) -> DataFrame:
+    """df put through kernel(iterator of record batches).
+
+    Spark bounds a batch by rows alone and by 10,000 unless told otherwise, which whole texts make
+    too large for an executor; the session's bound is lowered to BATCH_ROWS where it is higher.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df.mapInArrow(kernel, schema)
+
+
 def text_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Tells rows of one doc_id with different texts apart; rows equal in both are one document."""
     return F.xxhash64(F.col(doc_id), F.col(text))

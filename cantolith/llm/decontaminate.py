@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import durable, pieces, table, utf8
+from .common import durable, in_batches, pieces, table, utf8
 
 #: Length of a q-gram, window and edit budget in characters, width of a band beyond its overlap.
 Q, W, E, BAND = 8, 64, 6, 8
@@ -223,7 +223,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     out = None
     for items in blocks(benchmark, item_id, item_text, size):
         shared = spark.sparkContext.broadcast(Block(items))
-        part = raw.mapInArrow(lambda it, shared=shared: _search(it, shared), schema)
+        part = in_batches(raw, lambda it, shared=shared: _search(it, shared), schema)
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = spark.createDataFrame([], schema)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import pieces, table, utf8
+from .common import in_batches, pieces, table, utf8
 
 # The base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -219,7 +219,7 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     rows and null ids get rows of their own. Other columns are not carried.
     """
     raw = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    out = raw.mapInArrow(_scan, f"id {dict(raw.dtypes)['id']}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<start:bigint,end:bigint,label:string,confidence:double>>")
+    out = in_batches(raw, _scan, f"id {dict(raw.dtypes)['id']}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<start:bigint,end:bigint,label:string,confidence:double>>")
     return out.withColumnRenamed("id", doc_id)
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .bloom import probe
-from .common import durable, pieces, table, utf8
+from .common import durable, in_batches, pieces, table, utf8
 
 #: Bytes that a cut depends on; least and most bytes of a chunk; one place in 2**BITS is a cut.
 WINDOW, LEAST, MOST, BITS = 16, 16, 256, 4
@@ -135,7 +135,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     raw = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     kind = dict(raw.dtypes)["id"]
-    rows = raw.mapInArrow(_rows, f"id {kind}, place long, digest long")
+    rows = in_batches(raw, _rows, f"id {kind}, place long, digest long")
     first = rows.groupBy("digest").agg(F.count("*").alias("c"), F.min(F.struct("id", "place")).alias("f")).where("c > 1").select("digest", "f")
     same = F.col("id").eqNullSafe(F.col("f.id")) & (F.col("place") == F.col("f.place"))
     again = rows.join(first, "digest").where(~same)
@@ -146,7 +146,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     as_is = marked.where("not _maybe").select(*cols, F.array().cast(spans).alias("_spans"))
     joined = marked.where("_maybe").join(dups, F.col(doc_id).eqNullSafe(F.col("_id")), "left").select(*cols, "_dup")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", _spans {spans}"
-    return as_is.unionByName(joined.mapInArrow(lambda it, at=cols.index(text): _clean(it, at, min_words), schema))
+    return as_is.unionByName(in_batches(joined, lambda it, at=cols.index(text): _clean(it, at, min_words), schema))
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

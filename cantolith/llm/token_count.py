@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, utf8
+from .common import in_batches, table, utf8
 
 #: Place of the query's vocabulary; a parameter of vocabulary().
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -135,7 +135,7 @@ def count_tokens(docs: DataFrame, pieces: tuple[list[str], list[str]], doc_id: s
         raise ValueError(f"the vocabulary has more than {MOST_PIECES} pieces")
     shared = docs.sparkSession.sparkContext.broadcast(Automaton(*pieces))
     raw = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    out = raw.mapInArrow(lambda it: _count(it, shared), f"id {dict(raw.dtypes)['id']}, n_words long, n_tokens long, n_unknown long")
+    out = in_batches(raw, lambda it: _count(it, shared), f"id {dict(raw.dtypes)['id']}, n_words long, n_tokens long, n_unknown long")
     return out.withColumnRenamed("id", doc_id)
 
 
