@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, near_dedup, quality_classifier, quality_rules, substring_dedup, token_count, url_filter
+from . import decontaminate, license_scan, mixing, near_dedup, quality_classifier, quality_rules, substring_dedup, token_count, url_filter
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_near_duplicates": near_dedup.op3_near_duplicates,
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_token_counts": token_count.op5_token_counts,
+        "op6_mixing": mixing.op6_mixing,
         "op7_quality_rules": quality_rules.op7_quality_rules,
         "op8_quality_classifier": quality_classifier.op8_quality_classifier,
         "op9_decontamination": decontaminate.op9_decontamination,
