@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, mixing, near_dedup, quality_classifier, quality_rules, substring_dedup, token_count, url_filter
+from . import decontaminate, html_text, license_scan, mixing, near_dedup, quality_classifier, quality_rules, substring_dedup, token_count, url_filter
 
 
 def queries() -> dict:
     """Query name -> callable(spark, sf_dir)."""
     return {
         "op1_license_scan": license_scan.op1_license_scan,
+        "op2_html_text": html_text.op2_html_text,
         "op3_near_duplicates": near_dedup.op3_near_duplicates,
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_token_counts": token_count.op5_token_counts,
