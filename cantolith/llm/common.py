@@ -22,6 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder: the one that spark.checkpoint.dir names, a temporary one where it is unset."""
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
 def durable(df: DataFrame) -> DataFrame:
     """df, computed once and written to the shared checkpoint folder.
 
@@ -29,9 +37,7 @@ def durable(df: DataFrame) -> DataFrame:
     (tests, a single machine) a temporary one is set. The executors' disks hold a copy just
     until the checkpoint is written, so that the plan does not run twice.
     """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    checkpoint_folder(df.sparkSession)
     kept = df.persist(StorageLevel.DISK_ONLY)
     try:
         return kept.checkpoint(eager=True)

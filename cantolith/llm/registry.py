@@ -7,7 +7,10 @@ from . import decontaminate, html_text, license_scan, mixing, near_dedup, qualit
 
 def queries() -> dict:
     """Query name -> callable(spark, sf_dir)."""
+    import corpus_pipeline
+
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_license_scan": license_scan.op1_license_scan,
         "op2_html_text": html_text.op2_html_text,
         "op3_near_duplicates": near_dedup.op3_near_duplicates,
