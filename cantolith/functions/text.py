@@ -116,12 +116,15 @@ def balance(x: Column) -> Column:
 
 def split_point(lines: Column) -> Column:
     """The index (from 1, before the end) nearest the middle before which parentheses balance; of two, the later; else the middle."""
-    n, mid = F.size(lines), F.floor(F.size(lines) / 2).cast("int")
-    near = F.filter(
-        F.transform(F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.struct(F.abs(i - mid).alias("d"), (i < mid).alias("before"), i.alias("i"), F.aggregate(F.slice(lines, F.lit(1), i), F.lit(0), lambda a, x: a + balance(x)).alias("open"))),
-        lambda s: s["open"] == 0,
-    )
-    return F.coalesce(F.array_min(near)["i"], mid)
+
+    def best(x):
+        n, mid = F.size(x), F.floor(F.size(x) / 2).cast("int")
+        # opens[i]: the balance before line i
+        opens = F.aggregate(x, F.array(F.lit(0)), lambda a, y: F.concat(a, F.array(F.element_at(a, -1) + balance(y))))
+        near = F.filter(F.transform(opens, lambda o, i: F.struct(F.abs(i - mid).alias("d"), (i < mid).alias("before"), i.alias("i"), o.alias("open"))), lambda s: (s["open"] == 0) & (s["i"] > 0) & (s["i"] < n))
+        return F.coalesce(F.array_min(near)["i"], mid)
+
+    return F.get(F.transform(F.array(lines), best), F.lit(0))
 
 
 def json_fragment(x: Column) -> Column:

@@ -83,9 +83,14 @@ def words_to_lines(lines: DataFrame, items: str, limit: DataFrame | None = None)
 
 def phrase_places(words: Column, phrase: Column) -> Column:
     """Every index at which the lower-cased words of phrase stand in words."""
-    low, p = F.transform(words, F.lower), T.tokens(F.lower(phrase))
-    last = F.size(low) - F.size(p)
-    return F.when((last >= 0) & (F.size(p) > 0), F.filter(F.sequence(F.lit(0), last), lambda i: F.slice(low, i + 1, F.size(p)) == p)).otherwise(F.array().cast("array<int>"))
+
+    def places(x):
+        low, p = x["low"], x["p"]
+        last = F.size(low) - F.size(p)
+        return F.when((last >= 0) & (F.size(p) > 0), F.filter(F.sequence(F.lit(0), last), lambda i: F.slice(low, i + 1, F.size(p)) == p)).otherwise(F.array().cast("array<int>"))
+
+    # a lambda's variable is computed once; the lists themselves would be made anew for every index
+    return F.flatten(F.transform(F.array(F.struct(F.transform(words, F.lower).alias("low"), T.tokens(F.lower(phrase)).alias("p"))), places))
 
 
 def only_place(words: Column, phrase: Column) -> Column:
