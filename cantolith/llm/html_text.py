@@ -48,6 +48,7 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WORDS = re.compile(r"[a-z0-9]+")
 HEADING = re.compile(r"h[1-6]$")
+HEADER = frozenset(["header"])
 
 
 class Page:
@@ -119,18 +120,22 @@ class Page:
         self.main = self.find_main()
 
     def by_page(self) -> list[bool]:
-        """Whether an element is no text of the article by its tag, role or class."""
+        """Whether an element is no text of the article by its tag, role or class; notes which are headers."""
         out = []
+        self.header: list[bool] = []
         for tag, attributes in zip(self.tag, self.attributes, strict=True):
             drop = tag in DROP
+            header = tag == "header"
             if attributes and not drop and tag not in ("html", "body", "main"):
                 for m in ATTRIBUTE.finditer(attributes):
                     key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
                     if key in ("class", "id"):
                         drop = drop or not NAMES.isdisjoint(WORDS.findall(value))
+                        header = header or tag in ("div", "section") and not HEADER.isdisjoint(WORDS.findall(value))
                     else:
                         drop = drop or key == "hidden" or key == "role" and value in ROLES or key == "aria-hidden" and value == "true" or key == "style" and bool(HIDDEN.search(value))
-            out.append(drop)
+            out.append(drop or header)
+            self.header.append(header)
         return out
 
     def weights(self) -> list[int]:
@@ -151,7 +156,7 @@ class Page:
         def inside(k):  # whether something around an element drops it
             k = self.parent[k]
             while k > 0:
-                if self.dropped[k] and self.tag[k] != "header":
+                if self.dropped[k] and not self.header[k]:
                     return True
                 k = self.parent[k]
             return False
@@ -190,7 +195,8 @@ class Page:
     def text(self, template: set[int] = frozenset()) -> str:
         """The blocks of the main element without what is dropped and the elements of template."""
         around = self.around()
-        state = [False] * len(self.tag)  # whether an element's own text is out
+        out = [False] * len(self.tag)  # whether an element's own text is left out
+        only_header = [False] * len(self.tag)  # because of a header in the article alone, whose headings stay
         outside = [True] * len(self.tag)
         outside[self.main] = False
         for k in range(1, len(self.tag)):
@@ -198,19 +204,19 @@ class Page:
             outside[k] = k != self.main and outside[up]
             if k in around:
                 continue
-            if self.tag[k] == "header" and not outside[k]:
-                state[k] = True  # of a header in the article headings stay
-            elif HEADING.match(self.tag[k]) and self.tag[up] == "header" and not outside[k] and not (up in template or self.parent[up] > 0 and state[self.parent[up]]):
-                state[k] = self.dropped[k]
-            else:
-                state[k] = state[up] or self.dropped[k] or k in template
+            own = k in template or self.dropped[k] and not self.header[k]
+            free = not out[up] or only_header[up]
+            if free and not own and HEADING.match(self.tag[k]):
+                continue
+            out[k] = out[up] or own or self.header[k]
+            only_header[k] = free and not own and out[k]
         blocks, now = [], []
         for k, t in self.items:
             if t is None:
                 if now:
                     blocks.append("".join(now))
                     now = []
-            elif not outside[k] and not state[k]:
+            elif not outside[k] and not out[k]:
                 now.append(t)
         blocks.append("".join(now))
         return "\n".join(filter(None, (" ".join(b.split()) for b in blocks)))

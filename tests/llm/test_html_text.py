@@ -32,6 +32,11 @@ def test_page_rules():
         ("<article><p>a<!-- x --><p hidden>h</p><p style='display:none'>h</p>", "a"),
         ("<article>a<div>b</div>c</article>", "a\nb\nc"),
         ("<article><p title='a>b'>q</p><p title=\"un>closed>r</p>", "q\nclosed>r"),
+        (page('<div class="header">Site</div><p>One</p><p>Two</p><div class="footer">f</div>'), "One\nTwo"),
+        (page('<article><div class="entry-header"><div><h1>T <em>x</em></h1></div><p>by</p></div><p>P</p></article>'), "T x\nP"),
+        (page('<div id="wrap"><div id="sidebar"><ul><li>a</li></ul></div><div class="main-content"><h2>H</h2><p>Body &mdash; text</p><div class="cookie-notice">c</div><ul class="comment-list"><li>nice</li></ul></div></div>'), "H\nBody — text"),
+        (page('<div role="banner">b</div><div role="main"><p>q</p><div role="alert">n</div></div><div role="contentinfo">c</div>'), "q"),
+        (page("<article><h1>A</h1><p>x</p><blockquote>q</blockquote><pre>a  b</pre><figure><img><figcaption>cap</figcaption></figure></article>"), "A\nx\nq\na b\ncap"),
         ("<article><table><tr><td>a<td>b<tr><td>c</table></article>", "a\nb\nc"),
     ]
     for source, want in cases:
