@@ -57,6 +57,16 @@ def in_batches(df: DataFrame, kernel, schema: str) -> DataFrame:
     return df.mapInArrow(kernel, schema)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with its columns named c0, c1, ..., so that none clashes with an operator's own."""
+    return docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+
+
+def number(docs: DataFrame, column: str) -> str:
+    """A column's name in numbered(docs)."""
+    return f"c{docs.columns.index(column)}"
+
+
 def text_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Tells rows of one doc_id with different texts apart; rows equal in both are one document."""
     return F.xxhash64(F.col(doc_id), F.col(text))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import durable, in_batches, pieces, table, utf8
+from .common import durable, in_batches, number, numbered, pieces, table, utf8
 
 #: Length of a q-gram, window and edit budget in characters, width of a band beyond its overlap.
 Q, W, E, BAND = 8, 64, 6, 8
@@ -232,8 +232,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without those that have a leak; all columns are carried, rows without doc_id are judged by text."""
-    found = durable(find_leaks(docs.withColumn("_key", F.xxhash64(doc_id, text)), benchmark, "_key", text).select(F.col("_key").alias("_leak")).distinct())
-    return docs.join(found, F.xxhash64(docs[doc_id], docs[text]) == found["_leak"], "left_anti")
+    d, t = numbered(docs), number(docs, text)
+    key = F.xxhash64(number(docs, doc_id), t)
+    found = durable(find_leaks(d.withColumn("_key", key), benchmark, "_key", t).select(F.col("_key").alias("_leak")).distinct())
+    return d.join(found, key == F.col("_leak"), "left_anti").toDF(*docs.columns)
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

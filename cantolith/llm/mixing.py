@@ -18,10 +18,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import features
 from . import kernel as K
-from .common import durable, in_batches, pieces, table, utf8
+from .common import durable, in_batches, number, numbered, pieces, table, utf8
 from .quality_classifier import sampled_labels
 
 BITS = 15
@@ -170,9 +171,11 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     carried; an empty table gives an empty result.
     """
     spark = docs.sparkSession
+    names, own_id, text = docs.columns, number(docs, doc_id), number(docs, text)
+    docs = numbered(docs)
     aim = np.array([(targets or TARGETS)[x] for x in DOMAINS])
     known = sampled_labels(labels, doc_id, ["quality", "toxic"], sample)
-    raw = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    raw = docs.select(F.col(own_id).alias("id"), F.col(text).alias("text"))
     # bounded: sample rows of three numbers
     rows = raw.join(F.broadcast(known), F.col("id") == F.col("_id")).select("id", domain(F.col("quality"), F.col("toxic")).alias("label"), "text").dropDuplicates(["id"])
     learnt = in_batches(rows.select("id", "label", "text").orderBy("id").select("label", "text"), _signs, "label int, x array<int>").toArrow()
@@ -184,8 +187,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     moments = durable(in_batches(docs.select(F.col(text).alias("text")), lambda it: _moments(it, shared), ", ".join(["n long", *kinds])))
     steps = fit(moments, aim, most)
     both = spark.sparkContext.broadcast((weights, np.array(steps).reshape(-1, len(DOMAINS))))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "_n long", *(f"_{x}" for x in kinds), "_rate double"])
-    return in_batches(docs, lambda it, at=docs.columns.index(text): _rated(it, both, at, most), schema)
+    more = ["_n", *(f"_p{k}" for k in range(len(DOMAINS))), "_rate"]
+    schema = T.StructType([*docs.schema.fields, T.StructField("_n", T.LongType()), *(T.StructField(x, T.DoubleType()) for x in more[1:])])
+    return in_batches(docs, lambda it, at=docs.columns.index(text): _rated(it, both, at, most), schema).toDF(*names, *more)
 
 
 def copies(doc_id: str, text: str) -> Column:
@@ -195,8 +199,9 @@ def copies(doc_id: str, text: str) -> Column:
 
 
 def named(out: DataFrame, columns: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """columns of mix()'s result, then n_tokens, p_<domain>, rate and copies."""
-    return out.select(*columns, F.col("_n").alias("n_tokens"), *(F.col(f"_p{k}").alias(f"p_{x}") for k, x in enumerate(DOMAINS)), F.col("_rate").alias("rate"), copies(doc_id, text))
+    """columns of mix()'s result, then n_tokens, p_<domain>, rate and copies; columns of such names give way."""
+    own = {"n_tokens", *(f"p_{x}" for x in DOMAINS), "rate", "copies"}
+    return out.select(*(F.col(f"`{c}`") for c in columns if c.lower() not in own), F.col("_n").alias("n_tokens"), *(F.col(f"_p{k}").alias(f"p_{x}") for k, x in enumerate(DOMAINS)), F.col("_rate").alias("rate"), copies(doc_id, text))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .bloom import probe
-from .common import durable, in_batches, pieces, table, utf8
+from .common import durable, in_batches, number, numbered, pieces, table, utf8
 
 #: Bytes that a cut depends on; least and most bytes of a chunk; one place in 2**BITS is a cut.
 WINDOW, LEAST, MOST, BITS = 16, 16, 256, 4
@@ -133,6 +133,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     empty, its row stays. Rows of one doc_id are one document: equal ones are treated alike and do
     not repeat each other; null is the first doc_id. All columns are carried.
     """
+    names, doc_id, text = docs.columns, number(docs, doc_id), number(docs, text)
+    docs = numbered(docs)
     raw = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     kind = dict(raw.dtypes)["id"]
     rows = in_batches(raw, _rows, f"id {kind}, place long, digest long")
@@ -145,8 +147,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spans = "array<struct<start:bigint,end:bigint>>"
     as_is = marked.where("not _maybe").select(*cols, F.array().cast(spans).alias("_spans"))
     joined = marked.where("_maybe").join(dups, F.col(doc_id).eqNullSafe(F.col("_id")), "left").select(*cols, "_dup")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", _spans {spans}"
-    return as_is.unionByName(in_batches(joined, lambda it, at=cols.index(text): _clean(it, at, min_words), schema))
+    return as_is.unionByName(in_batches(joined, lambda it, at=cols.index(text): _clean(it, at, min_words), as_is.schema)).toDF(*names, "_spans")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

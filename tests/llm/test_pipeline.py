@@ -30,7 +30,8 @@ def test_empty_and_odd_rows(spark, tmp_path):
     d = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{d}/documents.parquet")
     odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "s", 0), (2, "plain words " * 6, None, None, None)], docs.schema)
-    for table in (docs.limit(0), odd, docs.union(odd)):
+    clash = docs.limit(60).selectExpr("*", "1 AS c0", "'x' AS kept", "2 AS rate", "map('a', 1) AS _dup", "named_struct('x y', 1) AS `a.b`", "'k' AS _key", "'g' AS _gone", "0 AS _b", "0 AS _w0", "1 AS slot")
+    for table in (docs.limit(0), odd, docs.union(odd), clash):
         now = table
         for k, (_, stage) in enumerate(P.STAGES):
             path = str(tmp_path / f"{id(table)}-{k}")
