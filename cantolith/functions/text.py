@@ -44,6 +44,10 @@ def seconds(x: Column) -> Column:
     return F.when(F.size(p) == 1, at(1)).when(F.size(p) == 2, at(1) * 60 + at(2)).when(F.size(p) == 3, at(1) * 3600 + at(2) * 60 + at(3)).when(x.isNotNull(), bad)
 
 
+def from_milliseconds(ms: Column) -> Column:
+    return ms / 1000.0
+
+
 def clock(s: Column) -> Column:
     """Whole seconds as HH:MM:SS, with 'N day(s), ' before it from 24 hours on; the hour has two digits below that only."""
     n = F.floor(s).cast("bigint")

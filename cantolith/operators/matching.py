@@ -55,9 +55,17 @@ def new_only(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     return df.join(seen.select(key).distinct(), key, "left_anti")
 
 
-def existing_only(df: DataFrame, listed: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is in listed."""
-    return df.join(listed.select(key).distinct(), key, "left_semi")
+def existing_only(df: DataFrame, listed: DataFrame, key: str, required: bool = False) -> DataFrame:
+    """Rows whose key is in listed; required raises an error at once where there is none."""
+    out = df.join(listed.select(key).distinct(), key, "left_semi")
+    if required and out.isEmpty():
+        raise ValueError("none of the files exists")
+    return out
+
+
+def newest_last(df: DataFrame, mtime: str = "mtime", name: str = "path") -> DataFrame:
+    """Files in order of their time, then name."""
+    return df.orderBy(mtime, name)
 
 
 def free_names(df: DataFrame, name: str, order: str, out: str = "file") -> DataFrame:

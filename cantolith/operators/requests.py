@@ -22,15 +22,15 @@ def requests(records: DataFrame, order: str = "ord", limit: int | None = None, s
 
     limit (None: none, 0: no record) cuts before records are judged. The style is the one given,
     else the first global_style that is not blank of the records read, else the record's own.
-    The global style is a partial minimum, and ordinals are counts before the record.
+    The global style is one value, read at once; ordinals are counts before the record.
     """
     df = records
     if limit is not None:
         df = df.orderBy(order).limit(limit)
     blank = T.is_blank(F.coalesce(F.col("global_style"), F.lit("")))
-    shared = df.agg(F.min_by("global_style", F.when(~blank, F.col(order))).alias("_shared")) if style is None else None
+    shared = style if style is not None else df.agg(F.min_by("global_style", F.when(~blank, F.col(order)))).first()[0]  # one value
     own = df.withColumn("prompt", prompt_of()).where("prompt is not null")
-    own = own.withColumn("style", F.lit(style)) if shared is None else own.join(F.broadcast(shared)).withColumn("style", F.coalesce(T.not_empty(F.col("_shared")), "global_style"))
+    own = own.withColumn("style", F.lit(shared) if shared else F.col("global_style"))
     ranked = ordinals(own.select(order, "prompt", "style"), order)
     return ranked.select(F.col(order).alias("ord"), "index", "total", "prompt", "style")
 

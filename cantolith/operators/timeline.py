@@ -76,12 +76,12 @@ def during(ticks: DataFrame, words: DataFrame, bucket: float) -> DataFrame:
 
 
 def before(ticks: DataFrame, words: DataFrame, tolerance: float) -> DataFrame:
-    """(doc_id, tick, word_idx or null): the word of the latest end at or before t, the lowest of equal ones, if t - end <= tolerance."""
+    """(doc_id, tick, t_s, word_idx or null): the word of the latest end at or before t, the lowest of equal ones, if t - end <= tolerance."""
     ends = words.where("end_s is not null").select("doc_id", F.col("end_s").alias("t_s"), F.lit(0).alias("_kind"), F.struct(F.col("end_s").alias("e"), (-F.col("word_idx")).alias("i")).alias("_w"), F.lit(None).cast("bigint").alias("tick"))
     both = ends.unionByName(ticks.select("doc_id", "t_s", F.lit(1).alias("_kind"), F.lit(None).cast(ends.schema["_w"].dataType).alias("_w"), "tick"))
     run = Window.partitionBy("doc_id").orderBy("t_s", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     got = both.withColumn("_w", F.max("_w").over(run)).where("_kind = 1")
-    return got.select("doc_id", "tick", F.when(F.col("t_s") - F.col("_w.e") <= tolerance, -F.col("_w.i")).alias("word_idx"))
+    return got.select("doc_id", "tick", "t_s", F.when(F.col("t_s") - F.col("_w.e") <= tolerance, -F.col("_w.i")).alias("word_idx"))
 
 
 def active(ticks: DataFrame, words: DataFrame, tolerance: float, bucket: float, title_until: float = 0.0) -> DataFrame:
@@ -89,7 +89,7 @@ def active(ticks: DataFrame, words: DataFrame, tolerance: float, bucket: float,
     x = during(ticks, words, bucket).withColumnRenamed("word_idx", "_in")
     y = before(ticks, words, tolerance).withColumnRenamed("word_idx", "_before")
     at = F.when(F.col("t_s") < title_until, F.lit(-1).cast("bigint")).otherwise(F.coalesce("_in", "_before"))
-    return ticks.join(x, ["doc_id", "tick"], "left").join(y, ["doc_id", "tick"], "left").select("doc_id", "tick", "t_s", at.alias("word_idx"))
+    return y.join(x, ["doc_id", "tick"], "left").select("doc_id", "tick", "t_s", at.alias("word_idx"))
 
 
 def monotonic_frames(frames: DataFrame, order: DataFrame | None = None, at: str = "word_idx") -> DataFrame:

@@ -11,11 +11,12 @@ from cantolith.session import table
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, word_idx, word, start_s, end_s): a user's events as words, 'error' ones untimed."""
-    e = table(spark, sf_dir, "events")
-    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    # renamed before the window, whose shuffle by doc_id then serves every later window by doc_id
+    e = table(spark, sf_dir, "events").withColumnRenamed("user_id", "doc_id")
+    order = Window.partitionBy("doc_id").orderBy("ts", "event_id")
     start = F.expr("timestampdiff(SECOND, timestamp_ntz'2024-01-01 00:00:00', ts)").cast("double")
     timed = F.col("event_type") != "error"
-    return e.select(F.col("user_id").alias("doc_id"), (F.row_number().over(order) - 1).cast("bigint").alias("word_idx"), F.col("event_type").alias("word"), F.when(timed, start).alias("start_s"), F.when(timed, start + F.floor("value") * 60).alias("end_s"))
+    return e.select("doc_id", (F.row_number().over(order) - 1).cast("bigint").alias("word_idx"), F.col("event_type").alias("word"), F.when(timed, start).alias("start_s"), F.when(timed, start + F.floor("value") * 60).alias("end_s"))
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from cantolith.operators import alignment, matching, quality, timeline
 
 WORDS = "doc_id long, word_idx long, word string, start_s double, end_s double"
@@ -182,4 +180,12 @@ def test_fuzzy_lookup_and_names(spark):
     files = spark.createDataFrame([("r/01.mp3",), ("r/01.wav",), ("r/02.ogg",)], "path string")
     side = matching.sidecar(spark.createDataFrame([("t/01.json",), ("t/03.json",)], "path string"), files)
     assert {r.path: r.audio for r in side.collect()} == {"t/01.json": "r/01.wav", "t/03.json": None}
-    assert F.lit(1) is not None
+    one = names.limit(1)
+    assert matching.existing_only(names, one, "name", required=True).count() == 1
+    with pytest.raises(ValueError):
+        matching.existing_only(names, one.limit(0), "name", required=True)
+    assert matching.new_only(names, one, "name").count() == 5
+    times = spark.createDataFrame([("b", 1), ("a", 1), ("c", 0)], "path string, mtime long")
+    assert [r.path for r in matching.newest_last(times).collect()] == ["c", "a", "b"]
+    free = matching.free_names(spark.createDataFrame([(1, "a.png"), (2, "a.png"), (3, "a.png"), (4, "b")], "o long, n string"), "n", "o")
+    assert [r.file for r in free.orderBy("o").collect()] == ["a.png", "a_01.png", "a_02.png", "b"]
