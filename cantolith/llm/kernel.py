@@ -35,6 +35,9 @@ WORD = ~SPACE
 ALNUM = np.ones(256, bool)
 ALNUM[0x00:0x30] = ALNUM[0x3A:0x41] = ALNUM[0x5B:0x61] = ALNUM[0x7B:0x80] = False
 
+#: Bytes that are hashed at once.
+PART = 1 << 20
+
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 
@@ -64,13 +67,19 @@ def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = WORD) -> t
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = BYTE) -> np.ndarray:
     """A 64-bit hash of the bytes from each start to its end; BYTE makes A-Z lower-case."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    power, inverse = powers(len(data) + 1)
-    sums = np.empty(len(data) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(values[data] * power[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):  # parts of whole words, so that a text of any length needs tables of PART or of its longest word
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + PART, side="right")))
+        at, to = starts[i:j] - starts[i], ends[i:j] - starts[i]
+        part = data[starts[i] : ends[j - 1]]
+        power, inverse = powers(len(part) + 1)
+        sums = np.empty(len(part) + 1, np.uint64)
+        sums[0] = 0
+        np.cumsum(values[part] * power[: len(part)], out=sums[1:])
+        out[i:j] = mix((sums[to] - sums[at]) * inverse[at] + (to - at).astype(np.uint64))
+        i = j
+    return out
 
 
 def windows(hashes: np.ndarray, bounds: np.ndarray, k: int, salt: int = 2) -> tuple[np.ndarray, np.ndarray]:
