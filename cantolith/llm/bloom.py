@@ -29,8 +29,8 @@ def probe(df: DataFrame, key: str, keys: DataFrame, keys_col: str, n_blocks: int
     The filter is broadcast: n_blocks rows of 68 bytes bound it. Null keys get false.
     """
     found = [F.col(f"_w{i}").bitwiseAND(b) == b for i, b in enumerate(_bits(F.col(key)))]
-    all_found = found[0]
-    for x in found[1:]:
+    all_found = F.col(key).isNotNull()
+    for x in found:
         all_found = all_found & x
     return (
         df.withColumn("_b", _block(F.col(key), n_blocks))
