@@ -49,6 +49,7 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WORDS = re.compile(r"[a-z0-9]+")
 HEADING = re.compile(r"h[1-6]$")
 HEADER = frozenset(["header"])
+COMMENTS = frozenset("comment comments commentlist disqus respond replies reply".split())
 
 
 class Page:
@@ -121,21 +122,36 @@ class Page:
 
     def by_page(self) -> list[bool]:
         """Whether an element is no text of the article by its tag, role or class; notes which are headers."""
-        out = []
+        out, by_name = [], []
         self.header: list[bool] = []
-        for tag, attributes in zip(self.tag, self.attributes, strict=True):
+        for k, (tag, attributes) in enumerate(zip(self.tag, self.attributes, strict=True)):
             drop = tag in DROP
             header = tag == "header"
             if attributes and not drop and tag not in ("html", "body", "main"):
                 for m in ATTRIBUTE.finditer(attributes):
-                    key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
-                    if key in ("class", "id"):
-                        drop = drop or not NAMES.isdisjoint(WORDS.findall(value))
-                        header = header or tag in ("div", "section") and not HEADER.isdisjoint(WORDS.findall(value))
+                    name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
+                    if name in ("class", "id"):
+                        words = WORDS.findall(value)
+                        if not drop and not NAMES.isdisjoint(words):
+                            drop = True
+                            if COMMENTS.isdisjoint(words):
+                                by_name.append(k)
+                        header = header or tag in ("div", "section") and not HEADER.isdisjoint(words)
                     else:
-                        drop = drop or key == "hidden" or key == "role" and value in ROLES or key == "aria-hidden" and value == "true" or key == "style" and bool(HIDDEN.search(value))
+                        drop = drop or name == "hidden" or name == "role" and value in ROLES or name == "aria-hidden" and value == "true" or name == "style" and bool(HIDDEN.search(value))
             out.append(drop or header)
             self.header.append(header)
+        if by_name:  # a name such as with-sidebar on what holds most of the page tells of something in it
+            size, held = [0] * len(out), [0] * len(out)
+            for k, t in self.items:
+                if t and self.tag[k] not in ("a", "script", "style", "title"):
+                    size[k] += len(t.strip())
+            for k in range(len(out) - 1, 0, -1):
+                size[self.parent[k]] += size[k]
+                held[self.parent[k]] += held[k] + (3 if self.tag[k] in ("article", "main") else self.tag[k] == "p")
+            for k in by_name:
+                if held[k] >= 3 and 2 * size[k] >= size[0]:
+                    out[k] = False
         return out
 
     def weights(self) -> list[int]:

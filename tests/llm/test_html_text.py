@@ -37,6 +37,8 @@ def test_page_rules():
         (page('<div id="wrap"><div id="sidebar"><ul><li>a</li></ul></div><div class="main-content"><h2>H</h2><p>Body &mdash; text</p><div class="cookie-notice">c</div><ul class="comment-list"><li>nice</li></ul></div></div>'), "H\nBody — text"),
         (page('<div role="banner">b</div><div role="main"><p>q</p><div role="alert">n</div></div><div role="contentinfo">c</div>'), "q"),
         (page("<article><h1>A</h1><p>x</p><blockquote>q</blockquote><pre>a  b</pre><figure><img><figcaption>cap</figcaption></figure></article>"), "A\nx\nq\na b\ncap"),
+        (page('<div class="layout with-sidebar"><article><p>Long enough to be most of it</p></article><div class="sidebar">s</div></div>'), "Long enough to be most of it"),
+        (page('<article class="post"><p>Short</p><section class="comments"><p>A long comment</p><p>another one</p><p>and a third of them</p></section></article>'), "Short"),
         ("<article><table><tr><td>a<td>b<tr><td>c</table></article>", "a\nb\nc"),
     ]
     for source, want in cases:
