@@ -53,11 +53,12 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     at.append((word[:, None] * DIMS + place[other]).ravel())
                     weight.append(sign[other].ravel())
             total += np.bincount(np.concatenate(at), np.concatenate(weight), WORDS * DIMS)
-    yield _table(total.reshape(-1, BLOCK * DIMS))
+    blocks = total.reshape(-1, BLOCK * DIMS)
+    some = np.flatnonzero(blocks.any(axis=1))
+    yield _table(blocks[some], some)
 
 
-def _table(blocks: np.ndarray, names: np.ndarray | None = None) -> pa.RecordBatch:
-    names = np.arange(len(blocks)) if names is None else names
+def _table(blocks: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(names.astype(np.int32)), pa.array([x.astype(np.int32).tobytes() if abs(x).max(initial=0) < 2**31 else x.astype(np.int64).tobytes() for x in blocks], pa.binary())], ["block", "sums"])
 
 
