@@ -35,6 +35,50 @@ def similarity(a: str, b: str) -> float:
     return 1.0 if not longest else 1.0 - edit_distance(a.lower(), b.lower()) / longest
 
 
+def similarities(a: list[str], b: list[str]) -> np.ndarray:
+    """similarity() of every word of a with every word of b, all at once.
+
+    Columns of the edit tables are kept as bits of a word of a (Myers 1999; Hyyro 2003), so a step
+    over one character of all words of b is a few operations on a matrix; words of over 63
+    characters are compared one by one.
+    """
+    low_a, low_b = [x.lower() for x in a], [x.lower() for x in b]
+    out = np.empty((len(a), len(b)))
+    short_a, short_b = ([k for k, x in enumerate(w) if len(x) < 64] for w in (low_a, low_b))
+    if short_a and short_b:
+        number = {c: k for k, c in enumerate(sorted(set("".join(low_b[k] for k in short_b))))}
+        equal = np.zeros((len(short_a), len(number) + 1), np.uint64)
+        for r, k in enumerate(short_a):
+            for i, c in enumerate(low_a[k]):
+                if c in number:
+                    equal[r, number[c]] |= np.uint64(1 << i)
+        sizes = np.array([len(low_b[k]) for k in short_b])
+        codes = np.full((len(short_b), max(1, sizes.max())), len(number))
+        for r, k in enumerate(short_b):
+            codes[r, : sizes[r]] = [number[c] for c in low_b[k]]
+        length = np.array([len(low_a[k]) for k in short_a])
+        last = np.where(length > 0, np.uint64(1) << np.maximum(length - 1, 0).astype(np.uint64), np.uint64(0))[:, None]
+        score = np.repeat(length[:, None], len(short_b), axis=1)
+        up, down = np.full(score.shape, ~np.uint64(0)), np.zeros(score.shape, np.uint64)
+        one = np.uint64(1)
+        for j in range(sizes.max()):
+            e = equal[:, codes[:, j]]
+            vertical = e | down
+            across = (((e & up) + up) ^ up) | e
+            more, less = down | ~(across | up), up & across
+            score += ((more & last != 0).astype(int) - (less & last != 0)) * (sizes > j)
+            more, less = more << one | one, less << one
+            up, down = less | ~(vertical | more), more & vertical
+        score[length == 0] = sizes
+        out[np.ix_(short_a, short_b)] = score
+    for i in range(len(a)):
+        for j in range(len(b)):
+            if len(low_a[i]) > 63 or len(low_b[j]) > 63:
+                out[i, j] = edit_distance(low_a[i], low_b[j])
+    longest = np.maximum([[len(x)] for x in a], [[len(y) for y in b]]) if len(a) and len(b) else out
+    return np.where(longest == 0, 1.0, 1.0 - out / np.maximum(longest, 1))
+
+
 def align(heard: list[tuple[str, float | None, float | None]], words: list[str], markers: dict[int, float] | None = None, least: float = 0.5, truth: float = TRUTH) -> list[tuple[float | None, float | None]]:
     """(start, end) of each of words, from the heard (word, start, end) it is aligned with.
 
@@ -46,9 +90,10 @@ def align(heard: list[tuple[str, float | None, float | None]], words: list[str],
     """
     markers = markers or {}
     m, n = len(heard), len(words)
-    kinds_a, at_a = np.unique(np.array([h[0] for h in heard], object).astype(str), return_inverse=True) if m else (np.array([]), np.array([], int))
-    kinds_b, at_b = np.unique(np.array(words, object).astype(str), return_inverse=True) if n else (np.array([]), np.array([], int))
-    table = np.array([[similarity(a, b) for b in kinds_b] for a in kinds_a]).reshape(len(kinds_a), len(kinds_b))
+    kinds_a, kinds_b = sorted({h[0] for h in heard}), sorted(set(words))
+    number = lambda kinds, own: np.array(list(map({w: k for k, w in enumerate(kinds)}.__getitem__, own)), np.int64)
+    at_a, at_b = number(kinds_a, [h[0] for h in heard]), number(kinds_b, words)
+    table = similarities(kinds_a, kinds_b)
     moves = np.zeros((m, n), np.uint8)
     row = np.arange(n + 1) * GAP
     mark = np.full(n, np.nan)
@@ -119,4 +164,6 @@ def align_words(heard: DataFrame, texts: DataFrame, markers: DataFrame | None =
     else:
         df = df.join(markers.groupBy("doc_id").agg(F.collect_list(F.struct(F.col("word_idx").cast("bigint").alias("word_idx"), F.col("ts").cast("double").alias("ts"))).alias("markers")), "doc_id", "left")
     kind = dict(texts.dtypes)["doc_id"]
-    return df.select("doc_id", "heard", "words", "markers").mapInArrow(_documents(least, truth), f"doc_id {kind}, word_idx long, word string, start_s double, end_s double")
+    # the work is in the tables, not in the bytes by which small partitions would be merged
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select("doc_id", "heard", "words", "markers").repartition(parts, "doc_id").mapInArrow(_documents(least, truth), f"doc_id {kind}, word_idx long, word string, start_s double, end_s double")

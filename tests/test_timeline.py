@@ -168,6 +168,33 @@ def test_align_equals_the_full_table(spark):
     assert got == {(d, k): v for d, heard, ws, marks in docs for k, v in enumerate(plain_align(heard, ws, marks, 0.3))}
 
 
+def test_similarities_equal_the_plain_ones():
+    r = random.Random(8)
+    w = ["", "É", "a" * 70, *("".join(r.choice("abcÉé") for _ in range(r.randrange(1, 64))) for _ in range(60))]
+    got = alignment.similarities(w, w[::-1])
+    for i, a in enumerate(w):
+        for j, b in enumerate(w[::-1]):
+            assert got[i, j] == alignment.similarity(a, b)
+    assert alignment.similarities([], ["a"]).shape == (0, 1)
+
+
+def test_align_query_equals_the_full_table(spark, sf):
+    from cantolith.plans import registry
+
+    turns = {}
+    for r in spark.read.parquet(f"{sf}/conversations.parquet").collect():
+        turns[r.conv_id, r.turn] = r.text.split()
+    got = {(x.doc_id, x.word_idx): (x.word, x.start_s, x.end_s) for x in registry.QUERIES["align_words"](spark, sf).collect()}
+    want = {}
+    for (c, t), words in turns.items():
+        after = turns.get((c, t + 1))
+        if after is not None:
+            heard = [(w, float(k), k + 1.0) for k, w in enumerate(words)]
+            for k, (w, v) in enumerate(zip(after, plain_align(heard, after, {}, 0.3), strict=True)):
+                want[c * 1000 + t, k] = (w, *v)
+    assert got == want and want
+
+
 def test_fuzzy_lookup_and_names(spark):
     cards = matching.cards_of(spark.createDataFrame([("c/Don_Jose.png",), ("c/carmen.JPG",), ("c/notes.txt",), ("c/don.png",)], "path string"))
     assert {r.stem for r in cards.collect()} == {"don_jose", "carmen", "don"}
