@@ -96,7 +96,7 @@ def _active(source: str) -> str:
     return f"""ticks AS (SELECT doc_id, unnest(range(0, CAST(ceil(max(end_s) / {HOUR}) AS BIGINT))) AS tick FROM {source} GROUP BY doc_id HAVING max(end_s) > 0),
 inside AS (SELECT t.doc_id, tick, min(word_idx) AS i FROM ticks t JOIN {source} w ON w.doc_id = t.doc_id AND start_s <= tick * {HOUR} AND tick * {HOUR} <= end_s GROUP BY ALL),
 ago AS (SELECT t.doc_id, tick, -max(struct_pack(e := end_s, i := -word_idx)).i AS i FROM ticks t JOIN {source} w ON w.doc_id = t.doc_id AND end_s <= tick * {HOUR} AND end_s >= tick * {HOUR} - {DAY} GROUP BY ALL),
-frames AS (SELECT t.doc_id, t.tick, t.tick * {HOUR} AS t_s, coalesce(a.i, b.i) AS word_idx FROM ticks t LEFT JOIN inside a USING (doc_id, tick) LEFT JOIN ago b USING (doc_id, tick))"""
+frames AS (SELECT t.doc_id, t.tick, CAST(t.tick * {HOUR} AS DOUBLE) AS t_s, coalesce(a.i, b.i) AS word_idx FROM ticks t LEFT JOIN inside a USING (doc_id, tick) LEFT JOIN ago b USING (doc_id, tick))"""
 
 
 @query(f"WITH {WORDS}, {_active('words')} SELECT * FROM frames")
