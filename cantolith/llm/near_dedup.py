@@ -8,9 +8,10 @@ similarity s shares a key with probability (1 - (1 - s**WIDTH)**TABLES)**2: at 0
 
 Copies (equal shingle sets) are first merged into one class by digest. A class leaves the search
 as soon as all its sub-signatures of one collection are its own. The members of a table key are
-not paired with each other but with three leaders (the smallest id, and two that differ from key
-to key), first the smallest only; the other pairs are verified where the first round left them
-in different components.
+not paired with each other but with leaders: first the smallest id, then two that differ from key
+to key, then ever more until no key holds a pair of different components that was not verified.
+Each round pairs only what the rounds before it left in different components, less the pairs that
+can't be linked as too many of their shingles are in no other of the texts that are left.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ SHINGLE, TABLES, WIDTH = 5, 12, 2
 PERCENT = 75
 #: Blocks of 64 bytes of the Bloom filter that keeps texts without candidates from being shuffled.
 BLOCKS = 1 << 16
+#: Leaders of a key in the first of the later rounds, and by what they grow from round to round.
+LEADERS, MORE = 4, 8
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,6 +107,79 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return in_batches(both, lambda it: _linked(it, percent), f"a {kind}, b {kind}")
 
 
+def alike(x, y, percent: int):
+    """Whether sets of such sizes can be linked at all."""
+    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+
+
+def by_size(met: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """(key, size, rep, n, c): the members of each key with their components c.
+
+    A set is in the class of its size and in the next one, so sets that can be linked share one.
+    """
+    size = F.floor(F.log("n") / np.log(100 / percent))
+    return met.join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("c"), F.explode(F.array(size, size + 1)).alias("size"))
+
+
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, s): the set of each text; columns: id, text."""
+    for batch in batches:
+        data, offsets = utf8(batch.column(1))
+        for i, j in pieces(offsets):
+            s, b = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            of = pa.array(np.repeat(np.arange(i, j), np.diff(b)))
+            yield pa.record_batch([batch.column(0).take(of), pa.array(s.view(np.int64))], ["id", "s"])
+
+
+def alone(ids: DataFrame, sig: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, u): how many shingles of each of ids(rep) are in no other text of ids; rows of an id with several texts are left out."""
+    kind = dict(texts.dtypes)["id"]
+    # other texts that pass the filter only make u smaller
+    some = probe(texts, "id", ids, "rep", BLOCKS, "_in").where("_in").select("id", "text")
+    own = in_batches(some, _shingles, f"id {kind}, s long").groupBy("s").agg(F.count("*").alias("c"), F.min("id").alias("id")).where("c = 1").groupBy("id").agg(F.count("*").alias("u"))
+    return own.join(sig.groupBy("id").agg(F.count("*").alias("k")).where("k = 1").select("id"), "id")
+
+
+def met_all(met: DataFrame, found: DataFrame, tried: DataFrame, sig: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The components once every pair of a key in met that can be linked is verified or in one component.
+
+    tried holds the pairs verified so far, among them all pairs of the keys and sizes of 3 members
+    or fewer. A round takes some LEADERS of each key and size and the member with the largest share
+    of common shingles, the next one MORE times as many; all members of a key that has no more than
+    that are leaders, and it is done.
+    """
+    group = ["key", "size"]
+
+    def unfinished(now, done):
+        mixed = now.groupBy(*group).agg(F.count("*").alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1"), F.max(best).alias("best")).where((F.col("c0") != F.col("c1")) & (F.col("m") > done))
+        return durable(now.join(mixed.select(*group, "m", "best"), group))
+
+    best = F.struct("n", "rep")
+    left = unfinished(by_size(met, found, percent), 3)
+    if left.isEmpty():
+        return found
+    own = alone(left.select("rep").distinct(), sig, texts)
+    now = left.drop("m", "best").join(own, F.col("rep") == F.col("id"), "left").withColumn("both", F.col("n") - F.coalesce("u", F.lit(0))).drop("id", "u").where(100 * F.col("both") >= percent * F.col("n"))
+    best = F.struct(F.col("both") / F.col("n"), "rep")
+    # what two sets have in common is no more than what either has in common with any
+    can = (100 + percent) * F.least("both", "e.both") >= percent * (F.col("n") + F.col("e.n"))
+    # the same members lead in all keys of like length, so that few pairs are met in one key alone
+    turn = F.pmod(F.xxhash64("rep", F.lit(17)), F.lit(1 << 30))
+    done, most = 1, LEADERS
+    while True:
+        left = unfinished(now, done)
+        if left.isEmpty():
+            return found
+        leaders = left.where((turn * F.col("m") < F.lit(most << 30)) | (F.col("rep") == F.col("best.rep"))).select(*group, F.struct("rep", "n", "c", "both").alias("e"))
+        pairs = left.join(leaders, group).where("c <> e.c").where(can).select(F.least("rep", "e.rep").alias("a"), F.greatest("rep", "e.rep").alias("b")).distinct()
+        pairs = durable(pairs.join(tried, ["a", "b"], "left_anti"))
+        more = durable(verified(pairs, texts, percent))
+        if not more.isEmpty():
+            found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+        tried, done, most = tried.union(pairs), most, most * MORE
+        now = left.drop("c", "m", "best").join(found, F.col("rep") == F.col("node"), "left").select(*group, "rep", "n", F.coalesce("component", "rep").alias("c"), "both")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tables: int = TABLES, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of docs.
 
@@ -125,22 +201,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     keys = mine.select("rep", "n", F.explode("x").alias("x"), "y").select("rep", "n", "x", F.explode("y").alias("y")).select("rep", "n", F.xxhash64("x", "y").alias("key"))
     leaders = keys.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("rep", "n")).alias("l")).where("c > 1").select("key", "l")
     met = durable(keys.join(leaders, "key").select("key", "rep", "n", "l"))
-    alike = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)  # noqa: E731  sets of other sizes can't be linked
 
     texts = raw.where("id is not null")
-    links = durable(verified(met.where("rep <> l.rep").where(alike("n", "l.n")).select(F.col("l.rep").alias("a"), F.col("rep").alias("b")).distinct(), texts, percent))
+    first = durable(met.where("rep <> l.rep").where(alike("n", "l.n", percent)).select(F.col("l.rep").alias("a"), F.col("rep").alias("b")).distinct())
+    links = durable(verified(first, texts, percent))
     found = components(links)
     # The members of a key that are left in different components meet two leaders that change from key to key.
-    # Leaders are of like size: a set is in the class of its size and the next one, so sets that can be linked share one.
-    size = F.floor(F.log("n") / np.log(100 / percent))
-    now = met.join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("c"), F.explode(F.array(size, size + 1)).alias("size"))
+    now = by_size(met, found, percent)
     turn = F.struct(F.xxhash64("rep", "key").alias("h"), "rep", "n", "c")
     mixed = now.groupBy("key", "size").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min(turn).alias("lo"), F.max(turn).alias("hi")).where("c0 <> c1")
     leader = F.explode(F.array("lo", "hi")).alias("e")
-    rest = now.join(mixed.select("key", "size", leader), ["key", "size"]).where("c <> e.c").where(alike("n", "e.n")).select(F.least("rep", "e.rep").alias("a"), F.greatest("rep", "e.rep").alias("b")).distinct()
+    rest = durable(now.join(mixed.select("key", "size", leader), ["key", "size"]).where("c <> e.c").where(alike("n", "e.n", percent)).select(F.least("rep", "e.rep").alias("a"), F.greatest("rep", "e.rep").alias("b")).distinct())
     more = durable(verified(rest, texts, percent))
     if not more.isEmpty():
         found = components(links.union(more))
+    found = met_all(met, found, first.union(rest), live, texts, percent)
 
     named = classes.select("d1", "d2", "n", "rep").join(found, F.col("rep") == F.col("node"), "left").select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), F.col("n").alias("en"), F.coalesce("component", "rep").alias("c"))
     out = sig.drop("sig").join(named, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & (F.col("n") == F.col("en")) & (F.col("n") > 0), "left")

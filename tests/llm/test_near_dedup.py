@@ -64,3 +64,20 @@ def test_edges_and_groups(spark):
     kept = N.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted([x[0] for x in out if x[3] and x[0] is not None])
+
+
+def test_group_held_together_by_one_that_is_no_leader(spark):
+    """Copies at 0.78 to the original and 0.6 to each other; the original has neither the smallest id nor a leading hash."""
+    r = random.Random(8)
+    base = [f"w{k}" for k in range(204)]
+    rows = []
+    for k in range(300):
+        w = list(base)
+        for place in r.sample(range(5, 199, 5), 5):
+            w[place] = f"x{k}-{place}"
+        rows.append((k, " ".join(w)))
+    rows.append((300, " ".join(base)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    assert sum(x[3] for x in want) == 1
+    assert {tuple(x) for x in N.near_duplicates(docs).collect()} == want
