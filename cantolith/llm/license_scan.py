@@ -1,8 +1,8 @@
 """License scans: ordered signature rules behind a keyword prefilter.
 
 Rules are made from FAMILIES and TEMPLATES: a few hundred regexes, each with a keyword that any
-match contains, a priority and a confidence. A text is searched with the rules of the keywords it
-holds. A detection that lies inside one of higher or equal priority is suppressed; detections that
+match contains once runs of white space are joined to one space, a priority and a confidence. A
+text is searched with the rules of the keywords that it holds in that form. A detection that lies inside one of higher or equal priority is suppressed; detections that
 merely overlap stay. Base phrases are found as words in a row and are never suppressed.
 """
 
@@ -69,7 +69,8 @@ FAMILIES = (
     ("odbl", "open database", r"open database licen[sc]e", r"odbl-\d[.\d]*", r"opendatacommons\.org/licenses/odbl"),
     ("odc-by", "open data commons", r"open data commons attribution licen[sc]e", r"odc-by-\d[.\d]*", r"opendatacommons\.org/licenses/by"),
     ("pddl", "public domain dedication", r"public domain dedication and licen[sc]e", r"pddl-\d[.\d]*", r"opendatacommons\.org/licenses/pddl"),
-    ("cc0", "cc0", r"(?:creative commons )?(?:cc0|zero)", r"cc0-\d[.\d]*", r"creativecommons\.org/publicdomain/zero"),
+    ("cc0", "cc0", r"(?:creative commons )?cc0", r"cc0-\d[.\d]*", r"creativecommons\.org/publicdomain/zero"),
+    ("cc0", "creative commons", r"creative commons zero", r"cc0-\d[.\d]*", r"creativecommons\.org/publicdomain/zero"),
     ("unlicense", "unlicense", r"unlicense", r"unlicense", r"unlicense\.org"),
     ("wtfpl", "wtfpl", r"wtfpl", r"wtfpl", r"wtfpl\.net"),
     ("ms-pl", "microsoft public", r"microsoft public licen[sc]e", r"ms-pl", r"opensource\.org/licenses?/ms-pl"),
@@ -101,7 +102,7 @@ WEB = (r"\b(?:https?://)?(?:www\.)?{web}", 50, 0.85)
 
 @dataclass(frozen=True)
 class Rule:
-    """A signature: its regex over lower-cased text holds keyword in every match."""
+    """A signature: every match of its regex over lower-cased text holds keyword, with white space as joined() leaves it."""
 
     label: str
     keyword: str
@@ -136,6 +137,11 @@ def rules() -> list[Rule]:
     return sorted(out, key=lambda r: -r.priority)
 
 
+def joined(low: str) -> str:
+    """low with one space for each run of white space, as the rules take it."""
+    return " ".join(low.split())
+
+
 class Scanner:
     """The rules, grouped by keyword."""
 
@@ -144,8 +150,9 @@ class Scanner:
         for k, r in enumerate(rules() if found is None else found):
             self.by_keyword.setdefault(r.keyword, []).append((k, r))
         self.phrases = {tuple(p.split()): label for p, label in BASE.items()}
-        self.anchors = [k.encode() for k in self.by_keyword if k not in ("cc", "://")]
-        self.pattern = re.compile(rb"cc[^a-z0-9\x80-\xff]+by|gnu[^a-z0-9\x80-\xff]+general|licenses?/|://[^\s]{0,60}licen")
+        # of each keyword its longest word, which white space of any kind can't part
+        self.anchors = sorted({max(k.split(), key=len).encode() for k in self.by_keyword if k not in ("cc", "://")})
+        self.pattern = re.compile(rb"cc[^a-z0-9\x80-\xff]+by|cc[^a-z0-9]{1,6}by|gnu[^a-z0-9\x80-\xff]+general|licenses?/|://[^\s]{0,60}licen")
 
     def gate(self, low: bytes) -> bool:
         """Whether any rule or base phrase can match."""
@@ -154,8 +161,9 @@ class Scanner:
     def detect(self, low: str) -> list[tuple[int, int, str, float]]:
         """(start, end, label, confidence) that no other detection suppresses, by position."""
         found = []
+        spaced = joined(low)
         for keyword, own in self.by_keyword.items():
-            if keyword in low:
+            if keyword in spaced:
                 for k, r in own:
                     for m in r.pattern.finditer(low):
                         version = next((g for g in m.groups() if g), None)

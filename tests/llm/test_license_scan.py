@@ -58,3 +58,26 @@ def test_edges(spark):
         if r.doc_id is not None:
             assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute(texts[r.doc_id])
     assert L.scan_licenses(docs.limit(0)).count() == 0
+
+
+def test_prefilter_drops_no_match_however_white_space_parts_the_words():
+    gated, every = L.Scanner(), L.Scanner()
+    every.by_keyword = {"": [(k, r) for k, r in enumerate(L.rules())]}
+    names = [re.sub(r"\[ -\]", "-", re.sub(r"\(\?:([^()|]*)\)\?", r"\1", n)).replace("licen[sc]e", "licence") for _, _, n, _, _ in L.FAMILIES]
+    names += ["creative commons attribution non-commercial", "cc by sa"]
+    tried = 0
+    for name in names:
+        for text in (f"released under the {name} 2.0", f"under {name.replace('licence', 'license')}, version 3"):
+            for gap in (" ", "\n", "  ", "\t", "\r\n", "\u00a0"):
+                low = text.replace(" ", gap)
+                want = every.detect(low)
+                tried += bool(want)
+                assert gated.detect(low) == want, (low, want)
+                assert gated.gate(low.encode()) or not want, low
+    assert tried > 500
+
+
+def test_wrapped_headers(spark):
+    texts = ["licensed under the GNU Lesser\nGeneral Public License v2.1", "GNU General\nPublic License, version 3 license", "released under the MIT\n  Licence"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in L.scan_licenses(docs).collect()} == {0: "lgpl-2.1", 1: "gpl,gpl-3", 2: "mit"}
