@@ -4,7 +4,7 @@ Two collections of TABLES sub-signatures of WIDTH minhashes each are computed; e
 from each collection is a table key, so 2*TABLES*WIDTH minhashes serve TABLES**2 tables of
 2*WIDTH minhashes, about the square root of what separate tables would take. A pair of
 similarity s shares a key with probability (1 - (1 - s**WIDTH)**TABLES)**2: at 0.75 it misses
-1e-4, at 0.8 1e-5.
+2e-5, at 0.8 1e-6.
 
 Copies (equal shingle sets) are first merged into one class by digest. A class leaves the search
 as soon as all its sub-signatures of one collection are its own. The members of a table key are
@@ -28,7 +28,7 @@ from .bloom import probe
 from .common import durable, in_batches, number, numbered, pieces, table, utf8
 from .graph import components
 
-SHINGLE, TABLES, WIDTH = 5, 12, 2
+SHINGLE, TABLES, WIDTH = 5, 14, 2
 PERCENT = 75
 #: Blocks of 64 bytes of the Bloom filter that keeps texts without candidates from being shuffled.
 BLOCKS = 1 << 16

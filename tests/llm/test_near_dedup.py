@@ -81,3 +81,8 @@ def test_group_held_together_by_one_that_is_no_leader(spark):
     want = brute(rows)
     assert sum(x[3] for x in want) == 1
     assert {tuple(x) for x in N.near_duplicates(docs).collect()} == want
+
+
+def test_share_of_pairs_that_meet_in_no_key():
+    missed = lambda s: 1 - (1 - (1 - s**N.WIDTH) ** N.TABLES) ** 2
+    assert missed(0.75) < 2.5e-5 and missed(0.8) < 1.3e-6
