@@ -8,13 +8,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one call of a numpy kernel takes; a longer document is taken alone.
 KERNEL_BYTES = 1 << 20
-#: Rows of a batch between Spark and Python.
-BATCH_ROWS = 512
+#: Keys of more than one in so many rows are met in a broadcast, which has fewer rows than that.
+HOT = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,16 +45,26 @@ def durable(df: DataFrame) -> DataFrame:
         kept.unpersist()
 
 
-def in_batches(df: DataFrame, kernel, schema: str) -> DataFrame:
-    """df put through kernel(iterator of record batches).
+def in_batches(df: DataFrame, kernel, schema) -> DataFrame:
+    """df put through kernel(iterator of record batches); Spark bounds a batch by bytes as well as by rows."""
+    return df.mapInArrow(kernel, schema)
+
+
+def meet(rows: DataFrame, firsts: DataFrame, keys: list[str], count: str, hot: int = HOT) -> DataFrame:
+    """rows left-joined on keys with firsts, which has one row for each key and how many rows share it.
 
-    Spark bounds a batch by rows alone and by 10,000 unless told otherwise, which whole texts make
-    too large for an executor; the session's bound is lowered to BATCH_ROWS where it is higher.
+    Keys that hold more than one in hot of the counted rows are fewer than hot, whatever the size of
+    the tables: these are broadcast, and no other key is large enough to make one task long.
     """
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
-        conf.set(name, str(BATCH_ROWS))
-    return df.mapInArrow(kernel, schema)
+    total = firsts.agg(F.sum(count)).first()[0] or 0
+    many = F.col(count) * hot > total
+    names = [f"_k{k}" for k in range(len(keys))]
+    first = firsts.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), *(c for c in firsts.columns if c not in keys))
+    on = lambda df: [df[k] == F.col(n) for k, n in zip(keys, names, strict=True)]
+    frequent = first.where(many)
+    near = rows.join(F.broadcast(frequent), on(rows), "inner").drop(*names)
+    few = rows.join(F.broadcast(frequent.select(*names)), on(rows), "left_anti")
+    return near.unionByName(few.join(first.where(~many), on(few), "left").drop(*names))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -67,11 +77,6 @@ def number(docs: DataFrame, column: str) -> str:
     return f"c{docs.columns.index(column)}"
 
 
-def text_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """Tells rows of one doc_id with different texts apart; rows equal in both are one document."""
-    return F.xxhash64(F.col(doc_id), F.col(text))
-
-
 def utf8(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts of a column and the n+1 offsets of the texts; null is empty."""
     if isinstance(col, pa.ChunkedArray):

@@ -6,12 +6,12 @@ from each collection is a table key, so 2*TABLES*WIDTH minhashes serve TABLES**2
 similarity s shares a key with probability (1 - (1 - s**WIDTH)**TABLES)**2: at 0.75 it misses
 2e-5, at 0.8 1e-6.
 
-Copies (equal shingle sets) are first merged into one class by digest. A class leaves the search
-as soon as all its sub-signatures of one collection are its own. The members of a table key are
-not paired with each other but with leaders: first the smallest id, then two that differ from key
-to key, then ever more until no key holds a pair of different components that was not verified.
-Each round pairs only what the rounds before it left in different components, less the pairs that
-can't be linked as too many of their shingles are in no other of the texts that are left.
+Copies (equal shingle sets) are first merged into one class by digest. Classes that share a table
+key, directly or through others, are a family. The full sets of a family meet in one task, those
+of a larger one in blocks of which any two that can hold a link meet, and a task gives a spanning
+forest of the links among its sets: every pair of a family is verified, none is written, and
+each candidate's set is shuffled once for each task. Compared with each other are the sets of a
+family alone, at some nanoseconds a pair (products of matrices over the shingles they share).
 """
 
 from __future__ import annotations
@@ -25,15 +25,15 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .bloom import probe
-from .common import durable, in_batches, number, numbered, pieces, table, utf8
+from .common import durable, in_batches, meet, number, numbered, pieces, table, utf8
 from .graph import components
 
 SHINGLE, TABLES, WIDTH = 5, 14, 2
 PERCENT = 75
 #: Blocks of 64 bytes of the Bloom filter that keeps texts without candidates from being shuffled.
 BLOCKS = 1 << 16
-#: Leaders of a key in the first of the later rounds, and by what they grow from round to round.
-LEADERS, MORE = 4, 8
+#: Texts and hashes of a block: what a task compares with each other, or with another block.
+BLOCK, HASHES = 4096, 4 << 20
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,113 +79,210 @@ def _sign(batches: Iterator[pa.RecordBatch], tables: int, width: int) -> Iterato
             yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(d[0].view(np.int64)), pa.array(d[1].view(np.int64)), flat], ["id", "n", "d1", "d2", "sig"])
 
 
-def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Of rows (a, b, text of a, text of b) those a, b whose sets meet the threshold."""
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, s): the sorted shingle hashes of each text, once for equal rows of a partition; columns: id, text."""
+    seen = set()
     for batch in batches:
-        sides = [utf8(batch.column(c)) for c in (2, 3)]
-        keep = np.zeros(batch.num_rows, bool)
-        for i, j in pieces(sides[0][1] + sides[1][1]):
-            (sa, ba), (sb, bb) = (shingle_sets(d[o[i] : o[j]], o[i : j + 1] - o[i]) for d, o in sides)
-            for k in range(j - i):
-                x, y = sa[ba[k] : ba[k + 1]], sb[bb[k] : bb[k + 1]]
-                if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)) > 0:
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep[i + k] = 100 * both >= percent * (len(x) + len(y) - both)
-        yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
-
-
-def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The links among pairs(a, b): ids whose texts' full sets have the similarity.
-
-    Only texts that a Bloom filter of bounded size takes for a side of a pair are shuffled.
-    """
-    need = pairs.select(F.col("a").alias("i")).union(pairs.select("b"))
-    texts = probe(texts, "id", need, "i", BLOCKS, "_in").where("_in").drop("_in")
-    of = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}"))
-    both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "ta", "tb")
-    kind = dict(pairs.dtypes)["a"]
-    return in_batches(both, lambda it: _linked(it, percent), f"a {kind}, b {kind}")
+        data, offsets = utf8(batch.column(1))
+        for i, j in pieces(offsets):
+            s, b = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            out = pa.record_batch([batch.column(0).slice(i, j - i), pa.LargeListArray.from_arrays(pa.array(b), pa.array(s.view(np.int64))).cast(pa.list_(pa.int64()))], ["id", "s"])
+            yield out.filter(pa.array(unseen(out.column(0).to_pylist(), s, b, seen), pa.bool_()))
+
+
+def unseen(ids: list, s: np.ndarray, bounds: np.ndarray, seen: set) -> list[bool]:
+    """Whether an id and set are not in seen, to which they are added."""
+    out = []
+    for i, x in zip(ids, np.split(s, bounds[1:-1]), strict=True):
+        key = (i, len(x), int(K.mix(x).sum(dtype=np.uint64)))
+        out.append(key not in seen)
+        seen.add(key)
+    return out
 
 
-def alike(x, y, percent: int):
-    """Whether sets of such sizes can be linked at all."""
-    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+def sets_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, s) of the texts of ids(id); only texts that a Bloom filter of bounded size takes for one of them are shuffled."""
+    kind = dict(texts.dtypes)["id"]
+    some = probe(texts, "id", ids.withColumnRenamed("id", "i"), "i", BLOCKS, "_in").where("_in").select("id", "text")
+    return in_batches(some, _sets, f"id {kind}, s array<long>").join(ids, "id", "left_semi")
 
 
-def by_size(met: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """(key, size, rep, n, c): the members of each key with their components c.
+def overlaps(bounds: np.ndarray, s: np.ndarray, cut: int) -> np.ndarray:
+    """Sizes of the intersections of the first cut sets (rows) with the others (columns); cut 0: of all with all.
 
-    A set is in the class of its size and in the next one, so sets that can be linked share one.
+    Hashes that the same sets hold are one column with a weight. Columns of few sets are counted
+    pair by pair, the others as a product of matrices.
     """
-    size = F.floor(F.log("n") / np.log(100 / percent))
-    return met.join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("c"), F.explode(F.array(size, size + 1)).alias("size"))
+    m = len(bounds) - 1
+    _, column, count = np.unique(s, return_inverse=True, return_counts=True)
+    doc = np.repeat(np.arange(m), np.diff(bounds))
+    pattern = np.zeros(len(count), np.uint64)
+    np.add.at(pattern, column, K.seeds(m, 14)[doc])
+    _, first, kind, weight = np.unique(pattern, return_index=True, return_inverse=True, return_counts=True)
+    number = count[first]
+    chosen = np.zeros(len(count), bool)
+    chosen[first[number > 1]] = True
+    keep = chosen[column]
+    doc, kind = doc[keep], kind[column[keep]]
+    order = np.argsort(kind, kind="stable")
+    doc, kind = doc[order], kind[order]
+    edge = np.flatnonzero(np.r_[True, kind[1:] != kind[:-1]]) if len(kind) else np.zeros(0, np.int64)
+    size, kind = np.diff(np.r_[edge, len(kind)]), kind[edge] if len(kind) else kind
+    rows, first_column = (cut, cut) if cut else (m, 0)
+    out = np.zeros((rows, m - first_column))
+    few = max(2, int((m / 64) ** 0.5) * 8)
+    for c in np.unique(size[size <= few]).tolist():
+        x, y = np.triu_indices(c, 1)
+        at = np.flatnonzero(size == c)
+        for k in range(0, len(at), step := max(1, (1 << 20) // len(x))):
+            part = at[k : k + step]
+            members = doc[edge[part][:, None] + np.arange(c)]
+            a, b, w = members[:, x].ravel(), members[:, y].ravel(), np.repeat(weight[kind[part]], len(x))
+            if cut:
+                ok = (a < cut) & (b >= cut)
+                a, b, w = a[ok], b[ok] - cut, w[ok]
+            np.add.at(out.ravel(), a * out.shape[1] + b, w)
+    if not cut:
+        out += out.T
+    many = np.flatnonzero(size > few)
+    for k in range(0, len(many), 2048):
+        part = many[k : k + 2048]
+        n = size[part]
+        spot = np.repeat(edge[part] - np.r_[0, np.cumsum(n)][:-1], n) + np.arange(n.sum())
+        x = np.zeros((m, len(part)), np.float32)
+        x[doc[spot], np.repeat(np.arange(len(part)), n)] = 1
+        out += (x[:rows] * weight[kind[part]].astype(np.float32)) @ x[first_column:].T
+    return out
 
 
-def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, s): the set of each text; columns: id, text."""
-    for batch in batches:
-        data, offsets = utf8(batch.column(1))
-        for i, j in pieces(offsets):
-            s, b = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            of = pa.array(np.repeat(np.arange(i, j), np.diff(b)))
-            yield pa.record_batch([batch.column(0).take(of), pa.array(s.view(np.int64))], ["id", "s"])
+def forest(linked: np.ndarray, cut: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links overlaps() is shaped for, as pairs of indices."""
+    rows, columns = linked.shape
+    left = np.ones(cut + columns, bool) if cut else np.ones(rows, bool)
+    out = []
+    for root in range(rows):
+        if not left[root]:
+            continue
+        left[root], todo = False, [root]
+        while todo:
+            i = todo.pop()
+            near = linked[i] if not cut or i < cut else linked[:, i - cut]
+            shift = cut if i < cut else 0
+            new = np.flatnonzero(near & left[shift : shift + len(near)]) + shift
+            left[new] = False
+            out += [(i, x) for x in new.tolist()]
+            todo += new.tolist()
+    return out
 
 
-def alone(ids: DataFrame, sig: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id, u): how many shingles of each of ids(rep) are in no other text of ids; rows of an id with several texts are left out."""
-    kind = dict(texts.dtypes)["id"]
-    # other texts that pass the filter only make u smaller
-    some = probe(texts, "id", ids, "rep", BLOCKS, "_in").where("_in").select("id", "text")
-    own = in_batches(some, _shingles, f"id {kind}, s long").groupBy("s").agg(F.count("*").alias("c"), F.min("id").alias("id")).where("c = 1").groupBy("id").agg(F.count("*").alias("u"))
-    return own.join(sig.groupBy("id").agg(F.count("*").alias("k")).where("k = 1").select("id"), "id")
+def links_among(sides: np.ndarray, bounds: np.ndarray, s: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that hold together the sets of a task as all its links do: those of side 0 with those of side 1, or all where there is one side."""
+    order = np.argsort(sides, kind="stable")
+    n = np.diff(bounds)[order]
+    s = np.concatenate([s[bounds[k] : bounds[k + 1]] for k in order.tolist()])
+    cut = int((sides == 0).sum()) % len(sides)
+    both = overlaps(np.r_[0, np.cumsum(n)], s, cut)
+    rows, columns = (n[:cut], n[cut:]) if cut else (n, n)
+    linked = 100 * both >= percent * (rows[:, None] + columns[None, :] - both)
+    return [(int(order[a]), int(order[b])) for a, b in forest(linked, cut)]
 
 
-def met_all(met: DataFrame, found: DataFrame, tried: DataFrame, sig: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The components once every pair of a key in met that can be linked is verified or in one component.
+def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """(a, b) of the links of each task; rows (task, side, id, s) stand task by task."""
+    held: list[pa.RecordBatch] = []
+    seen: set = set()
+
+    def hashes(lists):
+        offsets = np.asarray(lists.offsets).astype(np.int64)
+        return offsets - offsets[0], np.asarray(lists.flatten()).view(np.uint64)
+
+    def done():
+        t = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        seen.clear()
+        lists = t["s"].chunk(0)
+        found = links_among(np.asarray(t["side"]), *hashes(lists), percent)
+        a, b = (t["id"].take(pa.array([x[k] for x in found], pa.int64())).combine_chunks() for k in range(2))
+        return pa.record_batch([x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in (a, b)], ["a", "b"]) if found else None
 
-    tried holds the pairs verified so far, among them all pairs of the keys and sizes of 3 members
-    or fewer. A round takes some LEADERS of each key and size and the member with the largest share
-    of common shingles, the next one MORE times as many; all members of a key that has no more than
-    that are leaders, and it is done.
+    for batch in batches:
+        task = np.asarray(batch.column(0))
+        for i, j in zip((edge := np.r_[0, np.flatnonzero(task[1:] != task[:-1]) + 1, len(task)])[:-1].tolist(), edge[1:].tolist(), strict=True):
+            if i == j:
+                continue
+            if held and held[-1].column(0)[-1].as_py() != task[i] and (out := done()):
+                yield out
+            part = batch.slice(i, j - i)
+            bounds, s = hashes(part.column(3))
+            held.append(part.filter(pa.array(unseen(list(zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)), s, bounds, seen), pa.bool_())))
+    if held and (out := done()):
+        yield out
+
+
+def stars(keys: DataFrame) -> DataFrame:
+    """(a, b): each key's smallest member with its others."""
+    first = keys.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").select("key", "a")
+    return keys.join(first, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+
+
+def families(keys: DataFrame, texts: DataFrame, percent: int, block: int) -> DataFrame:
+    """(node, component): the texts that share a table key, directly or through others.
+
+    A family of more than a block loses, as often as it has any, the texts of which too many
+    shingles are in no other text of it: they can't be linked, and hold together what has only a
+    passage in common.
     """
-    group = ["key", "size"]
-
-    def unfinished(now, done):
-        mixed = now.groupBy(*group).agg(F.count("*").alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1"), F.max(best).alias("best")).where((F.col("c0") != F.col("c1")) & (F.col("m") > done))
-        return durable(now.join(mixed.select(*group, "m", "best"), group))
-
-    best = F.struct("n", "rep")
-    left = unfinished(by_size(met, found, percent), 3)
-    if left.isEmpty():
-        return found
-    own = alone(left.select("rep").distinct(), sig, texts)
-    now = left.drop("m", "best").join(own, F.col("rep") == F.col("id"), "left").withColumn("both", F.col("n") - F.coalesce("u", F.lit(0))).drop("id", "u").where(100 * F.col("both") >= percent * F.col("n"))
-    best = F.struct(F.col("both") / F.col("n"), "rep")
-    # what two sets have in common is no more than what either has in common with any
-    can = (100 + percent) * F.least("both", "e.both") >= percent * (F.col("n") + F.col("e.n"))
-    # the same members lead in all keys of like length, so that few pairs are met in one key alone
-    turn = F.pmod(F.xxhash64("rep", F.lit(17)), F.lit(1 << 30))
-    done, most = 1, LEADERS
+    found = durable(components(stars(keys)))
     while True:
-        left = unfinished(now, done)
-        if left.isEmpty():
+        large = found.join(found.groupBy("component").agg(F.count("*").alias("m")).where(F.col("m") > block).select("component"), "component")
+        if large.isEmpty():
             return found
-        leaders = left.where((turn * F.col("m") < F.lit(most << 30)) | (F.col("rep") == F.col("best.rep"))).select(*group, F.struct("rep", "n", "c", "both").alias("e"))
-        pairs = left.join(leaders, group).where("c <> e.c").where(can).select(F.least("rep", "e.rep").alias("a"), F.greatest("rep", "e.rep").alias("b")).distinct()
-        pairs = durable(pairs.join(tried, ["a", "b"], "left_anti"))
-        more = durable(verified(pairs, texts, percent))
-        if not more.isEmpty():
-            found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-        tried, done, most = tried.union(pairs), most, most * MORE
-        now = left.drop("c", "m", "best").join(found, F.col("rep") == F.col("node"), "left").select(*group, "rep", "n", F.coalesce("component", "rep").alias("c"), "both")
+        large = durable(large)
+        held = sets_of(large.select(F.col("node").alias("id")), texts).join(large, F.col("id") == F.col("node")).select("component", "id", F.size("s").alias("n"), F.explode("s").alias("s"))
+        alone = held.groupBy("component", "s").agg(F.count("*").alias("c"), F.min("id").alias("id"), F.min("n").alias("n")).where("c = 1")
+        # an id with several texts may have its shingles counted twice, and stays
+        once = sets_of(large.select(F.col("node").alias("id")), texts).groupBy("id").agg(F.count("*").alias("k")).where("k = 1").select("id")
+        gone = durable(alone.groupBy("id", "n").agg(F.count("*").alias("u")).where(100 * (F.col("n") - F.col("u")) < percent * F.col("n")).join(once, "id", "left_semi").select(F.col("id").alias("node")))
+        if gone.isEmpty():
+            return found
+        rest = large.join(gone, "node", "left_anti").select(F.col("node").alias("rep"))
+        again = components(stars(keys.join(rest, "rep", "left_semi")))
+        found = durable(found.join(large.select("node"), "node", "left_anti").unionByName(again))
+
 
+def tasks(found: DataFrame, sizes: DataFrame, percent: int, block: int, most: int) -> DataFrame:
+    """(task, side, id): each family in one task, or in blocks of which any two that can hold a link meet.
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tables: int = TABLES, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    A family of over block texts or most hashes is dealt by classes of size (linked sets are in
+    one class or in two neighbouring ones) and then by chance into blocks.
+    """
+    one = found.join(sizes, F.col("node") == F.col("rep")).select("node", "component", "n")
+    ratio = float(np.log(100 / percent))
+    one = one.withColumn("size", F.floor(F.log("n") / ratio).cast("int"))
+    total = one.groupBy("component", "size").agg(F.count("*").alias("m"), F.sum("n").alias("h"))
+    per = total.groupBy("component").agg(F.sum("m").alias("m"), F.sum("h").alias("h"), F.map_from_entries(F.collect_list(F.struct("size", F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("h") / most)).cast("int").alias("k")))).alias("blocks")).withColumn("whole", (F.col("m") <= block) & (F.col("h") <= most)).select("component", "whole", "blocks")
+    own = one.join(per, "component")
+    count = lambda c: F.coalesce(F.element_at("blocks", c), F.lit(0))
+    mine = F.pmod(F.xxhash64("node", F.lit(19)), count(F.col("size"))).cast("int")
+    side = lambda a, i, b, j, k: F.struct(F.xxhash64("component", a, i, b, j).alias("task"), F.lit(k).alias("side"))
+    up = lambda to: F.when(to > 0, F.sequence(F.lit(0), to - 1)).otherwise(F.array().cast("array<int>"))
+    size, k = F.col("size"), F.col("k")
+    each = F.concat(
+        F.transform(up(count(size)), lambda j: F.when(j >= k, side(size, k, size, j, 0)).otherwise(side(size, j, size, k, 1))),
+        F.transform(up(count(size + 1)), lambda j: side(size, k, size + 1, j, 0)),
+        F.transform(up(count(size - 1)), lambda j: side(size - 1, j, size, k, 1)),
+    )
+    whole = F.array(F.struct(F.xxhash64("component").alias("task"), F.lit(0).alias("side")))
+    return own.withColumn("k", mine).select("node", F.explode(F.when(F.col("whole"), whole).otherwise(each)).alias("t")).select("t.task", "t.side", F.col("node").alias("id"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tables: int = TABLES, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK, most: int = HASHES) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of docs.
 
     Words are runs of other bytes than white space, A-Z lower-cased; the set is the distinct
     5-word shingles, or the whole sequence of a shorter text. Null and empty texts have an empty
-    set and are linked with nothing. Rows of one doc_id are one document: they are linked. A row
+    set and are linked with nothing. Rows of one doc_id with words are one document: they are
+    linked; repeated rows have equal results. A row
     without doc_id can't be named by a link; its component_id is null and it is kept. An empty
     table gives an empty result; other columns are not carried.
     """
@@ -193,38 +290,37 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kind = dict(raw.dtypes)["id"]
     sig = durable(in_batches(raw, lambda it: _sign(it, tables, width), f"id {kind}, n long, d1 long, d2 long, sig array<long>"))
     live = sig.where("n > 0 and id is not null")
-    classes = live.groupBy("d1", "d2", "n").agg(F.min(F.struct("id", "sig")).alias("m")).select("d1", "d2", "n", F.col("m.id").alias("rep"), F.col("m.sig").alias("sig"))
+    same = ["d1", "d2", "n"]
+    classes = durable(live.groupBy(*same).agg(F.min(F.struct("id", "sig")).alias("m"), F.count("*").alias("c")).select(*same, F.col("m.id").alias("rep"), F.col("m.sig").alias("sig"), "c"))
 
     parts = classes.select("rep", "n", F.posexplode("sig").alias("t", "key"))
     shared = parts.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     mine = parts.join(shared, "key", "left_semi").groupBy("rep", "n").agg(*(F.collect_set(F.when(c, F.col("key"))).alias(x) for x, c in (("x", F.col("t") < tables), ("y", F.col("t") >= tables))))
-    keys = mine.select("rep", "n", F.explode("x").alias("x"), "y").select("rep", "n", "x", F.explode("y").alias("y")).select("rep", "n", F.xxhash64("x", "y").alias("key"))
-    leaders = keys.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("rep", "n")).alias("l")).where("c > 1").select("key", "l")
-    met = durable(keys.join(leaders, "key").select("key", "rep", "n", "l"))
+    keys = durable(mine.select("rep", "n", F.explode("x").alias("x"), "y").select("rep", "n", "x", F.explode("y").alias("y")).select("rep", F.xxhash64("x", "y").alias("key")).distinct())
 
     texts = raw.where("id is not null")
-    first = durable(met.where("rep <> l.rep").where(alike("n", "l.n", percent)).select(F.col("l.rep").alias("a"), F.col("rep").alias("b")).distinct())
-    links = durable(verified(first, texts, percent))
-    found = components(links)
-    # The members of a key that are left in different components meet two leaders that change from key to key.
-    now = by_size(met, found, percent)
-    turn = F.struct(F.xxhash64("rep", "key").alias("h"), "rep", "n", "c")
-    mixed = now.groupBy("key", "size").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min(turn).alias("lo"), F.max(turn).alias("hi")).where("c0 <> c1")
-    leader = F.explode(F.array("lo", "hi")).alias("e")
-    rest = durable(now.join(mixed.select("key", "size", leader), ["key", "size"]).where("c <> e.c").where(alike("n", "e.n", percent)).select(F.least("rep", "e.rep").alias("a"), F.greatest("rep", "e.rep").alias("b")).distinct())
-    more = durable(verified(rest, texts, percent))
-    if not more.isEmpty():
-        found = components(links.union(more))
-    found = met_all(met, found, first.union(rest), live, texts, percent)
-
-    named = classes.select("d1", "d2", "n", "rep").join(found, F.col("rep") == F.col("node"), "left").select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), F.col("n").alias("en"), F.coalesce("component", "rep").alias("c"))
-    out = sig.drop("sig").join(named, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & (F.col("n") == F.col("en")) & (F.col("n") > 0), "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("c", "id"))
-    return out.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id").isNull() | (F.col("id") == component)).alias("kept"))
+    found = families(keys, texts, percent, block)
+    sizes = classes.groupBy("rep").agg(F.max("n").alias("n"))
+    dealt = durable(tasks(found, sizes, percent, block, most))
+    rows = dealt.join(sets_of(dealt.select("id").distinct(), texts), "id").select("task", "side", "id", "s")
+    links = in_batches(rows.repartition("task").sortWithinPartitions("task"), lambda it: _linked(it, percent), f"a {kind}, b {kind}")
+
+    # copies of a text meet their class, those of the most frequent texts in a broadcast
+    one = durable(meet(live.select("id", *same), classes.where("c > 1").select(*same, "rep", "c"), same, "c").select("id", *same, F.coalesce("rep", "id").alias("rep")))
+    several = one.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").select("id", "a")
+    links = links.union(one.join(several, "id").select("a", F.col("rep").alias("b"))).union(several.select("a", F.col("id").alias("b")))
+    joined = components(links)
+    named = one.select("id", "n", "rep").join(joined, F.col("rep") == F.col("node"), "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
+    rest = sig.where("not (n > 0 and id is not null)").select("id", "n", F.col("id").alias("component"))
+    return named.unionByName(rest).select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("id").isNull() | (F.col("id") == F.col("component"))).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without the rows that near_duplicates does not keep; rows of one doc_id stay or go together."""
+    """docs without the rows that near_duplicates does not keep; rows of one doc_id stay or go together.
+
+    Rows without doc_id, null and empty texts stay; of tied copies the smallest doc_id stays; an
+    empty table gives an empty result; all columns are carried, whatever their names.
+    """
     d, i = numbered(docs), number(docs, doc_id)
     gone = near_duplicates(d, i, number(docs, text)).where("not kept").select(F.col(i).alias("_gone")).distinct()
     return d.join(gone, d[i] == gone["_gone"], "left_anti").toDF(*docs.columns)

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from cantolith.llm import near_dedup as N
@@ -86,3 +87,57 @@ def test_group_held_together_by_one_that_is_no_leader(spark):
 def test_share_of_pairs_that_meet_in_no_key():
     missed = lambda s: 1 - (1 - (1 - s**N.WIDTH) ** N.TABLES) ** 2
     assert missed(0.75) < 2.5e-5 and missed(0.8) < 1.3e-6
+
+
+def family(n, seed=3, pool=40, chosen=20, words=50):
+    """n texts of some stock paragraphs each, every second one an edited copy (similarity over 0.8) of the one before."""
+    r = random.Random(seed)
+    stock = [[f"p{k}w{j}" for j in range(words)] for k in range(pool)]
+    rows = []
+    for k in range(n // 2):
+        w = [x for p in r.sample(stock, chosen) for x in p]
+        rows.append((2 * k, " ".join(w)))
+        for _ in range(len(w) // 50):
+            w[r.randrange(len(w))] = f"x{k}"
+        rows.append((2 * k + 1, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize(("block", "most"), [(4096, 1 << 22), (64, 1 << 22), (4096, 1 << 14)])
+def test_family_of_stock_paragraphs_loses_no_link(spark, block, most):
+    rows = family(240, words=25)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(x) for x in N.near_duplicates(docs, block=block, most=most).collect()} == brute(rows)
+
+
+def test_texts_that_share_a_passage_alone_leave_a_large_family(spark):
+    r = random.Random(4)
+    passage = [f"common{k}" for k in range(60)]
+    rows = []
+    for k in range(80):
+        own = [f"w{r.randrange(10**6)}" for _ in range(60)]
+        rows += [(2 * k, " ".join(passage + own)), (2 * k + 1, " ".join(passage + own[:-1] + ["end"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(x) for x in N.near_duplicates(docs, block=16).collect()} == brute(rows)
+
+
+def test_rows_of_one_id_join_their_texts(spark):
+    a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (9, b), (9, b), (7, None), (7, a)], "doc_id long, text string")
+    out = {tuple(x)[:3] for x in N.near_duplicates(docs).collect()}
+    assert out == {(3, 26, 3), (5, 26, 3), (9, 26, 3), (7, 0, 7), (7, 26, 3)}
+
+
+def test_overlaps_and_forest_against_sets():
+    r = np.random.default_rng(2)
+    sets = [np.unique(r.integers(0, 60, r.integers(1, 40))).astype(np.uint64) for _ in range(90)]
+    bounds = np.r_[0, np.cumsum([len(x) for x in sets])]
+    want = np.array([[len(np.intersect1d(x, y)) for y in sets] for x in sets])
+    got = N.overlaps(bounds, np.concatenate(sets), 0)
+    off = ~np.eye(90, dtype=bool)
+    assert (got[off] == want[off]).all()
+    assert (N.overlaps(bounds, np.concatenate(sets), 30) == want[:30, 30:]).all()
+    linked = want >= 20
+    edges = N.forest(linked, 0)
+    assert all(linked[a, b] for a, b in edges) and len(edges) < 90
+    assert N.forest(want[:30, 30:] >= 20, 30) == [] or all(want[a, b] >= 20 for a, b in N.forest(want[:30, 30:] >= 20, 30))
