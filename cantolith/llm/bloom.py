@@ -1,11 +1,14 @@
-"""A blocked Bloom filter in DataFrame expressions, of at most n_blocks rows whatever it holds."""
+"""Blocked Bloom filters of bounded size whatever they hold: in DataFrame expressions, and as an array for digests in Python."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORDS = 8
+#: Blocks of a filter of digests.
+DIGEST_BLOCKS = 1 << 16
 
 
 def _bits(key: Column) -> list[Column]:
@@ -38,3 +41,25 @@ def probe(df: DataFrame, key: str, keys: DataFrame, keys_col: str, n_blocks: int
         .withColumn(flag, F.coalesce(all_found, F.lit(False)))
         .drop("_b", "_block", *(f"_w{i}" for i in range(WORDS)))
     )
+
+
+def digest_filter(keys: DataFrame, digest: str) -> np.ndarray:
+    """The filter of a column of 64-bit digests, WORDS words for each of DIGEST_BLOCKS blocks: 4 MB."""
+    own = F.col(digest)
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(own, 16 + 6 * i).bitwiseAND(F.lit(63)).cast("int")).alias(f"w{i}") for i in range(WORDS)]
+    rows = keys.select(own.bitwiseAND(F.lit(DIGEST_BLOCKS - 1)).alias("block"), *bits).groupBy("block").agg(*(F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)))
+    out = np.zeros((DIGEST_BLOCKS, WORDS), np.int64)
+    t = rows.toArrow()  # bounded: DIGEST_BLOCKS rows
+    for i in range(WORDS):
+        out[np.asarray(t["block"]), i] = np.asarray(t[f"w{i}"])
+    return out.view(np.uint64)
+
+
+def may_hold(table: np.ndarray, digests: np.ndarray) -> np.ndarray:
+    """Whether each digest may be in the filter."""
+    own = digests.view(np.uint64)
+    block = own & np.uint64(DIGEST_BLOCKS - 1)
+    out = np.ones(len(own), bool)
+    for i in range(WORDS):
+        out &= (table[block, i] >> ((own >> np.uint64(16 + 6 * i)) & np.uint64(63))) & np.uint64(1) == 1
+    return out

@@ -5,9 +5,10 @@ others. A chunk of which an earlier document, or an earlier place of the same on
 repeated; maximal runs of repeated chunks with MIN_WORDS words or more are removed. Short common
 phrases make no such run and stay.
 
-One row for each chunk is shuffled twice, 24 bytes: for the first place of each digest (with
-partial minima, so that a chunk found in a third of the rows is no hot group) and to meet it.
-Texts are shuffled only where the repeated chunks of a document have MIN_WORDS words together.
+One row for each chunk is shuffled once, for the first place of each digest (with partial minima);
+chunks that a Bloom filter of bounded size takes for repeated ones are then shuffled to meet it,
+those of the most frequent digests in a broadcast. Texts are shuffled only where the repeated
+chunks of a document have MIN_WORDS words together.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .bloom import probe
-from .common import durable, in_batches, number, numbered, pieces, table, utf8
+from .bloom import digest_filter, may_hold, probe
+from .common import durable, in_batches, meet, number, numbered, pieces, table, utf8
 
 #: Bytes that a cut depends on; least and most bytes of a chunk; one place in 2**BITS is a cut.
 WINDOW, LEAST, MOST, BITS = 16, 16, 256, 4
@@ -70,27 +71,32 @@ def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return starts, ends, K.word_hashes(data, starts, ends, _BYTE).view(np.int64), np.diff(words), bounds
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rows(batches: Iterator[pa.RecordBatch], shared=None) -> Iterator[pa.RecordBatch]:
+    """(id, h, place, digest) of each chunk of rows (id, h, text), or of those that a shared filter takes."""
     for batch in batches:
-        data, offsets = utf8(batch.column(1))
+        data, offsets = utf8(batch.column(2))
         for i, j in pieces(offsets):
             starts, _, digest, words, bounds = chunks(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             doc = np.repeat(np.arange(i, j), np.diff(bounds))
             place = (np.arange(len(starts)) - bounds[doc - i]) * 256 + np.minimum(words, 255)
+            if shared is not None:
+                some = may_hold(shared.value, digest)
+                doc, place, digest = doc[some], place[some], digest[some]
             for k in range(0, len(doc), 1 << 16):
                 part = slice(k, k + (1 << 16))
-                yield pa.record_batch([batch.column(0).take(pa.array(doc[part])), pa.array(place[part]), pa.array(digest[part])], ["id", "place", "digest"])
+                of = pa.array(doc[part])
+                yield pa.record_batch([batch.column(0).take(of), batch.column(1).take(of), pa.array(place[part]), pa.array(digest[part])], ["id", "h", "place", "digest"])
 
 
-def removals(starts, ends, digest, words, dup: dict[int, int], min_words: int) -> list[tuple[int, int]]:
-    """Byte ranges of the runs of repeated chunks; dup: index of a chunk -> its digest."""
+def removals(starts, ends, words, dup: set[int], min_words: int) -> list[tuple[int, int]]:
+    """Byte ranges of the runs of repeated chunks; dup: their indices."""
     out, i, n = [], 0, len(starts)
     while i < n:
-        if dup.get(i) != digest[i]:
+        if i not in dup:
             i += 1
             continue
         j = i
-        while j < n and dup.get(j) == digest[j]:
+        while j < n and j in dup:
             j += 1
         if sum(words[i:j]) >= min_words:
             out.append((int(starts[i]), int(ends[j - 1])))
@@ -107,9 +113,8 @@ def _clean(batches: Iterator[pa.RecordBatch], text: int, min_words: int) -> Iter
         new, spans = {}, [[] for _ in range(batch.num_rows)]
         for d in np.flatnonzero(np.asarray(dups.is_valid())).tolist():
             own = data[offsets[d] : offsets[d + 1]]
-            s, e, g, w, _ = chunks(own, np.array([0, len(own)]))
-            dup = {x["place"] >> 8: x["digest"] for x in dups[d].as_py()}
-            if cut := removals(s.tolist(), e.tolist(), g.tolist(), w.tolist(), dup, min_words):
+            s, e, _, w, _ = chunks(own, np.array([0, len(own)]))
+            if cut := removals(s.tolist(), e.tolist(), w.tolist(), {x >> 8 for x in dups[d].as_py()}, min_words):
                 chars = np.r_[0, np.cumsum((own & 0xC0) != 0x80)]
                 spans[d] = [{"start": int(chars[a]), "end": int(chars[b])} for a, b in cut]
                 keep = np.ones(len(own), bool)
@@ -130,23 +135,28 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     The first place, by doc_id and then by position, keeps a passage. Null and empty texts have no
     chunks and stay as they are; a copy of an earlier document of min_words words or more becomes
-    empty, its row stays. Rows of one doc_id are one document: equal ones are treated alike and do
-    not repeat each other; null is the first doc_id. All columns are carried.
+    empty, its row stays. Rows of one doc_id and one text are one document: they are treated alike
+    and do not repeat each other; rows of one doc_id with different texts are different documents,
+    as are rows without doc_id, which come first. An empty table gives an empty result; all
+    columns are carried, whatever their names.
     """
     names, doc_id, text = docs.columns, number(docs, doc_id), number(docs, text)
     docs = numbered(docs)
-    raw = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    kind = dict(raw.dtypes)["id"]
-    rows = in_batches(raw, _rows, f"id {kind}, place long, digest long")
-    first = rows.groupBy("digest").agg(F.count("*").alias("c"), F.min(F.struct("id", "place")).alias("f")).where("c > 1").select("digest", "f")
-    same = F.col("id").eqNullSafe(F.col("f.id")) & (F.col("place") == F.col("f.place"))
-    again = rows.join(first, "digest").where(~same)
-    dups = durable(again.groupBy("id").agg(F.sum(F.col("place").bitwiseAND(F.lit(255))).alias("w"), F.collect_set(F.struct("place", "digest")).alias("_dup")).where(F.col("w") >= min_words).select(F.col("id").alias("_id"), "_dup"))
-    cols = docs.columns
-    marked = probe(docs.withColumn("_key", F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), "_key", dups.select(F.coalesce(F.col("_id").cast("string"), F.lit("")).alias("_k")), "_k", BLOCKS, "_maybe").drop("_key")
+    cols, digest = docs.columns, F.xxhash64(text)
+    raw = docs.select(F.col(doc_id).alias("id"), digest.alias("h"), F.col(text).alias("text"))
+    schema = f"id {dict(raw.dtypes)['id']}, h long, place long, digest long"
+    first = in_batches(raw, _rows, schema).groupBy("digest").agg(F.count("*").alias("c"), F.min(F.struct("id", "h", "place")).alias("f"))
+    first = durable(first.where("c > 1"))
+    shared = docs.sparkSession.sparkContext.broadcast(digest_filter(first, "digest"))
+    same = F.col("id").eqNullSafe(F.col("f.id")) & (F.col("h") == F.col("f.h")) & (F.col("place") == F.col("f.place"))
+    again = meet(in_batches(raw, lambda it: _rows(it, shared), schema), first, ["digest"], "c").where(F.col("f").isNotNull() & ~same)
+    words = F.sum(F.col("place").bitwiseAND(F.lit(255)))
+    dups = durable(again.groupBy("id", "h").agg(words.alias("w"), F.collect_set("place").alias("_dup")).where(F.col("w") >= min_words).select(F.xxhash64("id", "h").alias("_at"), F.col("id").alias("_id"), F.col("h").alias("_h"), "_dup"))
+    marked = probe(docs.withColumn("_h0", digest).withColumn("_key", F.xxhash64(doc_id, "_h0")), "_key", dups, "_at", BLOCKS, "_maybe")
     spans = "array<struct<start:bigint,end:bigint>>"
     as_is = marked.where("not _maybe").select(*cols, F.array().cast(spans).alias("_spans"))
-    joined = marked.where("_maybe").join(dups, F.col(doc_id).eqNullSafe(F.col("_id")), "left").select(*cols, "_dup")
+    own = (F.col("_key") == F.col("_at")) & F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_h0") == F.col("_h"))
+    joined = marked.where("_maybe").join(dups, own, "left").select(*cols, "_dup")
     return as_is.unionByName(in_batches(joined, lambda it, at=cols.index(text): _clean(it, at, min_words), as_is.schema)).toDF(*names, "_spans")
 
 

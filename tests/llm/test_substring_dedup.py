@@ -1,7 +1,9 @@
 import random
+import re
 
 import numpy as np
 
+from cantolith.llm import bloom
 from cantolith.llm import common as C
 from cantolith.llm import substring_dedup as S
 
@@ -10,22 +12,46 @@ def text(r, n):
     return " ".join("".join(r.choice("abcdeéfghij") for _ in range(r.randrange(2, 8))) for _ in range(n))
 
 
+def cut(b):
+    """The chunks of a text, byte by byte: (start, end) pairs."""
+    out, start, n = [], 0, len(b)
+    for i in range(1, n + 1):
+        if i < n and b[i] & 0xC0 == 0x80:
+            continue
+        near = sum(int(S._GEAR[x]) << k for k, x in enumerate(reversed(b[max(0, i - 16) : i]))) & 0xFFFF
+        cuts = i < n and i >= 16 and near >> 12 == 0
+        if cuts or i == n:
+            while i - start > 256:
+                end = start + 256
+                while b[end] & 0xC0 == 0x80:
+                    end -= 1
+                out.append((start, end))
+                start = end
+            if i == n or i - start >= 16:
+                out.append((start, i))
+                start = i
+    return [x for x in out if x[0] < x[1]]
+
+
 def brute(rows):
-    """Chunks of each text alone, first places in a plain dict."""
-    made, first = {}, {}
-    for i, t in rows:
-        own = np.frombuffer((t or "").encode(), np.uint8)
-        made[i] = [x.tolist() for x in S.chunks(own, np.array([0, len(own)]))]
-        for k, g in enumerate(made[i][2]):
-            first.setdefault(g, (i, k))
-    out = {}
+    """Chunks as bytes, first places in a plain dict; rows in order."""
+    made, first = [], {}
     for i, t in rows:
-        s, e, g, w, _ = made[i]
-        dup = {k: x for k, x in enumerate(g) if first[x] != (i, k)}
         b = (t or "").encode()
-        for x, y in reversed(S.removals(s, e, g, w, dup, S.MIN_WORDS)):
-            b = b[:x] + b[y:]
-        out[i] = b.decode() if t is not None else None
+        starts = [m.start() for m in re.finditer(rb"[^\x20\x09-\x0D]+", b)]
+        made.append([(b[x:y], sum(x <= w < y for w in starts)) for x, y in cut(b)])
+        for k, (x, _) in enumerate(made[-1]):
+            first.setdefault(x, (i, t, k))
+    out = {}
+    for (i, t), parts in zip(rows, made, strict=True):
+        new, run, words = b"", b"", 0
+        for k, (x, w) in enumerate([*parts, (None, 0)]):
+            if x is not None and first[x] != (i, t, k):
+                run, words = run + x, words + w
+                continue
+            new += (run if words < S.MIN_WORDS else b"") + (x or b"")
+            run, words = b"", 0
+        out[i] = new.decode() if t is not None else None
     return out
 
 
@@ -79,3 +105,28 @@ def test_query_equals_brute_force(spark):
     d = "/root/testdata/sf0.001"
     rows = sorted(tuple(x) for x in C.table(spark, d, "documents").select("doc_id", "text").collect())
     assert {x.doc_id: x.text for x in S.op10_substring_dedup(spark, d).collect()} == brute(rows)
+
+
+def test_one_passage_in_most_rows(spark, monkeypatch):
+    r = random.Random(6)
+    p = text(r, 60)
+    rows = [(i, text(r, 20) + " " + p + " " + text(r, 20)) for i in range(120)] + [(200, p), (201, "z " * 3000)]
+    monkeypatch.setattr(C.meet, "__defaults__", (20,))  # digests of more than a twentieth of the repeated rows are broadcast
+    assert {x.doc_id: x.text for x in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == brute(rows)
+
+
+def test_rows_without_id_and_ids_with_two_texts(spark):
+    r = random.Random(7)
+    p = text(r, 60)
+    rows = [(None, p + " " + text(r, 40)), (4, text(r, 40) + " " + p), (4, text(r, 30) + " " + p), (4, None), (None, None)]
+    out = S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == 5 and sum(p in (x.text or "") for x in out) == 1
+    assert next(x.text for x in out if x.doc_id is None and x.text) == rows[0][1]
+
+
+def test_digest_filter(spark):
+    keys = spark.range(5000).selectExpr("xxhash64(id) AS d")
+    table = bloom.digest_filter(keys, "d")
+    held = np.array([x.d for x in keys.collect()])
+    other = np.array([x.d for x in spark.range(5000, 10000).selectExpr("xxhash64(id) AS d").collect()])
+    assert bloom.may_hold(table, held).all() and bloom.may_hold(table, other).sum() < 5
