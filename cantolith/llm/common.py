@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one call of a numpy kernel takes; a longer document is taken alone.
 KERNEL_BYTES = 1 << 20
+#: Rows and bytes of a batch that a kernel takes (Spark's own are larger).
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 #: Keys of more than one in so many rows are met in a broadcast, which has fewer rows than that.
 HOT = 100_000
 
@@ -45,9 +47,17 @@ def durable(df: DataFrame) -> DataFrame:
         kept.unpersist()
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most BATCH_ROWS rows and BATCH_BYTES, or of one longer row; nothing is copied."""
+    for b in batches:
+        step = max(1, min(BATCH_ROWS, b.num_rows * BATCH_BYTES // max(b.nbytes, 1)))
+        for k in range(0, b.num_rows, step):
+            yield b.slice(k, step)
+
+
 def in_batches(df: DataFrame, kernel, schema) -> DataFrame:
-    """df put through kernel(iterator of record batches); Spark bounds a batch by bytes as well as by rows."""
-    return df.mapInArrow(kernel, schema)
+    """df put through kernel(iterator of record batches), which has some megabytes at a time."""
+    return df.mapInArrow(lambda batches: kernel(sliced(batches)), schema)
 
 
 def meet(rows: DataFrame, firsts: DataFrame, keys: list[str], count: str, hot: int = HOT) -> DataFrame:

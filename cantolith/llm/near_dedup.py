@@ -234,7 +234,7 @@ def families(keys: DataFrame, texts: DataFrame, percent: int, block: int) -> Dat
     """
     found = durable(components(stars(keys)))
     while True:
-        large = found.join(found.groupBy("component").agg(F.count("*").alias("m")).where(F.col("m") > block).select("component"), "component")
+        large = meet(found, found.groupBy("component").agg(F.count("*").alias("m")), ["component"], "m").where(F.col("m") > block).select("component", "node")
         if large.isEmpty():
             return found
         large = durable(large)
@@ -260,8 +260,8 @@ def tasks(found: DataFrame, sizes: DataFrame, percent: int, block: int, most: in
     ratio = float(np.log(100 / percent))
     one = one.withColumn("size", F.floor(F.log("n") / ratio).cast("int"))
     total = one.groupBy("component", "size").agg(F.count("*").alias("m"), F.sum("n").alias("h"))
-    per = total.groupBy("component").agg(F.sum("m").alias("m"), F.sum("h").alias("h"), F.map_from_entries(F.collect_list(F.struct("size", F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("h") / most)).cast("int").alias("k")))).alias("blocks")).withColumn("whole", (F.col("m") <= block) & (F.col("h") <= most)).select("component", "whole", "blocks")
-    own = one.join(per, "component")
+    per = total.groupBy("component").agg(F.sum("m").alias("m"), F.sum("h").alias("h"), F.map_from_entries(F.collect_list(F.struct("size", F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("h") / most)).cast("int").alias("k")))).alias("blocks")).withColumn("whole", (F.col("m") <= block) & (F.col("h") <= most)).select("component", "m", "whole", "blocks")
+    own = meet(one, per, ["component"], "m")
     count = lambda c: F.coalesce(F.element_at("blocks", c), F.lit(0))
     mine = F.pmod(F.xxhash64("node", F.lit(19)), count(F.col("size"))).cast("int")
     side = lambda a, i, b, j, k: F.struct(F.xxhash64("component", a, i, b, j).alias("task"), F.lit(k).alias("side"))
