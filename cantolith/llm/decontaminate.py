@@ -2,9 +2,13 @@
 
 A window of W characters of a benchmark item and a document region within E edits of it share at
 least W + 1 - Q*(E + 1) q-grams on neighbouring diagonals. Shared q-grams are counted in diagonal
-bands that overlap by E, regions that reach the bound are retained, and an alignment inside the
-band verifies them. The benchmark is the stated query set: it is broadcast in blocks of at most
-BLOCK characters, and every block is searched in every whole document.
+bands that overlap by E, windows whose band reaches the bound are retained, and an alignment of
+each such window inside the band verifies it. The benchmark is the stated query set: it is
+broadcast in blocks of at most BLOCK characters, and every block is searched in every whole document.
+
+Long periodic stretches (ruler lines, padding) would share all their q-grams with each other. Their
+middle is left out, whole periods of it: what remains has the same windows. Shared q-grams are
+expanded at most HITS at a time, by places and then by items.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import kernel as K
 from .common import durable, in_batches, number, numbered, pieces, table, utf8
@@ -23,6 +28,10 @@ from .common import durable, in_batches, number, numbered, pieces, table, utf8
 Q, W, E, BAND = 8, 64, 6, 8
 #: Characters of a block of the benchmark; longer items are cut with W*2 characters in common.
 BLOCK = 1 << 21
+#: Characters of a piece of an item, shared q-grams that are expanded at once.
+PIECE, HITS = 1 << 16, 1 << 20
+#: Longest period of a stretch whose middle is left out; what stays of it; shared q-grams a character from which a document is looked at for such.
+PERIOD, STAY, HEAVY = 32, 2 * (W + 2 * E) + 32, 8
 _FILTER = 20
 _MULTIPLIER = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -54,20 +63,40 @@ def characters(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def shortened(codes: np.ndarray) -> np.ndarray:
+    """Places of the characters that stay when the middle of each periodic stretch of over STAY characters goes."""
+    places = np.arange(len(codes))
+    for p in range(1, PERIOD + 1):
+        own = codes[places]
+        if len(own) <= STAY:
+            break
+        same = np.r_[False, own[p:] == own[:-p], False]
+        edge = np.flatnonzero(same[1:] != same[:-1])
+        keep = np.ones(len(own), bool)
+        for i, j in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):  # own[i : j + p] has period p
+            if (spare := (j + p - i - STAY) // p * p) > 0:
+                keep[i + STAY // 2 : i + STAY // 2 + spare] = False
+        places = places[keep]
+    return places
+
+
 class Block:
     """Items' normal characters and a sorted table of their q-grams."""
 
     def __init__(self, items: list[tuple]):
-        """items: (item_id, first character, text)."""
-        self.ids, self.shift, self.codes, self.places = [], [], [], []
+        """items: (number of the item, first character, text)."""
+        parts = []
         for i, shift, text in items:
             c = characters(text)
             codes, _, places = normal(c, np.array([0, len(c)]))
-            if len(codes) >= Q:
-                self.ids.append(i)
-                self.shift.append(shift)
-                self.codes.append(codes)
-                self.places.append(places)
+            stay = shortened(codes)
+            if len(stay) >= Q:
+                parts.append((i, shift, codes[stay], places[stay]))
+        self.fill(parts)
+
+    def fill(self, parts: list[tuple]) -> Block:
+        self.parts, self.halves = parts, None
+        self.ids, self.shift, self.codes, self.places = (list(x) for x in zip(*parts, strict=True)) if parts else ([], [], [], [])
         n = np.array([len(c) for c in self.codes], np.int64)
         self.window = np.minimum(n, W)
         # an item shorter than W has a budget in proportion, and never one that leaves no q-gram to find
@@ -81,92 +110,129 @@ class Block:
         self.at = np.concatenate([*(np.arange(len(g)) for g in found), np.zeros(0, np.int64)])[order].astype(np.int32)
         self.some = np.zeros(1 << _FILTER, bool)
         self.some[(self.keys >> np.uint64(64 - _FILTER)).astype(np.int64)] = True
+        return self
+
+    def split(self) -> tuple[Block, Block]:
+        """Two blocks with half of the items each."""
+        if self.halves is None:
+            k = len(self.parts) // 2
+            self.halves = tuple(Block.__new__(Block).fill(x) for x in (self.parts[:k], self.parts[k:]))
+        return self.halves
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place, item, place in the item) of every shared q-gram."""
+    def __getstate__(self):
+        return {**self.__dict__, "halves": None}
+
+    def shared(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places with a q-gram of the block, the first of its rows and their number."""
         g = grams(codes)
         where = np.flatnonzero(self.some[(g >> np.uint64(64 - _FILTER)).astype(np.int64)])
         first = np.searchsorted(self.keys, g[where])
         count = np.searchsorted(self.keys, g[where], side="right") - first
-        where, first, count = where[count > 0], first[count > 0], count[count > 0]
-        row = np.repeat(first - np.r_[0, np.cumsum(count)][:-1], count) + np.arange(count.sum())
-        return np.repeat(where, count), self.item[row], self.at[row]
+        some = count > 0
+        return where[some], first[some], count[some]
+
+    def candidates(self, codes: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[Block, list[tuple]]]:
+        """Parts of the block with (document, item, lowest diagonal, first and last window) of bands that reach the bound."""
+        where, first, count = self.shared(codes)
+        sums = np.r_[0, np.cumsum(count)]
+        i = 0
+        while i < len(where):
+            # as many places as HITS allows; slices overlap by what a window can span, so each is whole in one of them
+            j = max(int(np.searchsorted(sums, sums[i] + HITS, side="right")) - 1, int(np.searchsorted(where, where[i] + 2 * (W + E + Q))))
+            if sums[j] - sums[i] > HITS and len(self.parts) > 1:
+                lo, hi = int(where[i]), int(where[j - 1]) + Q
+                for half in self.split():
+                    for part, found in half.candidates(codes[lo:hi], np.clip(offsets - lo, 0, hi - lo)):
+                        yield part, [(d, t, low + lo, s, e) for d, t, low, s, e in found]
+            else:
+                yield self, self.bands(offsets, where[i:j], first[i:j], count[i:j])
+            if j == len(where):
+                break
+            i = int(np.searchsorted(where, where[j] - (W + E + Q)))
 
-    def regions(self, codes: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(document, item, first and last place, lowest diagonal of the band) where a band reaches the bound."""
-        where, item, at = self.hits(codes)
+    def bands(self, offsets: np.ndarray, where: np.ndarray, first: np.ndarray, count: np.ndarray) -> list[tuple]:
+        row = np.repeat(first - np.r_[0, np.cumsum(count)][:-1], count) + np.arange(count.sum())
+        where, item, at = np.repeat(where, count), self.item[row].astype(np.int64), self.at[row].astype(np.int64)
         doc = np.searchsorted(offsets, where, side="right") - 1
         inside = where + Q <= offsets[doc + 1]
-        where, item, at, doc = where[inside], item[inside].astype(np.int64), at[inside], doc[inside]
+        where, item, at, doc = where[inside], item[inside], at[inside], doc[inside]
         diagonal = where - at + (1 << 31)  # never below zero
         band = diagonal // BAND
         twice = diagonal % BAND < E  # the lower band reaches E beyond
-        doc, item, at, where, band = (np.r_[x, x[twice] - (x is band)] for x in (doc, item, at, where, band))
+        band = np.r_[band, band[twice] - 1]
+        doc, item, at = (np.r_[x, x[twice]] for x in (doc, item, at))
         bucket = (K.mix(((doc * len(self.ids) + item) << 34 ^ band).astype(np.uint64)) >> np.uint64(64 - _FILTER)).astype(np.int64)
-        dense = np.bincount(bucket, minlength=1 << _FILTER)[bucket] >= self.bound[item]  # too few hits of any kind: no region
-        doc, item, at, where, band = (x[dense] for x in (doc, item, at, where, band))
-        order = np.lexsort((where, at, band, doc * len(self.ids) + item))
-        doc, item, at, where, band = (x[order] for x in (doc, item, at, where, band))
+        dense = np.bincount(bucket, minlength=1 << _FILTER)[bucket] >= self.bound[item]  # too few hits of any kind: no window
+        doc, item, at, band = (x[dense] for x in (doc, item, at, band))
         key = doc * len(self.ids) + item
+        order = np.lexsort((at, band, key))
+        doc, item, at, band, key = (x[order] for x in (doc, item, at, band, key))
         new = np.ones(len(key), bool)  # a place of the item counts once, however often repetitive text meets it in a band
         new[1:] = (key[1:] != key[:-1]) | (band[1:] != band[:-1]) | (at[1:] != at[:-1])
-        doc, item, at, where, band, key = (x[new] for x in (doc, item, at, where, band, key))
+        doc, item, at, band, key = (x[new] for x in (doc, item, at, band, key))
         last = np.arange(len(key)) + self.bound[item] - 1
         ok = last < len(key)
         idx, last = np.flatnonzero(ok), last[ok]
         good = (key[idx] == key[last]) & (band[idx] == band[last]) & (at[last] - at[idx] <= self.window[item[idx]] - Q)
         out: list[list[int]] = []
         for i, j in zip(idx[good].tolist(), last[good].tolist(), strict=True):
-            row = [int(doc[i]), int(item[i]), int(min(where[i], where[j])), int(max(where[i], where[j])) + Q, int(band[i]) * BAND - (1 << 31)]
-            if out and out[-1][:2] == row[:2] and out[-1][4] == row[4] and row[2] <= out[-1][3] + W:
-                out[-1][3] = max(out[-1][3], row[3])
+            t = int(item[i])
+            w, n = int(self.window[t]), len(self.codes[t])
+            row = [int(doc[i]), t, int(band[i]) * BAND - (1 << 31), max(0, int(at[j]) + Q - w), min(n - w, int(at[i]))]
+            if out and out[-1][:3] == row[:3] and row[3] <= out[-1][4] + 1:
+                out[-1][4] = max(out[-1][4], row[4])
             else:
                 out.append(row)
         return [tuple(x) for x in out]
 
-    def verify(self, codes: np.ndarray, begin: int, end: int, region: tuple) -> tuple[int, int, int, int, int] | None:
-        """(start, end, item start, item end, edits) of a region that an alignment inside its band confirms."""
-        _, t, first, last, low = region
+    def verify(self, codes: np.ndarray, begin: int, end: int, t: int, low: int, first: int, last: int) -> list[tuple[int, int, int, int]]:
+        """(start, end, item start, edits) of each window of an item that an alignment inside the band confirms."""
         item, w, e = self.codes[t], int(self.window[t]), int(self.budget[t])
-        a, b = max(0, first - low - BAND - E - w), min(len(item), last - low + w)
+        out = []
         lo, width = low - E, BAND + 3 * E + 1  # diagonals of the band and E on both sides
-        row = np.zeros(width, np.int64)
         steps = np.arange(width)
-        kept = []
-        for i in range(a, b):  # row[d]: least edits of item[a:i+1] ending at place i + lo + d
-            place = i + lo + steps
-            differs = np.ones(width, np.int64)
-            valid = (place >= begin) & (place < end)
-            differs[valid] = codes[place[valid]] != item[i]
-            over = row + differs
-            skip = np.r_[row[1:], row[-1] + w] + 1
-            best = np.minimum(over, skip)
-            new = np.minimum.accumulate(best - steps) + steps
-            kept.append((over, skip, new))
-            row = new
-        d, costs, at = int(np.argmin(row)), np.zeros(b - a, np.int64), np.zeros(b - a, np.int64)
-        for i in range(b - a - 1, -1, -1):
-            over, skip, new = kept[i]
-            before = kept[i - 1][2] if i else np.zeros(width, np.int64)
-            while d > 0 and new[d] < over[d] and new[d] < skip[d]:
-                d -= 1
-                costs[i] += 1
-            at[i] = a + i + lo + d
-            if new[d] == over[d]:
-                costs[i] += new[d] - before[d] if new[d] >= before[d] else 0
-            else:
-                costs[i] += 1
-                d += 1
-        sums = np.r_[0, np.cumsum(costs)]
-        ok = np.flatnonzero(sums[w:] - sums[:-w] <= e)
-        if not len(ok):
-            return None
-        i, j = int(ok[0]), int(ok[-1]) + w
-        return max(begin, int(at[i])), min(end, int(at[j - 1]) + 1), a + i, a + j, int(sums[j] - sums[i])
-
-
-def _search(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    block: Block = shared.value
+        for k in range(first, last + 1, 1024):
+            s = np.arange(k, min(k + 1024, last + 1))[:, None]
+            origin = s + lo + steps  # where the alignment that ends at a cell begins
+            row = np.zeros(origin.shape, np.int64)  # least edits of item[s : s + i] ending before place s + i + lo + d
+            for i in range(w):
+                place = s + i + lo + steps
+                valid = (place >= begin) & (place < end)
+                over = row + ~(valid & (codes[np.clip(place, 0, len(codes) - 1)] == item[s + i]))
+                best, source = over, origin
+                less = row[:, 1:] + 1 < over[:, :-1]  # a character of the item is missing
+                best[:, :-1][less] = row[:, 1:][less] + 1
+                source = source.copy()
+                source[:, :-1][less] = origin[:, 1:][less]
+                row = np.minimum.accumulate(best - steps, axis=1)  # characters of the document that the item has not
+                fresh = np.ones(row.shape, bool)
+                fresh[:, 1:] = row[:, 1:] < row[:, :-1]
+                origin = np.take_along_axis(source, np.maximum.accumulate(np.where(fresh, steps, 0), axis=1), axis=1)
+                row = row + steps
+            d = row.argmin(axis=1)
+            each = np.arange(len(d))
+            for x in np.flatnonzero(row[each, d] <= e).tolist():
+                at = int(s[x, 0])
+                a, b = max(begin, int(origin[x, d[x]])), min(end, at + w + lo + int(d[x]))
+                out.append((a, max(a, b), at, int(row[x, d[x]])))
+        return out
+
+
+def merged(found: list[tuple[int, int, int, int]], window: int) -> list[tuple[int, int, int, int, int]]:
+    """(start, end, item start, item end, most edits of a window) of windows that overlap in the document and in the item."""
+    out: list[list[int]] = []
+    for a, b, at, edits in sorted(set(found), key=lambda x: (x[2], x[0])):
+        for o in reversed(out[-8:]):
+            if a <= o[1] and o[0] <= b and at <= o[3]:
+                o[0], o[1], o[3], o[4] = min(a, o[0]), max(b, o[1]), max(o[3], at + window), max(o[4], edits)
+                break
+        else:
+            out.append([a, b, at, at + window, edits])
+    return sorted(tuple(x) for x in out)
+
+
+def _search(batches: Iterator[pa.RecordBatch], shared, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    block, items = shared.value
     for batch in batches:
         data, offsets = utf8(batch.column(1))
         rows = []
@@ -175,37 +241,47 @@ def _search(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
             heads = np.r_[0, np.cumsum((part & 0xC0) != 0x80)]
             old = heads[offsets[i : j + 1] - offsets[i]]
             codes, bounds, places = normal(characters(part.tobytes().decode()), old)
-            done: dict[tuple[int, int], list] = {}
-            for r in block.regions(codes, bounds):
-                begin, end = int(bounds[r[0]]), int(bounds[r[0] + 1])
-                if any(s <= r[2] and r[3] <= x for s, x, *_ in done.get(r[:2], ())):
-                    continue
-                if v := block.verify(codes, begin, end, r):
-                    mine = done.setdefault(r[:2], [])
-                    if all(v[0] >= x[1] or v[1] <= x[0] for x in mine):
-                        mine.append(v)
-            for (d, t), found in sorted(done.items()):
-                spots, shift = block.places[t], block.shift[t]
-                for s, e, x, y, edits in sorted(found):
-                    rows.append((i + d, block.ids[t], int(places[s] - old[d]), int(places[e - 1] - old[d]) + 1, shift + int(spots[x]), shift + int(spots[y - 1]) + 1, edits))
+            where, _, count = block.shared(codes)
+            heavy = np.flatnonzero(np.diff(np.r_[0, np.cumsum(count)][np.searchsorted(where, bounds)]) > HEAVY * np.diff(bounds))
+            if len(heavy):
+                keep = np.ones(len(codes), bool)
+                for d in heavy.tolist():
+                    keep[bounds[d] : bounds[d + 1]] = False
+                    keep[bounds[d] + shortened(codes[bounds[d] : bounds[d + 1]])] = True
+                codes, places, bounds = codes[keep], places[keep], np.r_[0, np.cumsum(keep)][bounds]
+            done: dict[tuple[int, int, int], list] = {}
+            windows = {}
+            for own, found in block.candidates(codes, bounds):
+                for d, t, low, first, last in found:
+                    key = (d, own.ids[t], own.shift[t])
+                    windows[key] = (int(own.window[t]), own.places[t])
+                    done.setdefault(key, []).extend(own.verify(codes, int(bounds[d]), int(bounds[d + 1]), t, low, first, last))
+            for (d, number, shift), found in sorted(done.items()):
+                window, spots = windows[d, number, shift]
+                for s, e, x, y, edits in merged(found, window):
+                    e = max(e, s + 1)
+                    rows.append((i + d, items[number], int(places[s] - old[d]), int(places[e - 1] - old[d]) + 1, shift + int(spots[x]), shift + int(spots[y - 1]) + 1, edits))
         cols = list(zip(*rows, strict=True)) or [[]] * 7
-        yield pa.record_batch([batch.column(0).take(pa.array(cols[0], pa.int64())), *(pa.array(c, pa.int64()) for c in cols[1:])], ["id", "item", "start", "end", "item_start", "item_end", "edits"])
+        yield pa.record_batch([batch.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], kind), *(pa.array(c, pa.int64()) for c in cols[2:])], ["id", "item", "start", "end", "item_start", "item_end", "edits"])
 
 
-def blocks(benchmark: DataFrame, item_id: str, text: str, size: int) -> Iterator[list[tuple]]:
-    """The items, in blocks of about size characters; the driver holds one block at a time."""
-    items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t")).where("i is not null and t is not null")
-    block, filled = [], 0
+def blocks(benchmark: DataFrame, item_id: str, text: str, size: int) -> Iterator[tuple[list[tuple], list]]:
+    """The items in blocks of about size characters, as (number, first character, text) and their ids; the driver holds one block at a time."""
+    items = benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t")).where("i is not null and t is not null")
+    block, ids, filled = [], [], 0
+    step = min(size, PIECE)
     for row in items.toLocalIterator():
-        for k in range(0, max(1, len(row.t) - 2 * W), size):
-            piece = row.t[k : k + size + 2 * W]
+        for k in range(0, max(1, len(row.t) - 2 * W), step):
+            piece = row.t[k : k + step + 2 * W]
             if filled + len(piece) > size and block:
-                yield block
-                block, filled = [], 0
-            block.append((row.i, k, piece))
+                yield block, ids
+                block, ids, filled = [], [], 0
+            if not ids or ids[-1] != row.i:
+                ids.append(row.i)
+            block.append((len(ids) - 1, k, piece))
             filled += len(piece)
     if block:
-        yield block
+        yield block, ids
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = BLOCK) -> DataFrame:
@@ -215,15 +291,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     lower-casing A-Z and joining white space; places are characters of the texts as they are.
     Items of fewer than Q characters can't be found, nor can null ids or texts; null and empty
     documents have no leaks. Documents are searched row by row: repeated rows and null ids get
-    rows of their own. Other columns are not carried.
+    rows of their own, as have repeated items. edits is the most that a window of the region
+    needs. A long periodic stretch is found at its ends or as a whole. Other columns are not
+    carried; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     raw = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    schema = f"id {dict(raw.dtypes)['id']}, item long, start long, end long, item_start long, item_end long, edits long"
+    schema = f"id {dict(raw.dtypes)['id']}, item {dict(benchmark.dtypes)[item_id]}, start long, end long, item_start long, item_end long, edits long"
+    kind = to_arrow_type(benchmark.schema[item_id].dataType)
     out = None
-    for items in blocks(benchmark, item_id, item_text, size):
-        shared = spark.sparkContext.broadcast(Block(items))
-        part = in_batches(raw, lambda it, shared=shared: _search(it, shared), schema)
+    for items, ids in blocks(benchmark, item_id, item_text, size):
+        shared = spark.sparkContext.broadcast((Block(items), ids))
+        part = in_batches(raw, lambda it, shared=shared: _search(it, shared, kind), schema)
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = spark.createDataFrame([], schema)
@@ -231,7 +310,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without those that have a leak; all columns are carried, rows without doc_id are judged by text."""
+    """docs without those that have a leak.
+
+    Rows without doc_id are judged by their text, rows of one doc_id each by its own; null and empty
+    texts stay; an empty table gives an empty result. All columns are carried, whatever their names.
+    """
     d, t = numbered(docs), number(docs, text)
     key = F.xxhash64(number(docs, doc_id), t)
     found = durable(find_leaks(d.withColumn("_key", key), benchmark, "_key", t).select(F.col("_key").alias("_leak")).distinct())
