@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, in_batches, table
+from .common import durable, in_batches, meet, table
 from .url_filter import url_parts
 
 #: Pages of a host, of different main texts, that make a subtree a template.
@@ -35,23 +35,72 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 ENDS_P = BLOCK - {"option", "title", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend"}
 ITSELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",), "p": ()}
 SAME = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
-DROP = frozenset("head nav header footer aside form script style noscript template iframe svg canvas math button select textarea object audio video dialog menu title xmp noembed noframes datalist".split())
+DROP = frozenset("head nav header footer aside form script style noscript template iframe svg canvas button select textarea object audio video dialog menu title xmp noembed noframes datalist".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li td th dd dt figcaption".split())
 CONTAINER = frozenset("div section ul ol table nav header footer aside form p article dl menu figure details address".split())
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner promo promotion sponsor sponsored sidebar menu navbar nav navigation breadcrumb breadcrumbs masthead footer topbar toolbar notice notices cookie cookies consent gdpr alert newsletter subscribe subscription signup login search share sharing social comment comments commentlist disqus respond replies reply related recommended widget popup modal overlay pagination pager paywall skip copyright legal disclaimer".split()
 )
+# What may stand beside a word of NAMES in one class ("site-footer", "related-posts"); beside other words it means something else ("related-work").
+BESIDE = frozenset(
+    "site page main top bottom left right center upper lower primary secondary tertiary global local inner outer mobile desktop sticky fixed floating header head foot body content text box block list lists link links item items container wrapper wrap inner section sections area region panel bar row col column grid card button buttons icon icons group set post posts article articles story stories entry entries form field slot unit units zone space media module component title heading label message messages policy bottombar side js wp the my and is has".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 MAIN = frozenset("content article post entry story main".split())
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
+OPEN = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][^\s/>]*))")
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WORDS = re.compile(r"[a-z0-9]+")
+BARRIER = frozenset("div section article td th main body aside button".split())
 HEADING = re.compile(r"h[1-6]$")
 HEADER = frozenset(["header"])
 COMMENTS = frozenset("comment comments commentlist disqus respond replies reply".split())
 
 
+def tags(source: str) -> Iterator[tuple[int, int, str | None, bool, str]]:
+    """(start, end, name, whether it closes, attributes) of each tag; name is None for comments and declarations.
+
+    A '>' in quotes does not end a tag, unless the quotes are never closed. After a tag whose content is
+    no markup the caller sends where to go on.
+    """
+    last = {q: source.rfind(q) for q in "\"'"}
+    at = 0
+    while m := OPEN.search(source, at):
+        if m[1]:
+            at = source.find("-->", m.end())
+            at = len(source) if at < 0 else at + 3
+            yield m.start(), at, None, False, ""
+            continue
+        end = source.find(">", m.end())
+        end = len(source) if end < 0 else end
+        attributes = source[m.end() : end]
+        if m[3] and (attributes.count('"') % 2 or attributes.count("'") % 2):
+            k = m.end()
+            while k < len(source) and source[k] != ">":
+                if source[k] in last:
+                    if last[source[k]] <= k:  # never closed
+                        k = len(source)
+                        break
+                    k = source.index(source[k], k + 1)
+                k += 1
+            if k < len(source):
+                end, attributes = k, source[m.end() : k]
+        at = min(end + 1, len(source))
+        moved = yield m.start(), at, m[3], bool(m[2]), attributes
+        if moved is not None:
+            at = moved
+            yield at, at, None, False, ""
+
+
+def named(value: str) -> bool:
+    """Whether a class or id has a token that names something other than the article."""
+    for token in value.split():
+        words = [w for w in WORDS.findall(token) if not w.isdigit()]
+        if token in NAMES or not NAMES.isdisjoint(words) and all(w in NAMES or w in BESIDE or len(w) == 1 for w in words):
+            return True
+    return False
+
+
 class Page:
     """Elements in page order (0 is the page), and the texts and block borders between them."""
 
@@ -61,43 +110,44 @@ class Page:
         parts: list[list[int]] = [[]]
         self.hash = [0]
         stack, at = [0], 0
+        spots: dict[str, list[int]] = {}  # places in the stack of the open elements of each name
+        barriers = [0]
 
         def leave(k):
             for x in reversed(stack[k:]):
                 self.hash[x] = hash((xxhash.xxh64_intdigest(self.tag[x]), *parts[x]))
                 if x:
                     parts[self.parent[x]].append(self.hash[x])
+                    spots[self.tag[x]].pop()
+                    if self.tag[x] in BARRIER:
+                        barriers.pop()
                 if self.tag[x] in BLOCK:
                     self.items.append((self.parent[x], None))
             del stack[k:]
 
+        def nearest(names):
+            return max((spots[n][-1] for n in names if spots.get(n)), default=0)
+
         def text(t):
             if t:
                 self.items.append((stack[-1], html.unescape(t) if "&" in t else t))
                 parts[stack[-1]].append(xxhash.xxh64_intdigest(" ".join(t.split())))
 
-        while m := TAG.search(source, at):
-            text(source[at : m.start()])
-            at = m.end()
-            name = m[2] or m[5]
+        markup = tags(source)
+        for start, end, name, closes, attributes in markup:
+            text(source[at:start])
+            at = end
             if name is None:
                 continue
-            name, attributes = name.lower(), m[3] or m[6] or ""
-            if m[1] or m[4]:
-                for k in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[k]] == name:
-                        leave(k)
-                        break
+            name = name.lower()
+            if closes:
+                if k := nearest((name,)):
+                    leave(k)
                 continue
             if name in ENDS_P or name in ITSELF:
-                mine = SAME.get(name, (name,))
-                for k in range(len(stack) - 1, 0, -1):
-                    open_ = self.tag[stack[k]]
-                    if open_ == "p" and name in ENDS_P or name in ITSELF and open_ in mine:
-                        leave(k)
-                        break
-                    if open_ in ITSELF.get(name, ()) or open_ in ("div", "section", "article", "td", "th", "main", "body", "aside", "button"):
-                        break
+                k = nearest((*(("p",) if name in ENDS_P else ()), *(SAME.get(name, (name,)) if name in ITSELF else ())))
+                if k and k >= max(barriers[-1], nearest(ITSELF.get(name, ()))):
+                    leave(k)
             node = len(self.tag)
             self.tag.append(name)
             self.parent.append(stack[-1])
@@ -111,14 +161,19 @@ class Page:
             if name in VOID or attributes.endswith("/") and name in ("svg", "path"):
                 parts[stack[-1]].append(xxhash.xxh64_intdigest(name))
                 continue
+            spots.setdefault(name, []).append(len(stack))
+            if name in BARRIER:
+                barriers.append(len(stack))
             stack.append(node)
             if name in RAW:
-                end = re.compile(rf"</{re.escape(name)}\b", re.I).search(source, at)
-                at = end.start() if end else len(source)
+                close = re.compile(rf"</{re.escape(name)}\b", re.I).search(source, at)
+                markup.send(close.start() if close else len(source))
+                text(source[at : close.start() if close else len(source)])
+                at = close.start() if close else len(source)
         text(source[at:])
         leave(0)
         self.dropped = self.by_page()
-        self.main = self.find_main()
+        self.mains = self.find_main()
 
     def by_page(self) -> list[bool]:
         """Whether an element is no text of the article by its tag, role or class; notes which are headers."""
@@ -132,7 +187,7 @@ class Page:
                     name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
                     if name in ("class", "id"):
                         words = WORDS.findall(value)
-                        if not drop and not NAMES.isdisjoint(words):
+                        if not drop and named(value):
                             drop = True
                             if COMMENTS.isdisjoint(words):
                                 by_name.append(k)
@@ -165,45 +220,49 @@ class Page:
                 n[self.parent[k]] += n[k]
         return n
 
-    def find_main(self) -> int:
-        """The article, the main element, the one called so, or the smallest with nearly all the text."""
+    def find_main(self) -> set[int]:
+        """The articles that are in no other one, the main elements, the element called so, or the smallest with nearly all the text."""
         n = self.weights()
 
-        def inside(k):  # whether something around an element drops it
-            k = self.parent[k]
-            while k > 0:
-                if self.dropped[k] and not self.header[k]:
-                    return True
-                k = self.parent[k]
-            return False
+        within = [False] * len(n)  # whether something around an element drops it
+        for k in range(1, len(n)):
+            up = self.parent[k]
+            within[k] = within[up] or up > 0 and self.dropped[up] and not self.header[up]
 
         role = lambda k: any(m[1].lower() == "role" and (m[2] or "").strip("\"'").lower() in ("main", "article") for m in ATTRIBUTE.finditer(self.attributes[k]))
         called = lambda k: self.tag[k] in ("div", "section") and any(m[1].lower() in ("class", "id") and not MAIN.isdisjoint(WORDS.findall((m[2] or "").lower())) for m in ATTRIBUTE.finditer(self.attributes[k]))
         for is_main in (lambda k: self.tag[k] == "article", lambda k: self.tag[k] == "main" or role(k), called):
-            found = [k for k in range(1, len(n)) if is_main(k) and n[k] and not self.dropped[k] and not inside(k)]
+            found = [k for k in range(1, len(n)) if is_main(k) and n[k] and not self.dropped[k] and not within[k]]
+            if found and is_main is called:
+                return {max(found, key=lambda k: (n[k], -k))}
             if found:
-                return max(found, key=lambda k: (n[k], -k))
+                held = [False] * len(n)  # whether one of found is around an element
+                own = set(found)
+                for k in range(1, len(n)):
+                    held[k] = held[self.parent[k]] or self.parent[k] in own
+                return {k for k in found if not held[k]}
         best = 0
         for k in range(1, len(n)):
             if self.parent[k] == best and not self.dropped[k] and 10 * n[k] >= 9 * n[best] > 0:
                 best = k
-        return best
+        return {best}
 
     def around(self) -> set[int]:
-        """The main element and all that hold it."""
-        out, k = set(), self.main
-        while k >= 0:
-            out.add(k)
-            k = self.parent[k]
+        """The main elements and all that hold one."""
+        out: set[int] = set()
+        for k in self.mains:
+            while k >= 0 and k not in out:
+                out.add(k)
+                k = self.parent[k]
         return out
 
     def subtrees(self) -> list[int]:
         """Elements that may be template: containers, but none that holds the main element, nor prose inside it."""
         around, within = self.around(), [False] * len(self.tag)
-        article = self.tag[self.main] in ("article", "main")
+        article = all(self.tag[k] in ("article", "main") for k in self.mains)
         out = []
         for k in range(1, len(self.tag)):
-            within[k] = within[self.parent[k]] or self.parent[k] == self.main
+            within[k] = within[self.parent[k]] or self.parent[k] in self.mains
             if self.tag[k] in CONTAINER and k not in around and not (within[k] and (article and self.tag[k] in PROSE or self.tag[k] == "p" and article)):
                 out.append(k)
         return out
@@ -214,10 +273,11 @@ class Page:
         out = [False] * len(self.tag)  # whether an element's own text is left out
         only_header = [False] * len(self.tag)  # because of a header in the article alone, whose headings stay
         outside = [True] * len(self.tag)
-        outside[self.main] = False
+        for k in self.mains:
+            outside[k] = False
         for k in range(1, len(self.tag)):
             up = self.parent[k]
-            outside[k] = k != self.main and outside[up]
+            outside[k] = k not in self.mains and outside[up]
             if k in around:
                 continue
             own = k in template or self.dropped[k] and not self.header[k]
@@ -290,15 +350,16 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
     host, _ = url_parts(F.col("url"))
     raw = pages.select(F.col(page_id).alias("id"), F.col(url).alias("url"), F.col(source).alias("html")).select("id", "url", host.alias("host"), "html")
     seen = in_batches(raw.select("host", "html"), _subtrees, "key long, print long")
-    templates = durable(seen.distinct().groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("key"))
+    templates = durable(seen.distinct().groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= least))
     schema = f"id {dict(raw.dtypes)['id']}, url {dict(raw.dtypes)['url']}, text string"
     if templates.count() <= most:
-        known = np.sort(np.asarray(templates.toArrow()["key"].combine_chunks()))  # bounded by the count
+        known = np.sort(np.asarray(templates.select("key").toArrow()["key"].combine_chunks()))  # bounded by the count
         shared = pages.sparkSession.sparkContext.broadcast(known)
         out = in_batches(raw.withColumn("own", F.lit(None).cast("array<long>")), lambda it: _texts(it, shared), schema)
     else:
         marked = raw.withColumn("page", F.xxhash64("host", "html"))
-        per_page = in_batches(marked.select("page", "host", "html"), _page_keys, "page long, key long").distinct().join(templates, "key").groupBy("page").agg(F.collect_list("key").alias("own"))
+        seen = in_batches(marked.select("page", "host", "html"), _page_keys, "page long, key long").distinct()
+        per_page = meet(seen, templates, ["key"], "n").where("n is not null").groupBy("page").agg(F.collect_list("key").alias("own"))
         out = in_batches(marked.join(per_page, "page", "left").select("id", "url", "host", "html", "own"), lambda it: _texts(it, None), schema)
     return out.select(F.col("id").alias(page_id), F.col("url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))
 

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 from cantolith.llm import html_text as H
 
@@ -39,6 +40,10 @@ def test_page_rules():
         (page("<article><h1>A</h1><p>x</p><blockquote>q</blockquote><pre>a  b</pre><figure><img><figcaption>cap</figcaption></figure></article>"), "A\nx\nq\na b\ncap"),
         (page('<div class="layout with-sidebar"><article><p>Long enough to be most of it</p></article><div class="sidebar">s</div></div>'), "Long enough to be most of it"),
         (page('<article class="post"><p>Short</p><section class="comments"><p>A long comment</p><p>another one</p><p>and a third of them</p></section></article>'), "Short"),
+        (page("<article><p>First</p></article><article><p>The second and longer one</p></article>"), "First\nThe second and longer one"),
+        (page('<article><section class="related-work"><p>Earlier work</p></section><p class="share-price">12.50</p><p>It is <math><mi>x</mi></math>.</p></article>'), "Earlier work\n12.50\nIt is x."),
+        (page('<article><p>P</p><div class="related-posts">r</div><div class="social-share-buttons">s</div><div class="post__comments">c</div><p id="legal-text">l</p></article>'), "P"),
+        (page('<main><p>One</p></main><div>not main</div><div role="main"><p>Two</p></div>'), "One\nTwo"),
         ("<article><table><tr><td>a<td>b<tr><td>c</table></article>", "a\nb\nc"),
     ]
     for source, want in cases:
@@ -60,3 +65,10 @@ def test_templates_of_a_host_go_and_copies_stay(spark):
         assert all(got[200 + k] == "The same page\nmany times" for k in range(20))
         assert got[300] == got[301] == got[302] == "" and got[None] == "t"
     assert H.extract(df.limit(0)).count() == 0
+
+
+def test_broken_markup_takes_linear_time():
+    for source in ("<div><b>" * 60_000 + "</i>" * 60_000, "<a href=\"x>'y " * 60_000, "<p><button>" + "<b>" * 60_000 + "<hr>" * 60_000, "<i>" + "<b>" * 60_000 + "<li>" * 60_000, "<" * 300_000):
+        began = time.perf_counter()
+        H.Page(source).text()
+        assert time.perf_counter() - began < 4, source[:20]
