@@ -1,13 +1,17 @@
 """License scans: ordered signature rules behind a keyword prefilter.
 
-Rules are made from FAMILIES and TEMPLATES: a few hundred regexes, each with a keyword that any
-match contains once runs of white space are joined to one space, a priority and a confidence. A
-text is searched with the rules of the keywords that it holds in that form. A detection that lies inside one of higher or equal priority is suppressed; detections that
-merely overlap stay. Base phrases are found as words in a row and are never suppressed.
+There are hand-written signatures of license texts and notices (BODIES), and rules made from
+FAMILIES and TEMPLATES for names, versions and web addresses: some hundreds of regexes, each with
+words that any match holds, a priority and a confidence. A text is searched with the rules whose
+words it holds. The operands of SPDX expressions are looked up one by one. A detection that lies
+inside one of higher or equal priority is suppressed; detections that merely overlap stay. Base
+phrases are found as words in a row and are never suppressed.
 """
 
 from __future__ import annotations
 
+import bisect
+import functools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,7 +38,8 @@ FAMILIES = (
     ("gpl", "general public", r"(?:gnu )?general public licen[sc]e", r"gpl-\d[.\d]*(?:-only|-or-later|\+)?", r"gnu\.org/licenses/gpl"),
     ("gpl", "gpl", r"(?:gnu )?gpl", r"gpl", r"gnu\.org/copyleft/gpl"),
     ("gfdl", "free documentation", r"(?:gnu )?free documentation licen[sc]e", r"gfdl-\d[.\d]*", r"gnu\.org/licenses/fdl"),
-    ("apache", "apache", r"apache(?: software)?(?: licen[sc]e)?", r"apache-\d[.\d]*", r"apache\.org/licenses/license"),
+    ("apache", "apache licen", r"apache(?: software)? licen[sc]e", r"apache-\d[.\d]*", r"apache\.org/licenses/license"),
+    ("apache", "apache", r"apache(?: software)?", r"apache", r"apache\.org/licenses"),
     ("mit", "mit licen", r"mit licen[sc]e", r"mit", r"opensource\.org/licenses?/mit"),
     ("expat", "expat", r"expat licen[sc]e", r"expat", r"directory\.fsf\.org/wiki/license:expat"),
     ("bsd", "bsd", r"(?:\d-clause |new |modified |simplified |original )?bsd(?:[ -]\d[ -]clause)?", r"bsd-\d-clause", r"opensource\.org/licenses?/bsd"),
@@ -96,13 +101,90 @@ TEMPLATES = (
     (r"\blicen[sc]e ?[:=] ?\"?{name}\b{version}", 80, 0.9),
     (r"\b{name}\b{version},? licen[sc]e\b", 60, 0.7),
 )
-SPDX = (r"\bspdx-licen[sc]e-identifier: ?\(?(?:{spdx})(?![\w.])", 100, 1.0)
+#: A whole name with its version: (template, priority, confidence), for names that say license themselves.
+BARE = (r"\b{name}\b{version}", 65, 0.7)
+#: The head of an SPDX expression, which ends with its line; an operand; what is no operand, and the word before an exception.
+SPDX, OPERAND, JOINS, EXCEPT = re.compile(r"\bspdx-licen[sc]e-identifier[ \t]?:[ \t]*([^\r\n]{1,1000})"), re.compile(r"[a-z0-9][a-z0-9.+-]*"), frozenset(["and", "or"]), "with"
+SPDX_PRIORITY = 100
 WEB = (r"\b(?:https?://)?(?:www\.)?{web}", 50, 0.85)
 
 
+# Fixed values: (label, phrase, priority, confidence) of license texts and notices. Between words any white space and signs
+# of comments may stand; "..." is anything of up to 200 characters, "#" a version, "a|b" either word.
+BODIES = (
+    ("mit", "permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation", 97, 0.97),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 80, 0.85),
+    ("mit-0", "permission is hereby granted, free of charge ... to deal in the software without restriction ... so. the software is provided", 96, 0.8),
+    ("bsl", "permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation", 97, 0.97),
+    ("unicode", "permission is hereby granted, free of charge, to any person obtaining a copy of the unicode|data data|files", 97, 0.95),
+    ("permissive", "permission is hereby granted, free of charge", 60, 0.7),
+    ("ncsa", "to deal with the software without restriction", 80, 0.85),
+    ("bsd", "redistribution and use in source and binary forms, with or without modification, are permitted", 90, 0.95),
+    ("bsd", "redistribution and use in source and binary forms", 60, 0.8),
+    ("bsd-3-clause", "neither the name|names of ... may be used to endorse or promote products derived from this software", 95, 0.95),
+    ("bsd-3-clause", "the name of the author|authors may not be used to endorse or promote products", 94, 0.9),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledgement|acknowledgment", 96, 0.95),
+    ("bsd-2-clause", "redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer", 70, 0.7),
+    ("isc", "permission to use, copy, modify, and|and/or distribute this software for any purpose with or without fee is hereby granted", 97, 0.97),
+    ("hpnd", "permission to use, copy, modify, and|distribute distribute|and ... this software and its documentation for any purpose ... is hereby granted", 85, 0.85),
+    ("0bsd", "permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. the software is provided", 98, 0.95),
+    ("w3c", "permission to copy, modify, and distribute this software and its documentation, with or without modification, for any purpose and without fee or royalty", 95, 0.95),
+    ("apache-2.0", "licensed under the apache license, version 2.0 (the license)", 96, 0.98),
+    ("apache-2.0", "you may not use this file except in compliance with the license. you may obtain a copy of the license at ... apache.org/licenses/license-2.0", 97, 0.98),
+    ("apache", "unless required by applicable law or agreed to in writing, software distributed under the license is distributed on an as is basis", 60, 0.8),
+    ("gpl", "you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free software foundation ... version #", 97, 0.98),
+    ("lgpl", "you can redistribute it and/or modify it under the terms of the gnu lesser|library general public license as published by the free software foundation ... version #", 97, 0.98),
+    ("agpl", "you can redistribute it and/or modify it under the terms of the gnu affero general public license as published by the free software foundation ... version #", 97, 0.98),
+    ("copyleft", "you can redistribute it and/or modify it", 40, 0.6),
+    ("gpl", "you should have received a copy of the gnu general public license along with this program", 88, 0.9),
+    ("lgpl", "you should have received a copy of the gnu lesser|library general public license along with this|the library|program|software", 88, 0.9),
+    ("agpl", "you should have received a copy of the gnu affero general public license along with this program", 88, 0.9),
+    ("gpl", "this program is distributed in the hope that it will be useful, but without any warranty", 50, 0.7),
+    ("gpl", "this program is free software ... you can redistribute it", 45, 0.7),
+    ("gfdl", "permission is granted to copy, distribute and/or modify this document under the terms of the gnu free documentation license, version #", 97, 0.98),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license, v. 2.0", 97, 0.98),
+    ("mpl-1.1", "the contents of this file are subject to the mozilla public license version 1.1", 97, 0.98),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license v|version #", 96, 0.97),
+    ("cddl", "the contents of this file are subject to the terms of the common development and distribution license", 96, 0.97),
+    ("zlib", "this software is provided as-is, without any express or implied warranty. in no event will the author|authors be held liable for any damages", 96, 0.95),
+    ("zlib", "the origin of this software must not be misrepresented", 80, 0.85),
+    ("libpng", "the contributing authors disclaim all warranties, expressed or implied", 80, 0.8),
+    ("unlicense", "this is free and unencumbered software released into the public domain", 97, 0.98),
+    ("public-domain", "released|placed|dedicated|put into|in|to the public domain", 60, 0.8),
+    ("public-domain", "this work|file|code|software|program is in the public domain", 60, 0.8),
+    ("cc0", "to the extent possible under law ... waived all copyright and related or neighboring|neighbouring rights", 96, 0.97),
+    ("wtfpl", "do what the fuck you want to public license", 95, 0.95),
+    ("beerware", "as long as you retain this notice you can do whatever you want with this stuff", 95, 0.95),
+    ("json", "the software shall be used for good, not evil", 95, 0.95),
+    ("openssl", "this product includes software developed by the openssl project", 90, 0.9),
+    ("psf", "psf is making python # available to licensee", 90, 0.9),
+    ("psf", "psf is making python available to licensee on an as is basis", 90, 0.9),
+    ("ofl", "this font software is licensed under the sil open font license, version #", 97, 0.98),
+    ("artistic", "the intent of this document is to state the conditions under which a package may be copied", 95, 0.95),
+    ("perl", "you can redistribute it and/or modify it under the same terms as perl", 97, 0.95),
+    ("ruby", "you can redistribute it and/or modify it under either the terms of the 2-clause bsdl", 97, 0.95),
+    ("php", "this product includes php software, freely available from", 90, 0.9),
+    ("postgresql", "in no event shall the university of california be liable to any party for direct, indirect, special", 85, 0.8),
+    ("upl", "the universal permissive license (upl), version #", 95, 0.95),
+    ("cecill", "this software is governed by the cecill license under french law", 95, 0.95),
+    ("eupl", "licensed under the eupl, version #", 96, 0.97),
+    ("busl", "use of this software is governed by the business source license", 95, 0.95),
+    ("elastic", "licensed under the elastic license ... you may not use this file except in compliance with the elastic license", 97, 0.95),
+    ("sspl", "this program is free software ... under the terms of the server side public license, version #", 97, 0.97),
+    ("proprietary", "unauthorized copying of this file, via any medium is strictly prohibited", 90, 0.9),
+    ("proprietary", "proprietary and confidential", 60, 0.7),
+    ("bsd", "bsd-style license", 55, 0.7),
+    ("mit", "mit-style license", 55, 0.7),
+)
+#: What may stand between two words of a signature.
+#: What may stand between the words of a name: white space, and the signs that comments begin their lines with.
+BETWEEN, MAYBE = r"[\s*#/;]{1,8}", r"[\s*#/;]{0,8}"
+GAP = r"[^a-z0-9\x80-\U0010ffff]{1,16}"
+
+
 @dataclass(frozen=True)
 class Rule:
-    """A signature: every match of its regex over lower-cased text holds keyword, with white space as joined() leaves it."""
+    """A signature: every match of its regex over lower-cased text holds each word of keyword."""
 
     label: str
     keyword: str
@@ -118,59 +200,125 @@ def rules() -> list[Rule]:
     def add(label, keyword, pattern, priority, confidence):
         out.append(Rule(label, keyword, re.compile(pattern), priority, confidence))
 
-    for label, keyword, name, spdx, web in FAMILIES:
-        gap = name.replace(" ", r"\s{1,3}")
+    for label, phrase, priority, confidence in BODIES:
+        add(label, *signature(phrase), priority, confidence)
+    for n in "234":
+        for form in (rf"\bbsd[\s-]{{1,3}}{n}[\s-]{{1,3}}clause\b", rf"\b{n}[\s-]{{1,3}}clause[\s-]{{1,3}}bsd\b"):
+            add(f"bsd-{n}-clause", "bsd clause", form, 92, 0.85)
+    for label, keyword, name, _, web in FAMILIES:
+        gap = name.replace("[ -]", r"[\s-]").replace(" ", BETWEEN)
         for t, p, c in TEMPLATES:
-            add(label, keyword, t.replace(" ", r"\s{1,3}").replace(r"\s{1,3}?", r"\s{0,3}").replace("{name}", f"(?:{gap})").replace("{version}", VERSION), p, c)
-        t, p, c = SPDX
-        add(label, "spdx", t.replace("{spdx}", spdx), p, c)
+            add(label, keyword, t.replace(" ?", MAYBE).replace(" ", BETWEEN).replace("{name}", f"(?:{gap})").replace("{version}", VERSION), p, c)
+        if "licen[sc]e" in name and not name.endswith(")?"):
+            t, p, c = BARE
+            add(label, keyword, t.replace("{name}", f"(?:{gap})").replace("{version}", VERSION), p, c)
         t, p, c = WEB
         add(label, "://" if keyword not in web.replace("\\", "") else keyword, t.replace("(?:https?://)?", "https?://" if keyword not in web.replace("\\", "") else "(?:https?://)?").replace("{web}", f"(?:{web})"), p, c)
     for label, *parts in COMMONS:
         short = r"cc[\s-]{1,2}by" + "".join(rf"[\s-]{{1,2}}{x}" for x in parts)
-        long = r"creative\s{1,3}commons\s{1,3}attribution" + "".join(rf"[\s-]{{1,3}}{LONG[x]}" for x in parts)
+        long = rf"creative{BETWEEN}commons{BETWEEN}attribution" + "".join(rf"[\s-]{{1,3}}{LONG[x]}" for x in parts)
         for keyword, name, p in (("cc", short, 85), ("creative commons", long, 86)):
             add(label, keyword, rf"\b{name}\b{VERSION}", p + len(parts) * 2, 0.9)
-            add(label, keyword, rf"\b(?:licen[sc]ed|released|distributed|published|available|provided)\s{{1,3}}under\s{{1,3}}(?:an?\s{{1,3}}|the\s{{1,3}})?{name}\b{VERSION}", p + 10 + len(parts) * 2, 0.95)
+            add(label, keyword, rf"\b(?:licen[sc]ed|released|distributed|published|available|provided){BETWEEN}under{BETWEEN}(?:an?{BETWEEN}|the{BETWEEN})?{name}\b{VERSION}", p + 10 + len(parts) * 2, 0.95)
         add(label, "creativecommons", rf"creativecommons\.org/licenses/{label[3:]}/(\d(?:\.\d)?)?", 95, 1.0)
-        add(label, "spdx", rf"\bspdx-licen[sc]e-identifier: ?{label}-(\d(?:\.\d)?)(?![\w.])", 100, 1.0)
     return sorted(out, key=lambda r: -r.priority)
 
 
-def joined(low: str) -> str:
-    """low with one space for each run of white space, as the rules take it."""
-    return " ".join(low.split())
+def signature(phrase: str) -> tuple[str, str]:
+    """The words that any match of a phrase of BODIES holds, and its regex."""
+    parts, words = [], []
+    for w in phrase.split():
+        if w == "...":
+            parts.append(r".{1,200}?")
+        elif w == "#":
+            parts.append(r"(\d(?:\.\d)?)(?![\d.]?\d)")
+        else:
+            forms = [GAP.join(map(re.escape, re.findall(r"[a-z0-9]+", x))) for x in w.split("|")]
+            parts.append(f"(?:{'|'.join(forms)})" if len(forms) > 1 else forms[0])
+            words += re.findall(r"[a-z0-9]{4,}", w) if len(forms) == 1 else []
+    text = parts[0]
+    for before, part in zip(parts, parts[1:], strict=False):
+        text += part if ".{1," in before + part else GAP + part
+    return " ".join(sorted(set(words), key=lambda x: (-len(x), x))[:4]), rf"(?s)\b{text}" + ("" if phrase.endswith("#") else r"\b")
+
+
+@functools.cache
+def operand_label(token: str) -> str | None:
+    """The label of an SPDX identifier; None for unknown ones."""
+    for label, *_ in COMMONS:
+        if m := re.fullmatch(rf"{label}-(\d(?:\.\d)?)", token):
+            return f"{label}-{m[1]}"
+    for label, _, _, spdx, _ in FAMILIES:
+        if re.fullmatch(spdx, token):
+            version = re.search(r"-(\d(?:\.\d)?)(?!\d)", token)
+            return "bsd" + token[3:] if label == "bsd" else label + (f"-{version[1]}" if version and label not in ("ms-pl", "ms-rl", "unicode") else "")
+    return None
+
+
+class Intervals:
+    """Intervals of which none is inside another, by rising starts and so by rising ends."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def holds(self, start: int, end: int) -> bool:
+        k = bisect.bisect_right(self.starts, start) - 1
+        return k >= 0 and self.ends[k] >= end
+
+    def add(self, start: int, end: int):
+        i = bisect.bisect_left(self.starts, start)
+        j = bisect.bisect_right(self.ends, end)
+        self.starts[i:j], self.ends[i:j] = [start], [end]
 
 
 class Scanner:
-    """The rules, grouped by keyword."""
+    """The rules, grouped by the words that they need; without gated all are tried."""
 
-    def __init__(self, found: list[Rule] | None = None):
-        self.by_keyword: dict[str, list[tuple[int, Rule]]] = {}
+    def __init__(self, found: list[Rule] | None = None, gated: bool = True):
+        self.gated = gated
+        self.by_words: dict[tuple[str, ...], list[tuple[int, Rule]]] = {}
         for k, r in enumerate(rules() if found is None else found):
-            self.by_keyword.setdefault(r.keyword, []).append((k, r))
+            self.by_words.setdefault(tuple(r.keyword.split()), []).append((k, r))
         self.phrases = {tuple(p.split()): label for p, label in BASE.items()}
-        # of each keyword its longest word, which white space of any kind can't part
-        self.anchors = sorted({max(k.split(), key=len).encode() for k in self.by_keyword if k not in ("cc", "://")})
+        # of each rule its longest word, by which most texts are passed over
+        self.anchors = sorted({max(k, key=len).encode() for k in self.by_words if k not in (("cc",), ("://",))} | {b"spdx"})
         self.pattern = re.compile(rb"cc[^a-z0-9\x80-\xff]+by|cc[^a-z0-9]{1,6}by|gnu[^a-z0-9\x80-\xff]+general|licenses?/|://[^\s]{0,60}licen")
 
     def gate(self, low: bytes) -> bool:
         """Whether any rule or base phrase can match."""
-        return b"license" in low or any(a in low for a in self.anchors) or b"://" in low or bool(self.pattern.search(low))
+        return not self.gated or b"license" in low or any(a in low for a in self.anchors) or b"://" in low or bool(self.pattern.search(low))
 
     def detect(self, low: str) -> list[tuple[int, int, str, float]]:
         """(start, end, label, confidence) that no other detection suppresses, by position."""
         found = []
-        spaced = joined(low)
-        for keyword, own in self.by_keyword.items():
-            if keyword in spaced:
+        known: dict[str, bool] = {}
+
+        def has(word):
+            if word not in known:
+                known[word] = word in low
+            return known[word]
+
+        for words, own in self.by_words.items():
+            if not self.gated or all(map(has, words)):
                 for k, r in own:
                     for m in r.pattern.finditer(low):
                         version = next((g for g in m.groups() if g), None)
                         found.append((-r.priority, m.start() - m.end(), m.start(), k, m.end(), r.label + (f"-{version}" if version else ""), r.confidence))
+        if not self.gated or has("spdx"):
+            for m in SPDX.finditer(low):
+                before = ""
+                for o in OPERAND.finditer(low, m.start(1), m.end(1)):
+                    token = o[0].rstrip(".-")
+                    label = operand_label(token) if before != EXCEPT and token not in JOINS else None
+                    if label:
+                        found.append((-SPDX_PRIORITY, -len(token), o.start(), 0, o.start() + len(token), label, 1.0))
+                    before = token
+        held = Intervals()
         kept: list[tuple[int, int, str, float]] = []
         for _, _, start, _, end, label, confidence in sorted(found):
-            if not any(s <= start and end <= e for s, e, _, _ in kept):
+            if not held.holds(start, end):
+                held.add(start, end)
                 kept.append((start, end, label, confidence))
         return sorted(kept)
 
