@@ -3,11 +3,13 @@
 Everything is DataFrame expressions. The filter has one row for each block of 8 words of 64 bits; a
 key sets one bit in each word of its block. It has n_blocks rows at most whatever the list's
 length, which bounds the broadcast; a list too long for it lets more urls through to the exact
-join and changes no verdict. Only urls that pass the filter are shuffled.
+join and changes no verdict. Only urls that pass the filter are shuffled. A listed url without a
+path lists its whole site: the host of two or three labels and all its subdomains.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +43,15 @@ def canonical(host: Column, path: Column) -> Column:
     return F.when(host != "", F.concat(host, F.regexp_replace(path, "/+$", "")))
 
 
+#: Labels of the hosts that can be listed as a site.
+LABELS = (2, 3)
+
+
+def site(host: Column, labels: int) -> Column:
+    """The last labels of a host, or all of a shorter one; null without a host."""
+    return F.when(host != "", F.substring_index(host, ".", -labels))
+
+
 def rule_column(rules: Sequence[tuple[str, str, str]], host: Column, path: Column, value) -> Column:
     """value(verdict, host, path) of the longest rule that fits; a rule fits its host and all subdomains."""
     out = F.lit(None).cast("string")
@@ -60,8 +71,8 @@ def judge_urls(
 ) -> DataFrame:
     """(id, host, path, rule, verdict, listed) of every row of pages, by the rules and the listed urls.
 
-    verdict: the longest fitting rule's, else 'block' if the canonical url is in listed(url), else
-    'allow'. Null and malformed urls have an empty host and path, match nothing and are allowed;
+    verdict: the longest fitting rule's, else 'block' if the canonical url or its site is in
+    listed(url), else 'allow'. Null and malformed urls have an empty host and path, match nothing and are allowed;
     repeated rows are each judged; other columns, also of these names, are not carried. An empty
     list blocks nothing; an empty table gives an empty result.
     """
@@ -71,13 +82,21 @@ def judge_urls(
         .select("_id", host.alias("_host"), path.alias("_path"))
         .withColumn("_rule", rule_column(rules, F.col("_host"), F.col("_path"), lambda v, h, p: h + p))
         .withColumn("_verdict", rule_column(rules, F.col("_host"), F.col("_path"), lambda v, h, p: v))
-        .withColumn("_key", canonical(F.col("_host"), F.col("_path")))
+        .withColumn("_key0", canonical(F.col("_host"), F.col("_path")))
+        .withColumns({f"_key{n}": site(F.col("_host"), n) for n in LABELS})
     )
     lh, lp = url_parts(F.col("url"))
     keys = listed.select(canonical(lh, lp).alias("_lkey")).where("_lkey is not null").distinct()
-    probed = probe(base, "_key", keys, "_lkey", n_blocks, "_maybe")
-    sure = probed.where(~F.col("_maybe")).withColumn("_hit", F.lit(False))
-    exact = probed.where("_maybe").join(keys.withColumn("_in", F.lit(True)), F.col("_key") == F.col("_lkey"), "left").withColumn("_hit", F.coalesce("_in", F.lit(False))).drop("_lkey", "_in")
+    names = ["_key0", *(f"_key{n}" for n in LABELS)]
+    probed = base
+    for k in names:
+        probed = probe(probed, k, keys, "_lkey", n_blocks, f"_maybe{k}")
+    maybe = functools.reduce(lambda a, b: a | b, (F.col(f"_maybe{k}") for k in names))
+    sure = probed.where(~maybe).withColumn("_hit", F.lit(False))
+    exact = probed.where(maybe).withColumn("_hit", F.lit(False))
+    for k in names:
+        one = keys.select(F.col("_lkey"), F.lit(True).alias("_in"))
+        exact = exact.join(one, F.col(k) == F.col("_lkey"), "left").withColumn("_hit", F.col("_hit") | F.coalesce("_in", F.lit(False))).drop("_lkey", "_in")
     return sure.unionByName(exact).select(
         F.col("_id").alias(id_col),
         F.col("_host").alias("host"),
@@ -88,16 +107,19 @@ def judge_urls(
     )
 
 
-#: The query's block list: (subdomains, names, top domains, languages), and every STEP-th of the numbers under 1000.
-LISTED = (("m", "www"), ("ththth", "thther"), ("com", "net", "org"), ("en", "de", "fr", "es"))
-STEP = 8
+# What the names of gambling, pill and adult sites are put together of; each name stands under each domain.
+BEFORE = ("", "best-", "big-", "buy-", "cheap-", "free-", "hot-", "live-", "my-", "online-", "real-", "super-", "top-", "vip-")
+SUBJECTS = ("adult", "bet", "bets", "betting", "bingo", "casino", "escort", "jackpot", "lottery", "pharma", "pill", "pills", "poker", "porn", "replica", "roulette", "sex", "slots", "viagra", "xxx")
+AFTER = ("", "-24", "-bonus", "-club", "-deal", "-deals", "-live", "-online", "-play", "-shop", "-store", "-win", "-x", "-xxx")
+DOMAINS = ("example.com", "example.net", "example.org", "example.info")
 
 
 def listed_urls(spark: SparkSession) -> DataFrame:
-    """The block list that the query uses, made from LISTED and STEP."""
-    subs, names, tops, langs = (F.explode(F.array(*map(F.lit, x))) for x in LISTED)
-    df = spark.range(0, 1000, STEP, 1).select("id", subs.alias("s")).select("*", names.alias("n")).select("*", tops.alias("t")).select("*", langs.alias("l"))
-    return df.select(F.format_string("https://%s.%s.example.%s/%s/%d", "s", "n", "t", "l", "id").alias("url"))
+    """The block list that the query uses: sites made of BEFORE, SUBJECTS, AFTER and DOMAINS."""
+    df = spark.range(1)
+    for name, values in zip("bsad", (BEFORE, SUBJECTS, AFTER, DOMAINS), strict=True):
+        df = df.select("*", F.explode(F.array(*map(F.lit, values))).alias(name))
+    return df.select(F.format_string("https://%s%s%s.%s/", "b", "s", "a", "d").alias("url"))
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +128,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _VALUES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
-_CROSS = " CROSS JOIN ".join(f"(SELECT unnest([{', '.join(map(repr, x))}]) AS {c}) AS x{c}" for c, x in zip("sntl", LISTED, strict=True))
+_CROSS = " CROSS JOIN ".join(f"(SELECT unnest([{', '.join(map(repr, x))}]) AS {c}) AS x{c}" for c, x in zip("bsad", (BEFORE, SUBJECTS, AFTER, DOMAINS), strict=True))
 SQL = f"""
 WITH parts AS (
   SELECT page_id,
@@ -121,10 +143,15 @@ best AS (
   WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
   GROUP BY rid),
 listed AS (
-  SELECT DISTINCT s || '.' || n || '.example.' || t || '/' || l || '/' || i AS k
-  FROM range(0, 1000, {STEP}) AS r(i) CROSS JOIN {_CROSS})
+  SELECT DISTINCT b || s || a || '.' || d AS k FROM {_CROSS}),
+hits AS (
+  SELECT DISTINCT rid FROM parts, LATERAL (SELECT unnest([
+    host || regexp_replace(path, '/+$', ''),
+    array_to_string(string_split(host, '.')[-2:], '.'),
+    array_to_string(string_split(host, '.')[-3:], '.')]) AS c) JOIN listed ON c = k
+  WHERE host <> '')
 SELECT page_id, host, path, rule,
-  coalesce(v, CASE WHEN k IS NULL THEN 'allow' ELSE 'block' END) AS verdict, k IS NOT NULL AS listed
+  coalesce(v, CASE WHEN hits.rid IS NULL THEN 'allow' ELSE 'block' END) AS verdict, hits.rid IS NOT NULL AS listed
 FROM parts LEFT JOIN best USING (rid)
-LEFT JOIN listed ON host <> '' AND k = host || regexp_replace(path, '/+$', '')
+LEFT JOIN hits ON hits.rid = parts.rid
 """

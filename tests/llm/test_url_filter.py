@@ -25,3 +25,18 @@ def test_filter_passes_every_listed_key(spark):
     urls = keys.select(F.col("k").alias("page_id"), F.concat(F.lit("http://"), "k").alias("url"))
     out = U.judge_urls(urls.union(urls.select(F.concat("page_id", F.lit("z")), F.concat("url", F.lit("z")))), urls, (), n_blocks=64)
     assert out.where("listed").count() == 5000 and out.count() == 10000
+
+
+def test_a_listed_site_blocks_its_subdomains(spark):
+    urls = ["http://bad.example.com", "https://m.bad.example.com/x?q", "http://a.b.bad.example.com/", "http://notbad.example.com/", "http://example.com/bad.example.com", "http://two.tld/x", "http://w.two.tld", "http://com/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    listed = spark.createDataFrame([("http://bad.example.com/",), ("https://two.tld",)], "url string")
+    out = {r.page_id: r.verdict for r in U.judge_urls(pages, listed, ()).collect()}
+    assert [out[k] for k in range(8)] == ["block"] * 3 + ["allow"] * 2 + ["block"] * 2 + ["allow"]
+
+
+def test_query_blocks_unwanted_sites(spark):
+    out = U.op4_url_filter(spark, "/root/testdata/sf0.1")
+    bad = out.where("host RLIKE 'casino|pills|bets|adult'")
+    assert bad.count() > 50 and bad.where("not listed").count() == 0
+    assert out.where("listed").count() == bad.count()
