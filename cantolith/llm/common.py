@@ -25,13 +25,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder: the one that spark.checkpoint.dir names, a temporary one where it is unset."""
+    """The session's checkpoint folder: the one that spark.checkpoint.dir names, or a temporary one on a single machine."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def forget(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in the store that holds it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """df, computed once and written to the shared checkpoint folder.
 

@@ -186,7 +186,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
     score is the probability of label 1, learnt from labels of ids that are not held out; the text
     alone is its input. Null and empty texts have the features of no token and a score as well.
-    Of labels of one id the largest counts, null ones don't; without labels of both kinds the
+    Of labels of one id the largest counts, of texts of one id the smallest, null ones don't; without labels of both kinds the
     score is their smoothed mean. Repeated rows and null ids get rows of their own; other columns
     are not carried; an empty table gives an empty result.
     """
@@ -196,7 +196,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     shared = spark.sparkContext.broadcast(vectors)
     known = sampled_labels(labels, doc_id, [label], sample)
     # bounded: sample rows of two numbers
-    rows = raw.join(F.broadcast(known), F.col("id") == F.col("_id")).select("id", F.col(label).cast("int").alias("label"), "text").where("label in (0, 1)").dropDuplicates(["id"])
+    rows = raw.join(F.broadcast(known), F.col("id") == F.col("_id")).select("id", F.col(label).cast("int").alias("label"), "text").where("label in (0, 1)").groupBy("id", "label").agg(F.min("text").alias("text"))
     learnt = in_batches(rows.select("label", "text"), lambda it: _pool(it, shared), "label int, x array<double>").toArrow()
     y = np.asarray(learnt["label"].combine_chunks())
     x = np.asarray(learnt["x"].combine_chunks().flatten()).reshape(len(y), DIMS + EXTRA)
