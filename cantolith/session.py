@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "cantolith", cpus: int | None = None) -> SparkSession:
-    """A local session; on a cluster the submitter's own settings win."""
+    """The session that there is, or that spark-submit made, with its settings; else a local one."""
+    if active := SparkSession.getActiveSession():
+        return active
+    if "PYSPARK_GATEWAY_PORT" in os.environ:  # submitted: master, memory and partitions are the submitter's
+        return SparkSession.builder.getOrCreate()
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CANTOLITH_DRIVER_MEMORY", "8g"))
