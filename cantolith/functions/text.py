@@ -40,7 +40,7 @@ def seconds(x: Column) -> Column:
     """H:M:S, M:S or S, with fractions, as seconds; other forms raise an error."""
     p = F.split(x, ":")
     at = lambda k: F.element_at(p, k).cast("double")
-    bad = F.raise_error(F.concat(F.lit("Invalid timestamp format: "), x)).cast("double")
+    bad = F.raise_error(F.concat(F.lit("no time of the form H:M:S, M:S or S: "), x)).cast("double")
     return F.when(F.size(p) == 1, at(1)).when(F.size(p) == 2, at(1) * 60 + at(2)).when(F.size(p) == 3, at(1) * 3600 + at(2) * 60 + at(3)).when(x.isNotNull(), bad)
 
 
@@ -131,6 +131,20 @@ def split_point(lines: Column) -> Column:
     return F.get(F.transform(F.array(lines), best), F.lit(0))
 
 
+def line_range(lines: Column, first: int | None = None, last: int | None = None) -> Column:
+    """Lines first to last, from 1, both included and cut to the list; a last one before the first is an error."""
+    n = F.size(lines)
+    a = F.lit(1) if first is None else F.greatest(F.lit(1), F.lit(first))
+    b = n if last is None else F.least(n, F.lit(last))
+    wrong = F.raise_error(F.format_string("lines %d to %d are no range", a, b)).cast("array<string>")
+    return F.when(b < a, wrong).otherwise(F.slice(lines, a, F.greatest(b - a + 1, F.lit(0))))
+
+
+def first_items(items: Column, n: int, default: int = 12) -> Column:
+    """The first n of a list; the first default of them for n of 0 or less."""
+    return F.slice(items, 1, n if n > 0 else default)
+
+
 def json_fragment(x: Column) -> Column:
     """The first JSON text of an answer: in a fence (shortest), else the longest [...] or {...}; null if it is no JSON."""
     fenced = not_empty(F.regexp_extract(x, r"(?s)```(?:json)?\s*([\[{].*?[\]}])\s*```", 1))

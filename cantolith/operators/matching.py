@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from cantolith.functions import text as T
 
 
+# Suffixes of images and of audio files, these in order of preference.
+IMAGES = (".png", ".jpg", ".jpeg", ".webp")
+AUDIO = (".wav", ".mp3", ".flac", ".ogg", ".m4a")
+
+
 def first_distinct(df: DataFrame, key: str, order: list[str], most: int | None = None) -> DataFrame:
     """The first row of each key in order, and of these the first most (None or 0: all), in order.
 
@@ -24,23 +29,30 @@ def fuzzy_lookup(names: DataFrame, cards: DataFrame) -> DataFrame:
 
     A miss takes the first card whose letters and digits equal the name's, begin them or are begun
     by them. Prefixes of both sides are keys of an equi-join, so no pair is compared for nothing. A
-    name or card without letters and digits matches nothing that way.
+    name without letters and digits begins every card and so takes the first one, which is one row
+    that all such names share; an empty name matches nothing. A card without letters and digits
+    begins every name.
     """
     n = names.select("name").distinct()
     exact = cards.select(F.lower(F.trim("stem")).alias("_k"), "path", "ord").groupBy("_k").agg(F.max_by("path", "ord").alias("_exact"))
     met = n.withColumn("_k", F.lower(F.trim("name"))).join(exact, "_k", "left")
-    miss = met.where("_exact is null").select("name", T.alnum(F.col("name")).alias("_a")).where("_a <> ''")
-    keyed = cards.select("path", "ord", T.alnum(F.col("stem")).alias("_c")).where("_c <> ''")
+    miss = met.where("_exact is null and _k <> ''").select("name", T.alnum(F.col("name")).alias("_a"))
+    keyed = cards.select("path", "ord", T.alnum(F.col("stem")).alias("_c"))
+    # bounded: one row each
+    first = cards.agg(F.min_by("path", "ord").alias("path"), F.min("ord").alias("ord"))
+    blank = keyed.where("_c = ''").agg(F.min_by("path", "ord").alias("path"), F.min("ord").alias("ord")).where("path is not null")
+    by_all = miss.where("_a = ''").join(F.broadcast(first)).select("name", "path", "ord").union(miss.where("_a <> ''").join(F.broadcast(blank)).select("name", "path", "ord"))
+    miss, keyed = miss.where("_a <> ''"), keyed.where("_c <> ''")
     cut = lambda c: F.explode(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.substring(F.col(c), F.lit(1), i)))
     shorter = miss.withColumn("_p", cut("_a")).join(keyed, F.col("_p") == F.col("_c")).select("name", "path", "ord")
     longer = miss.join(keyed.withColumn("_p", cut("_c")), F.col("_a") == F.col("_p")).select("name", "path", "ord")
-    near = shorter.union(longer).groupBy("name").agg(F.min_by("path", "ord").alias("_near"))
+    near = shorter.union(longer).union(by_all).groupBy("name").agg(F.min_by("path", "ord").alias("_near"))
     return met.join(near, "name", "left").select("name", F.coalesce("_exact", "_near").alias("path"))
 
 
 def cards_of(paths: DataFrame) -> DataFrame:
     """(stem, path, ord) of image paths; of one lower-cased stem the last path in order counts."""
-    ok = paths.where(T.suffix(F.col("path")).isin(".png", ".jpg", ".jpeg", ".webp"))
+    ok = paths.where(T.suffix(F.col("path")).isin(*IMAGES))
     own = ok.select(F.lower(T.stem(F.col("path"))).alias("stem"), "path").groupBy("stem").agg(F.max("path").alias("path"))
     return own.select("stem", "path", F.col("stem").alias("ord"))
 
@@ -63,9 +75,9 @@ def existing_only(df: DataFrame, listed: DataFrame, key: str, required: bool = F
     return out
 
 
-def newest_last(df: DataFrame, mtime: str = "mtime", name: str = "path") -> DataFrame:
-    """Files in order of their time, then name."""
-    return df.orderBy(mtime, name)
+def newest_last(df: DataFrame, mtime: str = "mtime", name: str = "path", most: int | None = None) -> DataFrame:
+    """Files in order of their time, then name; the last most of them, if given."""
+    return df.orderBy(mtime, name) if most is None else df.orderBy(F.desc(mtime), F.desc(name)).limit(most).orderBy(mtime, name)
 
 
 def free_names(df: DataFrame, name: str, order: str, out: str = "file") -> DataFrame:
@@ -75,7 +87,7 @@ def free_names(df: DataFrame, name: str, order: str, out: str = "file") -> DataF
     return df.withColumn(out, F.when(k == 0, F.col(name)).otherwise(F.concat(base, F.lit("_"), T.padded(k), ext)))
 
 
-def sidecar(df: DataFrame, files: DataFrame, exts: tuple[str, ...] = (".wav", ".mp3", ".flac", ".ogg", ".m4a")) -> DataFrame:
+def sidecar(df: DataFrame, files: DataFrame, exts: tuple[str, ...] = AUDIO) -> DataFrame:
     """df(path) with audio: the file of the same stem whose suffix comes first in exts, or null."""
     rank = F.coalesce(*(F.when(T.suffix(F.col("path")) == e, k) for k, e in enumerate(exts)))
     own = files.select(T.stem(F.col("path")).alias("_s"), rank.alias("_r"), "path").where("_r is not null").groupBy("_s").agg(F.min_by("path", F.struct("_r", "path")).alias("audio"))

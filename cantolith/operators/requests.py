@@ -22,29 +22,38 @@ def requests(records: DataFrame, order: str = "ord", limit: int | None = None, s
 
     limit (None: none, 0: no record) cuts before records are judged. The style is the one given,
     else the first global_style that is not blank of the records read, else the record's own.
-    The global style is one value, read at once; ordinals are counts before the record.
+    The global style is one row that all records are joined with; ordinals are counts before the record.
     """
     df = records
     if limit is not None:
         df = df.orderBy(order).limit(limit)
     blank = T.is_blank(F.coalesce(F.col("global_style"), F.lit("")))
-    shared = style if style is not None else df.agg(F.min_by("global_style", F.when(~blank, F.col(order)))).first()[0]  # one value
     own = df.withColumn("prompt", prompt_of()).where("prompt is not null")
-    own = own.withColumn("style", F.lit(shared) if shared else F.col("global_style"))
+    if style:
+        own = own.withColumn("style", F.lit(style))
+    elif style is not None:
+        own = own.withColumn("style", F.col("global_style"))
+    else:
+        shared = df.agg(F.min_by("global_style", F.when(~blank, F.col(order))).alias("_shared"))  # one row
+        own = own.join(F.broadcast(shared)).withColumn("style", F.coalesce("_shared", "global_style"))
     ranked = ordinals(own.select(order, "prompt", "style"), order)
     return ranked.select(F.col(order).alias("ord"), "index", "total", "prompt", "style")
 
 
-def ordinals(df: DataFrame, order: str, parts: int = 200) -> DataFrame:
+def ordinals(df: DataFrame, order: str) -> DataFrame:
     """df with index from 1 in order over all rows, and total; order's values are whole numbers from 0 on.
 
-    Rows are numbered within hashed ranges of the order and shifted by the ranges' counts, so no
-    task takes them all.
+    Rows are numbered within ranges of the order and shifted by the counts of the ranges before.
+    Ranges are summed in groups of 4,096 and those among each other, so no task takes them all.
     """
-    size = F.lit(1 << 12)
-    block = F.floor(F.col(order) / size).cast("bigint")
-    counts = df.groupBy(block.alias("_b")).agg(F.count("*").alias("_c"))
-    before = counts.withColumn("_before", F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))).withColumn("total", F.sum("_c").over(Window.partitionBy()))
+    block = F.floor(F.col(order) / (1 << 12)).cast("bigint")
+    counts = df.groupBy(block.alias("_b")).agg(F.count("*").alias("_c")).withColumn("_g", F.floor(F.col("_b") / (1 << 12)))
+    groups = counts.groupBy("_g").agg(F.sum("_c").alias("_c"))
+    # bounded: an order of 64 bits has a group for each 16 million of its values
+    first = groups.select("_g", F.coalesce(F.sum("_c").over(Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_first"))
+    total = groups.agg(F.sum("_c").alias("total"))
+    inner = F.coalesce(F.sum("_c").over(Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = counts.withColumn("_inner", inner).join(first, "_g").select("_b", (F.col("_first") + F.col("_inner")).alias("_before")).join(F.broadcast(total))
     own = df.withColumn("_b", block).withColumn("_n", F.row_number().over(Window.partitionBy("_b").orderBy(order)))
     out = own.join(before.select("_b", "_before", "total"), "_b")
     return out.withColumn("index", (F.col("_n") + F.coalesce("_before", F.lit(0))).cast("bigint")).drop("_b", "_n", "_before")

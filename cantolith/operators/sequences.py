@@ -21,7 +21,7 @@ def zip_lists(df: DataFrame, source: str, target: str, strict: bool = False) ->
     """
     n = F.least(F.size(source), F.size(target))
     if strict:
-        wrong = F.format_string("Number of lines doesn't match: %d source lines vs %d target lines", F.size(source), F.size(target))
+        wrong = F.format_string("the lists have %d and %d items, and must have as many", F.size(source), F.size(target))
         n = F.when(F.size(source) == F.size(target), n).otherwise(F.raise_error(wrong).cast("int"))
     both = F.slice(F.arrays_zip(F.col(source).alias("src"), F.col(target).alias("tgt")), F.lit(1), n)
     return df.select("doc_id", F.posexplode(both).alias("pair_idx", "_p")).select("doc_id", F.col("pair_idx").cast("bigint").alias("pair_idx"), F.col("_p.src").alias("src"), F.col("_p.tgt").alias("tgt"))
@@ -96,7 +96,7 @@ def phrase_places(words: Column, phrase: Column) -> Column:
 def only_place(words: Column, phrase: Column) -> Column:
     """The one place of a phrase; an error where it is not found, or more than once."""
     at = phrase_places(words, phrase)
-    wrong = F.when(F.size(at) == 0, F.concat(F.lit("Phrase '"), phrase, F.lit("' not found"))).otherwise(F.concat(F.lit("Phrase '"), phrase, F.lit("' found multiple times at "), F.array_join(at.cast("array<string>"), ", ")))
+    wrong = F.when(F.size(at) == 0, F.concat(F.lit("no place has the words: "), phrase)).otherwise(F.concat(F.lit("several places have the words: "), phrase, F.lit(", at "), F.array_join(at.cast("array<string>"), ", ")))
     return F.when(F.size(at) == 1, F.get(at, F.lit(0))).otherwise(F.raise_error(wrong).cast("int"))
 
 

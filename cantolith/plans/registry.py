@@ -222,7 +222,7 @@ def safe_split_point(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def split_long(spark: SparkSession, d: str) -> DataFrame:
-    """Held against a plain recursion in the tests: its split indices feed the next round."""
+    """Documents' lines, beside the same in reverse, in parts of fifteen lines at most."""
     p = adapters.lines(spark, d).select("doc_id", F.lit(0).cast("bigint").alias("pair_idx"), F.col("lines").alias("src"), F.reverse("lines").alias("tgt"))
     return sequences.split_long(p)
 
@@ -272,11 +272,7 @@ def word_similarity_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def align_words(spark: SparkSession, d: str) -> DataFrame:
-    """Each turn's words, heard a second each, aligned with the next turn's.
-
-    SQL would need a recursive list of every cell of each pair's table; the tests hold this against the
-    full table in plain loops.
-    """
+    """Each turn's words, heard a second each, aligned with the next turn's."""
     t = table(spark, d, "conversations").select("conv_id", "turn", T.tokens(F.col("text")).alias("words"))
     a = t.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), F.posexplode("words").alias("word_idx", "word"))
     heard = a.select("doc_id", "word_idx", "word", F.col("word_idx").cast("double").alias("start_s"), (F.col("word_idx") + 1.0).alias("end_s"))
@@ -339,7 +335,7 @@ def coalesce_prompt(spark: SparkSession, d: str) -> DataFrame:
 @query("""WITH cards AS (SELECT DISTINCT lower(n_name) AS stem, 'cards/' || lower(n_name) || '.png' AS path FROM nation),
 names AS (SELECT DISTINCT unnest([n_name, '-' || lower(left(n_name, 4)), n_name || ' (Young)', '?!']) AS name FROM nation),
 keys AS (SELECT name, regexp_replace(lower(name), '[^a-z0-9]', '', 'g') AS a FROM names),
-near AS (SELECT name, arg_min(path, stem) AS path FROM keys, (SELECT *, regexp_replace(stem, '[^a-z0-9]', '', 'g') AS c FROM cards) WHERE a <> '' AND (starts_with(a, c) OR starts_with(c, a)) GROUP BY name)
+near AS (SELECT name, arg_min(path, stem) AS path FROM keys, (SELECT *, regexp_replace(stem, '[^a-z0-9]', '', 'g') AS c FROM cards) WHERE starts_with(a, c) OR starts_with(c, a) GROUP BY name)
 SELECT n.name, coalesce(c.path, r.path) AS path FROM names n LEFT JOIN cards c ON lower(trim(n.name)) = c.stem LEFT JOIN near r ON r.name = n.name""")
 def fuzzy_lookup(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "nation")
@@ -428,3 +424,6 @@ SELECT user_id, min(ts) AS "start", max(ts) + INTERVAL 6 HOUR AS "end", count(*)
 def idle_sessions(spark: SparkSession, d: str) -> DataFrame:
     """Extension: runs of a user's events less than six hours apart."""
     return sessions.sessions(table(spark, d, "events"))
+
+
+from cantolith.plans import more as _more  # noqa: E402, F401  registers its queries here

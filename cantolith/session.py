@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +32,14 @@ def session(app: str = "cantolith", cpus: int | None = None) -> SparkSession:
     return spark
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder's path for files that a query writes and reads again: in spark.checkpoint.dir, or a temporary one on a single machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{base or tempfile.mkdtemp(prefix='scratch-')}/{uuid.uuid4().hex}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables of a data folder, read by Spark alone."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

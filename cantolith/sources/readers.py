@@ -198,7 +198,7 @@ class _Cells(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag == "tr":
             self.rows.append([])
-        elif tag in ("td", "th"):
+        elif tag == "td":
             if not self.rows:
                 self.rows.append([])
             self.cell = []
@@ -213,7 +213,7 @@ class _Cells(HTMLParser):
     def handle_endtag(self, tag):
         if tag in ("b", "i"):
             self.kind = "text"
-        elif tag in ("td", "th"):
+        elif tag == "td":
             self.cell = None
 
     def handle_data(self, data):
@@ -249,7 +249,7 @@ def _cell_lines(cell, who, grouped):
 def parallel_lines(html: str, grouped: bool = False) -> list[tuple]:
     """(src kind, text, character, tgt kind, text, character) of a two-column table's lines, by position in a row (or in a group).
 
-    Rows of fewer than two cells or with an empty cell are left out; lines before the first speaker
+    Rows of other than two td cells or with an empty cell are left out; lines before the first speaker
     of their page as well; the longer side's last lines have no partner and are left out.
     """
     parser = _Cells()
@@ -257,7 +257,7 @@ def parallel_lines(html: str, grouped: bool = False) -> list[tuple]:
     parser.close()
     out, who = [], None
     for row in parser.rows:
-        if len(row) < 2:
+        if len(row) != 2:
             continue
         if not all("".join(t for k, t in c if k != "br").strip() for c in row[:2]):
             names = [t.strip() for c in row for k, t in c if k == "b"]

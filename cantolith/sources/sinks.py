@@ -17,6 +17,21 @@ def write_json_documents(df: DataFrame, path: str, key: str) -> None:
     df.select(key, F.to_json(F.struct(*cols), {"pretty": "true"}).alias("value")).write.mode("errorifexists").partitionBy(key).text(path)
 
 
+def write_files(df: DataFrame, path: str, name: str, text: str) -> None:
+    """A file for each row, called by its column name, which is unique, with a line end after the text; executors write, the driver renames."""
+    df.select(name, text).write.mode("errorifexists").partitionBy(name).text(path + ".parts")
+    jvm, hadoop = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    at = lambda x: jvm.org.apache.hadoop.fs.Path(x)
+    fs = at(path).getFileSystem(hadoop)
+    fs.mkdirs(at(path))
+    for folder in fs.listStatus(at(path + ".parts")):
+        if folder.isDirectory():
+            own = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(folder.getPath().getName().split("=", 1)[1])
+            for part in fs.listStatus(folder.getPath()):
+                fs.rename(part.getPath(), at(f"{path}/{own}"))
+    fs.delete(at(path + ".parts"), True)
+
+
 def write_jsonl(df: DataFrame, path: str, text: str, text_path: str, order: list[str]) -> None:
     """JSON lines, and the column text as lines of their own in the same order."""
     own = df.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -23,7 +23,7 @@ def X():
 
 def test_seconds_and_clock(spark):
     assert values(spark, T.seconds(X()), ["1:48:35", "2:05", "7", "1:2.5", None]) == [6515.0, 125.0, 7.0, 62.5, None]
-    with pytest.raises(Exception, match="Invalid timestamp"):
+    with pytest.raises(Exception, match="no time of the form"):
         values(spark, T.seconds(X()), ["1:2:3:4"])
     assert values(spark, T.cue(X().cast("double"), F.lit("X")), ["0", "65", "3661", "86400", "180000.9"]) == [" - X", "1:05 - X", "1:01:01 - X", "1 day, 0:00:00 - X", "2 days, 2:00:00 - X"]
 
@@ -131,14 +131,14 @@ def test_phrases(spark):
     assert values(spark, sequences.phrase_places(w, F.lit("The rope")), ["the ROPE and the rope", "the", ""]) == [[0, 3], [], []]
     assert values(spark, sequences.only_place(w, F.lit("a b")), ["x a b"]) == [1]
     for bad in ("x", "a b a b"):
-        with pytest.raises(Exception, match="found"):
+        with pytest.raises(Exception, match="place"):
             values(spark, sequences.only_place(w, F.lit("a b")), [bad])
 
 
 def test_strict_zip(spark):
     df = spark.createDataFrame([(1, ["a", "b"], ["x"])], "doc_id long, s array<string>, t array<string>")
     assert [tuple(r) for r in sequences.zip_lists(df, "s", "t").collect()] == [(1, 0, "a", "x")]
-    with pytest.raises(Exception, match="match"):
+    with pytest.raises(Exception, match="must have as many"):
         sequences.zip_lists(df, "s", "t", strict=True).collect()
 
 
