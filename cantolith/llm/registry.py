@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, license_scan, mixing, near_dedup, quality_classifier, quality_rules, substring_dedup, token_count, url_filter
+from . import base, decontaminate, html_text, license_scan, mixing, near_dedup, quality_classifier, quality_rules, substring_dedup, token_count, url_filter
 
 
 def queries() -> dict:
@@ -21,9 +21,16 @@ def queries() -> dict:
         "op8_quality_classifier": quality_classifier.op8_quality_classifier,
         "op9_decontamination": decontaminate.op9_decontamination,
         "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+        "license_base_phrases": base.license_base_phrases,
+        "quality_base_counts": base.quality_base_counts,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """Query name -> SQL, where SQL can express the query."""
-    return {"op4_url_filter": url_filter.SQL}
+    return {
+        "op3_near_duplicates": base.NEAR_DUPLICATES,
+        "op4_url_filter": url_filter.SQL,
+        "license_base_phrases": base.LICENSE_BASE,
+        "quality_base_counts": base.QUALITY_BASE,
+    }
