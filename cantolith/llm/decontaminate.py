@@ -131,9 +131,9 @@ class Block:
         some = count > 0
         return where[some], first[some], count[some]
 
-    def candidates(self, codes: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[Block, list[tuple]]]:
+    def candidates(self, codes: np.ndarray, offsets: np.ndarray, shared: tuple | None = None) -> Iterator[tuple[Block, list[tuple]]]:
         """Parts of the block with (document, item, lowest diagonal, first and last window) of bands that reach the bound."""
-        where, first, count = self.shared(codes)
+        where, first, count = shared or self.shared(codes)
         sums = np.r_[0, np.cumsum(count)]
         i = 0
         while i < len(where):
@@ -185,37 +185,62 @@ class Block:
                 out.append(row)
         return [tuple(x) for x in out]
 
-    def verify(self, codes: np.ndarray, begin: int, end: int, t: int, low: int, first: int, last: int) -> list[tuple[int, int, int, int]]:
-        """(start, end, item start, edits) of each window of an item that an alignment inside the band confirms."""
+    def verify(self, codes: np.ndarray, begin: int, end: int, t: int, low: int, first: int, last: int, known: list) -> None:
+        """Adds to known (start, end, item start, edits) of each window of an item that an alignment inside the band confirms.
+
+        Windows that known has on a diagonal of the band are left out. One that is found without
+        gaps needs no alignment; its edits are then the characters that differ.
+        """
         item, w, e = self.codes[t], int(self.window[t]), int(self.budget[t])
-        out = []
         lo, width = low - E, BAND + 3 * E + 1  # diagonals of the band and E on both sides
         steps = np.arange(width)
-        for k in range(first, last + 1, 1024):
-            s = np.arange(k, min(k + 1024, last + 1))[:, None]
-            origin = s + lo + steps  # where the alignment that ends at a cell begins
-            row = np.zeros(origin.shape, np.int64)  # least edits of item[s : s + i] ending before place s + i + lo + d
-            for i in range(w):
-                place = s + i + lo + steps
-                valid = (place >= begin) & (place < end)
-                over = row + ~(valid & (codes[np.clip(place, 0, len(codes) - 1)] == item[s + i]))
-                best, source = over, origin
-                less = row[:, 1:] + 1 < over[:, :-1]  # a character of the item is missing
-                best[:, :-1][less] = row[:, 1:][less] + 1
-                source = source.copy()
-                source[:, :-1][less] = origin[:, 1:][less]
-                row = np.minimum.accumulate(best - steps, axis=1)  # characters of the document that the item has not
-                fresh = np.ones(row.shape, bool)
-                fresh[:, 1:] = row[:, 1:] < row[:, :-1]
-                origin = np.take_along_axis(source, np.maximum.accumulate(np.where(fresh, steps, 0), axis=1), axis=1)
-                row = row + steps
-            d = row.argmin(axis=1)
-            each = np.arange(len(d))
-            for x in np.flatnonzero(row[each, d] <= e).tolist():
-                at = int(s[x, 0])
-                a, b = max(begin, int(origin[x, d[x]])), min(end, at + w + lo + int(d[x]))
-                out.append((a, max(a, b), at, int(row[x, d[x]])))
-        return out
+        done = {at for a, _, at, _ in known if lo <= a - at < lo + width}
+        windows = np.array([k for k in range(first, last + 1) if k not in done], np.int64)
+        if not len(windows):
+            return
+        k = np.arange(windows[0], windows[-1] + w)
+        place = k[:, None] + lo + steps
+        valid = (place >= begin) & (place < end)
+        differs = ~(valid & (codes[np.clip(place, 0, len(codes) - 1)] == item[k][:, None]))
+        sums = np.zeros((len(k) + 1, width), np.int32)
+        np.cumsum(differs, axis=0, out=sums[1:])
+        at = windows - windows[0]
+        each = sums[at + w] - sums[at]
+        d = each.argmin(axis=1)
+        least = each[np.arange(len(d)), d]
+        plain = least <= e
+        for x, y, edits in zip(windows[plain].tolist(), d[plain].tolist(), least[plain].tolist(), strict=True):
+            known.append((max(begin, x + lo + y), min(end, x + lo + y + w), x, edits))
+        rest = windows[~plain]
+        for k in range(0, len(rest), 1024):
+            self.align(codes, begin, end, item, w, e, lo, rest[k : k + 1024], known)
+
+    @staticmethod
+    def align(codes: np.ndarray, begin: int, end: int, item: np.ndarray, w: int, e: int, lo: int, windows: np.ndarray, known: list) -> None:
+        """The same by the edit distance, for any number of windows at once."""
+        steps = np.arange(BAND + 3 * E + 1)
+        s = windows[:, None]
+        origin = s + lo + steps  # where the alignment that ends at a cell begins
+        row = np.zeros(origin.shape, np.int64)  # least edits of item[s : s + i] ending before place s + i + lo + d
+        for i in range(w):
+            place = s + i + lo + steps
+            valid = (place >= begin) & (place < end)
+            over = row + ~(valid & (codes[np.clip(place, 0, len(codes) - 1)] == item[s + i]))
+            best, source = over, origin.copy()
+            less = row[:, 1:] + 1 < over[:, :-1]  # a character of the item is missing
+            best[:, :-1][less] = row[:, 1:][less] + 1
+            source[:, :-1][less] = origin[:, 1:][less]
+            row = np.minimum.accumulate(best - steps, axis=1)  # characters of the document that the item has not
+            fresh = np.ones(row.shape, bool)
+            fresh[:, 1:] = row[:, 1:] < row[:, :-1]
+            origin = np.take_along_axis(source, np.maximum.accumulate(np.where(fresh, steps, 0), axis=1), axis=1)
+            row = row + steps
+        d = row.argmin(axis=1)
+        each = np.arange(len(d))
+        for x in np.flatnonzero(row[each, d] <= e).tolist():
+            at = int(windows[x])
+            a, b = max(begin, int(origin[x, d[x]])), min(end, at + w + lo + int(d[x]))
+            known.append((a, max(a, b), at, int(row[x, d[x]])))
 
 
 def merged(found: list[tuple[int, int, int, int]], window: int) -> list[tuple[int, int, int, int, int]]:
@@ -241,7 +266,8 @@ def _search(batches: Iterator[pa.RecordBatch], shared, kind: pa.DataType) -> Ite
             heads = np.r_[0, np.cumsum((part & 0xC0) != 0x80)]
             old = heads[offsets[i : j + 1] - offsets[i]]
             codes, bounds, places = normal(characters(part.tobytes().decode()), old)
-            where, _, count = block.shared(codes)
+            shares = block.shared(codes)
+            where, _, count = shares
             heavy = np.flatnonzero(np.diff(np.r_[0, np.cumsum(count)][np.searchsorted(where, bounds)]) > HEAVY * np.diff(bounds))
             if len(heavy):
                 keep = np.ones(len(codes), bool)
@@ -249,13 +275,14 @@ def _search(batches: Iterator[pa.RecordBatch], shared, kind: pa.DataType) -> Ite
                     keep[bounds[d] : bounds[d + 1]] = False
                     keep[bounds[d] + shortened(codes[bounds[d] : bounds[d + 1]])] = True
                 codes, places, bounds = codes[keep], places[keep], np.r_[0, np.cumsum(keep)][bounds]
+                shares = None
             done: dict[tuple[int, int, int], list] = {}
             windows = {}
-            for own, found in block.candidates(codes, bounds):
+            for own, found in block.candidates(codes, bounds, shares):
                 for d, t, low, first, last in found:
                     key = (d, own.ids[t], own.shift[t])
                     windows[key] = (int(own.window[t]), own.places[t])
-                    done.setdefault(key, []).extend(own.verify(codes, int(bounds[d]), int(bounds[d + 1]), t, low, first, last))
+                    own.verify(codes, int(bounds[d]), int(bounds[d + 1]), t, low, first, last, done.setdefault(key, []))
             for (d, number, shift), found in sorted(done.items()):
                 window, spots = windows[d, number, shift]
                 for s, e, x, y, edits in merged(found, window):
