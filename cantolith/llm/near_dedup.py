@@ -129,7 +129,7 @@ def overlaps(bounds: np.ndarray, s: np.ndarray, cut: int) -> np.ndarray:
     edge = np.flatnonzero(np.r_[True, kind[1:] != kind[:-1]]) if len(kind) else np.zeros(0, np.int64)
     size, kind = np.diff(np.r_[edge, len(kind)]), kind[edge] if len(kind) else kind
     rows, first_column = (cut, cut) if cut else (m, 0)
-    out = np.zeros((rows, m - first_column))
+    out = np.zeros((rows, m - first_column), np.float32 if np.diff(bounds).max(initial=0) < 1 << 24 else np.float64)
     few = max(2, int((m / 64) ** 0.5) * 8)
     for c in np.unique(size[size <= few]).tolist():
         x, y = np.triu_indices(c, 1)
@@ -151,7 +151,7 @@ def overlaps(bounds: np.ndarray, s: np.ndarray, cut: int) -> np.ndarray:
         spot = np.repeat(edge[part] - np.r_[0, np.cumsum(n)][:-1], n) + np.arange(n.sum())
         x = np.zeros((m, len(part)), np.float32)
         x[doc[spot], np.repeat(np.arange(len(part)), n)] = 1
-        out += (x[:rows] * weight[kind[part]].astype(np.float32)) @ x[first_column:].T
+        out += ((x[:rows] * weight[kind[part]].astype(np.float32)) @ x[first_column:].T).astype(out.dtype)
     return out
 
 
@@ -183,7 +183,11 @@ def links_among(sides: np.ndarray, bounds: np.ndarray, s: np.ndarray, percent: i
     cut = int((sides == 0).sum()) % len(sides)
     both = overlaps(np.r_[0, np.cumsum(n)], s, cut)
     rows, columns = (n[:cut], n[cut:]) if cut else (n, n)
-    linked = 100 * both >= percent * (rows[:, None] + columns[None, :] - both)
+    linked = np.empty(both.shape, bool)
+    for k in range(0, len(both), 256):  # in whole numbers, some rows at a time
+        part = both[k : k + 256].astype(np.int64)
+        linked[k : k + 256] = 100 * part >= percent * (rows[k : k + 256, None] + columns[None, :] - part)
+    del both
     return [(int(order[a]), int(order[b])) for a, b in forest(linked, cut)]
 
 
@@ -310,7 +314,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     several = one.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").select("id", "a")
     links = links.union(one.join(several, "id").select("a", F.col("rep").alias("b"))).union(several.select("a", F.col("id").alias("b")))
     joined = components(links)
-    named = one.select("id", "n", "rep").join(joined, F.col("rep") == F.col("node"), "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
+    copies = classes.groupBy("rep").agg(F.sum("c").alias("c"))
+    held = joined.join(copies, F.col("node") == F.col("rep"), "left").select(F.col("node").alias("rep"), "component", F.coalesce("c", F.lit(1)).alias("c"))
+    named = meet(one.select("id", "n", "rep"), held, ["rep"], "c").select("id", "n", F.coalesce("component", "rep").alias("component"))
     rest = sig.where("not (n > 0 and id is not null)").select("id", "n", F.col("id").alias("component"))
     return named.unionByName(rest).select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("id").isNull() | (F.col("id") == F.col("component"))).alias("kept"))
 
