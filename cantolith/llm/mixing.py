@@ -38,7 +38,7 @@ LEAST, POWER = 20, 0.25
 DOMAINS = ("clean", "low", "toxic")
 TARGETS = {"clean": 0.94, "low": 0.04, "toxic": 0.02}
 #: Steps at most; a step that changes totals by less than this share ends the descent; a residual over this is told.
-STEPS, NEAR, FAR = 100, 1e-5, 1e-3
+STEPS, NEAR, FAR = 100, 1e-4, 1e-3
 RIDGE = 1e-3
 EXTRA = 3
 
