@@ -68,7 +68,7 @@ def in_batches(df: DataFrame, kernel, schema) -> DataFrame:
     """df put through kernel(iterator of record batches), which has some megabytes at a time.
 
     A batch waits as a whole in the JVM and in the worker. Where the session has Spark's own bound
-    of 10,000 rows it gets BATCH_ROWS, which took 500 MB off an executor's peak; any other stays.
+    of 10,000 rows it gets BATCH_ROWS, which takes hundreds of MB off an executor's peak; any other stays.
     """
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if conf.get(name) == "10000":
