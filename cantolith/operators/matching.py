@@ -38,10 +38,8 @@ def fuzzy_lookup(names: DataFrame, cards: DataFrame) -> DataFrame:
     met = n.withColumn("_k", F.lower(F.trim("name"))).join(exact, "_k", "left")
     miss = met.where("_exact is null and _k <> ''").select("name", T.alnum(F.col("name")).alias("_a"))
     keyed = cards.select("path", "ord", T.alnum(F.col("stem")).alias("_c"))
-    # bounded: one row each
-    first = cards.agg(F.min_by("path", "ord").alias("path"), F.min("ord").alias("ord"))
-    blank = keyed.where("_c = ''").agg(F.min_by("path", "ord").alias("path"), F.min("ord").alias("ord")).where("path is not null")
-    by_all = miss.where("_a = ''").join(F.broadcast(first)).select("name", "path", "ord").union(miss.where("_a <> ''").join(F.broadcast(blank)).select("name", "path", "ord"))
+    least = lambda df: (df.agg(F.min_by("path", "ord")).scalar().alias("path"), df.agg(F.min("ord")).scalar().alias("ord"))
+    by_all = miss.where("_a = ''").select("name", *least(cards)).union(miss.where("_a <> ''").select("name", *least(keyed.where("_c = ''")))).where("path is not null")
     miss, keyed = miss.where("_a <> ''"), keyed.where("_c <> ''")
     cut = lambda c: F.explode(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.substring(F.col(c), F.lit(1), i)))
     shorter = miss.withColumn("_p", cut("_a")).join(keyed, F.col("_p") == F.col("_c")).select("name", "path", "ord")

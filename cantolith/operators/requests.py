@@ -22,7 +22,7 @@ def requests(records: DataFrame, order: str = "ord", limit: int | None = None, s
 
     limit (None: none, 0: no record) cuts before records are judged. The style is the one given,
     else the first global_style that is not blank of the records read, else the record's own.
-    The global style is one row that all records are joined with; ordinals are counts before the record.
+    The global style is a scalar subquery; ordinals are counts before the record.
     """
     df = records
     if limit is not None:
@@ -34,8 +34,8 @@ def requests(records: DataFrame, order: str = "ord", limit: int | None = None, s
     elif style is not None:
         own = own.withColumn("style", F.col("global_style"))
     else:
-        shared = df.agg(F.min_by("global_style", F.when(~blank, F.col(order))).alias("_shared"))  # one row
-        own = own.join(F.broadcast(shared)).withColumn("style", F.coalesce("_shared", "global_style"))
+        shared = df.agg(F.min_by("global_style", F.when(~blank, F.col(order))))
+        own = own.withColumn("style", F.coalesce(shared.scalar(), "global_style"))
     ranked = ordinals(own.select(order, "prompt", "style"), order)
     return ranked.select(F.col(order).alias("ord"), "index", "total", "prompt", "style")
 
@@ -51,9 +51,9 @@ def ordinals(df: DataFrame, order: str) -> DataFrame:
     groups = counts.groupBy("_g").agg(F.sum("_c").alias("_c"))
     # bounded: an order of 64 bits has a group for each 16 million of its values
     first = groups.select("_g", F.coalesce(F.sum("_c").over(Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_first"))
-    total = groups.agg(F.sum("_c").alias("total"))
+    total = groups.agg(F.sum("_c")).scalar()
     inner = F.coalesce(F.sum("_c").over(Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    before = counts.withColumn("_inner", inner).join(first, "_g").select("_b", (F.col("_first") + F.col("_inner")).alias("_before")).join(F.broadcast(total))
+    before = counts.withColumn("_inner", inner).join(first, "_g").select("_b", (F.col("_first") + F.col("_inner")).alias("_before"), total.alias("total"))
     own = df.withColumn("_b", block).withColumn("_n", F.row_number().over(Window.partitionBy("_b").orderBy(order)))
     out = own.join(before.select("_b", "_before", "total"), "_b")
     return out.withColumn("index", (F.col("_n") + F.coalesce("_before", F.lit(0))).cast("bigint")).drop("_b", "_n", "_before")

@@ -7,7 +7,8 @@ import pytest
 from cantolith.plans import registry
 
 SF = "/root/testdata/sf0.001"
-PYTHON = {"align_words", "html_pairs"}
+# HTML parsing, a two-dimensional dynamic program, and a provider that is Python itself.
+PYTHON = {"align_words", "html_pairs", "html_rows", "html_groups", "html_cells", "message_records"}
 
 
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
