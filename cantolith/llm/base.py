@@ -11,18 +11,22 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _LOW = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 
-#: Every pair that shares a shingle is compared; components are the closure of the links.
-NEAR_DUPLICATES = rf"""
+
+def components_sql(shingle: int, percent: int) -> str:
+    """Tables d, n (set sizes) and c (components) of documents: every pair that shares a shingle is compared, components are the closure of the links."""
+    return rf"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(_LOW)} AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {near_dedup.SHINGLE} THEN list_transform(range(1, len(w) - {near_dedup.SHINGLE - 2}), lambda i: array_to_string(w[i:i + {near_dedup.SHINGLE - 1}], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM d),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {shingle} THEN list_transform(range(1, len(w) - {shingle - 2}), lambda i: array_to_string(w[i:i + {shingle - 1}], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM d),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
-l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= {near_dedup.PERCENT} * (na.n + nb.n - shared)),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= {percent} * (na.n + nb.n - shared)),
 r(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
 c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
-SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
 """
 
+
+NEAR_DUPLICATES = components_sql(near_dedup.SHINGLE, near_dedup.PERCENT) + "SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)"
+
 _PLACES = ", ".join(f"list_transform(list_filter(range(0, len(w) - {len(p.split()) - 1}), lambda i: w[i + 1:i + {len(p.split())}] = {p.split()!r}), lambda i: struct_pack(i := i, label := '{label}'))" for p, label in license_scan.BASE.items())
 LICENSE_BASE = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),

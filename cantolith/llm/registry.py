@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, decontaminate, html_text, license_scan, mixing, near_dedup, quality_classifier, quality_rules, substring_dedup, token_count, url_filter
+from . import base, decontaminate, hard_negatives, html_text, jaccard_join, license_scan, mixing, near_dedup, quality_classifier, quality_rules, substring_dedup, token_count, url_filter, vector_codes
 
 
 def queries() -> dict:
@@ -21,6 +21,9 @@ def queries() -> dict:
         "op8_quality_classifier": quality_classifier.op8_quality_classifier,
         "op9_decontamination": decontaminate.op9_decontamination,
         "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+        "op11_jaccard_join": jaccard_join.op11_jaccard_join,
+        "op12_vector_codes": vector_codes.op12_vector_codes,
+        "op13_hard_negatives": hard_negatives.op13_hard_negatives,
         "license_base_phrases": base.license_base_phrases,
         "quality_base_counts": base.quality_base_counts,
     }
@@ -31,6 +34,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_near_duplicates": base.NEAR_DUPLICATES,
         "op4_url_filter": url_filter.SQL,
+        "op11_jaccard_join": jaccard_join.SQL,
+        "op12_vector_codes": vector_codes.SQL,
+        "op13_hard_negatives": hard_negatives.SQL,
         "license_base_phrases": base.LICENSE_BASE,
         "quality_base_counts": base.QUALITY_BASE,
     }
