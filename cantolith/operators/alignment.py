@@ -1,8 +1,10 @@
 """Global alignment of a noisy timed word stream with a clean text, one document a group.
 
 The dynamic program over two word lists is the one operator here that built-in expressions can't
-hold; it runs as a grouped Arrow function, one numpy row at a time, and keeps one byte for each
-cell. Similarities are computed once for each pair of distinct words.
+hold; it runs as a grouped Arrow function. Cells are computed by diagonals, whose cells do not depend on
+each other, each with the very floating-point steps of the cell-by-cell recurrence. Memory is linear:
+moves are kept for a strip of rows at a time. Strips are entered again from rows of scores that were kept
+on the way down, a few for each level, and the way back goes through them from the last to the first.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 
 GAP, BONUS, NEAR, MARKED = -0.5, 2.0, 1.0, 1.0
 TRUTH = 5.0
+#: Moves that are kept at once, scores of the parts that a longer stretch is cut into (PARTS at most), and similarities that are held at once.
+CELLS, SCORES, PARTS, TABLE = 1 << 27, 1 << 24, 128, 1 << 22
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -79,6 +83,98 @@ def similarities(a: list[str], b: list[str]) -> np.ndarray:
     return np.where(longest == 0, 1.0, 1.0 - out / np.maximum(longest, 1))
 
 
+class _Grid:
+    """The score table of heard words (rows) and words (columns), a strip of rows at a time."""
+
+    def __init__(self, heard: list[tuple[str, float | None, float | None]], words: list[str], markers: dict[int, float]):
+        self.n = len(words)
+        kinds_a, kinds_b = sorted({h[0] for h in heard}), sorted(set(words))
+        number = lambda kinds, own: np.array(list(map({w: k for k, w in enumerate(kinds)}.__getitem__, own)), np.int64)
+        self.at_a, self.at_b = number(kinds_a, [h[0] for h in heard]), number(kinds_b, words)
+        self.kinds_a, self.kinds_b = kinds_a, kinds_b
+        self.start = np.array([np.nan if h[1] is None else h[1] for h in heard], np.float64)
+        self.mark = np.full(self.n, np.nan)
+        for j, t in markers.items():
+            if 0 <= j < self.n:
+                self.mark[j] = t
+        self.marked = bool((~np.isnan(self.mark)).any())
+        whole = len(kinds_a) * len(kinds_b) <= TABLE
+        self.table = similarities(kinds_a, kinds_b) if whole else None
+        #: Rows whose similarities are held at once.
+        self.rows = len(heard) if whole else max(1, TABLE // max(1, len(kinds_b)))
+
+    def similarity(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """(table, rows): similarities of the rows' words with all kinds of words, and each row's place in it."""
+        if self.table is not None:
+            return self.table, self.at_a[low:high]
+        kinds, own = np.unique(self.at_a[low:high], return_inverse=True)
+        return similarities([self.kinds_a[k] for k in kinds.tolist()], self.kinds_b), own
+
+    def strip(self, low: int, high: int, top: np.ndarray, moves: bool) -> tuple[np.ndarray, np.ndarray | None]:
+        """(scores of row high, moves or None) for the columns of top, the scores of row low.
+
+        A move is 0 for a match, 1 for a heard word left out, 2 for a word without a heard one; the first
+        that gives the score counts.
+        """
+        h, width = high - low, len(top) - 1
+        table, own = self.similarity(low, high)
+        bottom, kept = np.empty(width + 1), np.empty((h, width), np.uint8) if moves else None
+        bottom[0] = high * GAP
+        one, two = np.empty(h + 1), np.empty(h + 1)  # the last diagonal and the one before, by row of the strip
+        flat, line = table.ravel(), own * table.shape[1]
+        spots = kept.reshape(-1) if moves else None
+        for d in range(h + width + 1):
+            now = np.empty(h + 1)
+            a, b = max(1, d - width), min(h, d - 1)
+            if a <= b:  # rows a to b of the strip, columns d - a down to d - b
+                across = slice(d - b - 1, d - a)
+                like = flat.take(line[a - 1 : b] + self.at_b[across][::-1])
+                if self.marked:
+                    like = np.where(np.abs(self.mark[across][::-1] - self.start[low + a - 1 : low + b]) < NEAR, like + BONUS, like)
+                match, gaps = two[a - 1 : b] + like, one[a - 1 : b + 1] + GAP
+                up, left = gaps[:-1], gaps[1:]
+                best = np.maximum(up, left)
+                now[a : b + 1] = np.maximum(match, best)
+                if moves:
+                    first = (a - 1) * width + d - a - 1
+                    spots[first : first + (b - a) * (width - 1) + 1 : max(1, width - 1)] = np.where(match >= best, 0, (up < left) + np.uint8(1))
+            if d <= width:
+                now[0] = top[d]
+            if d <= h:
+                now[d] = (low + d) * GAP if d else top[0]
+            if h <= d:
+                bottom[d - h] = now[h]
+            one, two = now, one
+        return bottom, kept
+
+    def back(self, low: int, high: int, top: np.ndarray, j: int, found: np.ndarray) -> int:
+        """Goes from (high, j) back to row low; found[j] gets the heard word that j is matched with. Returns the column at row low."""
+        if not j or low == high:
+            return j
+        top = top[: j + 1]
+        if high - low <= max(1, min(self.rows, CELLS // j)):
+            moves, i = self.strip(low, high, top, True)[1], high - low
+            while i and j:
+                move = moves[i - 1, j - 1]
+                i -= move < 2
+                j -= move != 1
+                if move == 0:
+                    found[j] = low + i
+            return j
+        base, parts = max(1, min(self.rows, CELLS // j)), min(PARTS, max(2, SCORES // j))
+        step = base if high - low <= base * parts else -(-(high - low) // parts)
+        tops = [top]
+        for k in range(low, high - step, step):
+            rest, at = tops[-1], k
+            while at < k + step:  # as many rows as similarities are held for
+                end = min(at + self.rows, k + step)
+                rest, at = self.strip(at, end, rest, False)[0], end
+            tops.append(rest)
+        for k in reversed(range(len(tops))):
+            j = self.back(low + k * step, min(low + (k + 1) * step, high), tops[k], j, found)
+        return j
+
+
 def align(heard: list[tuple[str, float | None, float | None]], words: list[str], markers: dict[int, float] | None = None, least: float = 0.5, truth: float = TRUTH) -> list[tuple[float | None, float | None]]:
     """(start, end) of each of words, from the heard (word, start, end) it is aligned with.
 
@@ -89,51 +185,23 @@ def align(heard: list[tuple[str, float | None, float | None]], words: list[str],
     match is timed by its marker alone, for truth seconds.
     """
     markers = markers or {}
-    m, n = len(heard), len(words)
-    kinds_a, kinds_b = sorted({h[0] for h in heard}), sorted(set(words))
-    number = lambda kinds, own: np.array(list(map({w: k for k, w in enumerate(kinds)}.__getitem__, own)), np.int64)
-    at_a, at_b = number(kinds_a, [h[0] for h in heard]), number(kinds_b, words)
-    table = similarities(kinds_a, kinds_b)
-    moves = np.zeros((m, n), np.uint8)
-    row = np.arange(n + 1) * GAP
-    mark = np.full(n, np.nan)
-    for j, t in markers.items():
-        if 0 <= j < n:
-            mark[j] = t
-    for i in range(m):
-        match = row[:-1] + table[at_a[i], at_b]
-        if heard[i][1] is not None:
-            near = np.abs(mark - heard[i][1]) < NEAR
-            match = np.where(near, row[:-1] + (table[at_a[i], at_b] + BONUS), match)
-        up = row[1:] + GAP
-        best = np.maximum(match, up)
-        new = np.empty(n + 1)
-        new[0] = (i + 1) * GAP
-        cells, own = new.tolist(), best.tolist()
-        for j in range(n):  # a word without a heard one depends on the cell before it
-            left = cells[j] + GAP
-            cells[j + 1] = left if left > own[j] else own[j]
-        new = np.array(cells)
-        left = new[:-1] + GAP
-        moves[i] = np.where((match >= up) & (match >= left), 0, np.where(up >= left, 1, 2))
-        row = new
-    out: list[tuple[float | None, float | None]] = [(None, None)] * n
-    i, j = m, n
-    while j > 0:
-        move = moves[i - 1, j - 1] if i else 2
-        if move == 1:
-            i -= 1
-            continue
-        t = markers.get(j - 1)
-        if move == 0:
-            i -= 1
-            if t is not None:
-                out[j - 1] = (t, t + MARKED)
-            elif table[at_a[i], at_b[j - 1]] >= least:
-                out[j - 1] = heard[i][1:]
-        elif t is not None:
-            out[j - 1] = (t, t + truth)
-        j -= 1
+    n = len(words)
+    found = np.full(n, -1, np.int64)
+    if heard and n:
+        _Grid(heard, words, markers).back(0, len(heard), np.arange(n + 1) * GAP, n, found)
+    like: dict[tuple[str, str], float] = {}
+    out: list[tuple[float | None, float | None]] = []
+    for j, i in enumerate(found.tolist()):
+        t = markers.get(j)
+        if t is not None:
+            out.append((t, t + (truth if i < 0 else MARKED)))
+        elif i < 0:
+            out.append((None, None))
+        else:
+            pair = heard[i][0], words[j]
+            if pair not in like:
+                like[pair] = similarity(*pair)
+            out.append(heard[i][1:] if like[pair] >= least else (None, None))
     return out
 
 

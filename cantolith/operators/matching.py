@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cantolith.functions import text as T
+from cantolith.operators.scan import BLOCK, Fold, places, scan
 
 
 # Suffixes of images and of audio files, these in order of preference.
@@ -78,11 +79,16 @@ def newest_last(df: DataFrame, mtime: str = "mtime", name: str = "path", most: i
     return df.orderBy(mtime, name) if most is None else df.orderBy(F.desc(mtime), F.desc(name)).limit(most).orderBy(mtime, name)
 
 
-def free_names(df: DataFrame, name: str, order: str, out: str = "file") -> DataFrame:
-    """df with out: name, and _01, _02, ... before the suffix of its later uses."""
-    k = F.row_number().over(Window.partitionBy(name).orderBy(order)) - 1
+def free_names(df: DataFrame, name: str, order: str, out: str = "file", block: int = BLOCK) -> DataFrame:
+    """df with out: name, and _01, _02, ... before the suffix of its later uses, in an order of whole numbers.
+
+    Uses are counted by a scan, so a name of any share of the rows is dealt over many tasks. A row
+    without a name has none.
+    """
+    used = scan(df, name, [order], places(order, block), _k=Fold("sum", F.lit(1), own=False))
+    k = F.coalesce("_k", F.lit(0))
     base, ext = T.stem(F.col(name)), F.regexp_extract(name, r"^.+(\.[^.]+)$", 1)
-    return df.withColumn(out, F.when(k == 0, F.col(name)).otherwise(F.concat(base, F.lit("_"), T.padded(k), ext)))
+    return used.withColumn(out, F.when(k == 0, F.col(name)).otherwise(F.concat(base, F.lit("_"), T.padded(k), ext))).drop("_k")
 
 
 def sidecar(df: DataFrame, files: DataFrame, exts: tuple[str, ...] = AUDIO) -> DataFrame:

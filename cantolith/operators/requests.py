@@ -74,6 +74,19 @@ def titled(title: Column) -> Column:
     return F.coalesce(T.not_empty(T.strip(title)), F.lit("untitled"))
 
 
+def items_of(df: DataFrame, json: str) -> DataFrame:
+    """df's rows for each item of a JSON list that is an object, with pos (from 0), title and description; json goes.
+
+    Items of another kind are left out, and so is a text that is no list; a title that is missing or
+    blank is `untitled`, texts are stripped.
+    """
+    own = df.withColumn("_v", F.try_parse_json(json)).drop(json)
+    each = own.where(F.schema_of_variant("_v").startswith("ARRAY")).lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+    field = lambda k: F.coalesce(T.strip(F.try_variant_get("value", f"$.{k}", "string")), F.lit(""))
+    objects = each.where(F.schema_of_variant("value").startswith("OBJECT"))
+    return objects.select(*(c for c in own.columns if c != "_v"), "pos", titled(field("title")).alias("title"), field("description").alias("description"))
+
+
 def generate(df: DataFrame, column: str, provider: Callable[[], Callable[[str], str]], out: str = "answer") -> DataFrame:
     """df with a provider's answer to each text of column.
 

@@ -1,7 +1,8 @@
 """Timed words and time grids: absolute times, gaps, clamps, which word is active when.
 
-Sequential repairs are closed forms over one window by document: prefix sums and running maxima in
-place of loops. Interval lookups are equi-joins on time buckets, never a nested loop.
+Sequential repairs are closed forms: prefix sums, running maxima, last and next values in place of
+loops. They are scans with a carry (operators.scan), so a document of any length is dealt over many
+tasks. Interval lookups are equi-joins on time buckets, never a nested loop.
 """
 
 from __future__ import annotations
@@ -9,15 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cantolith.operators.scan import BLOCK, Fold, places, scan
 
-def _ordered(order: str, doc: str = "doc_id"):
-    return Window.partitionBy(doc).orderBy(order)
 
-
-def starts(segments: DataFrame, order: str = "seg_id") -> DataFrame:
+def starts(segments: DataFrame, order: str = "seg_id", block: int = BLOCK) -> DataFrame:
     """segments with start_s: the durations of all earlier segments of the document."""
-    before = _ordered(order).rowsBetween(Window.unboundedPreceding, -1)
-    return segments.withColumn("start_s", F.coalesce(F.sum("duration").over(before), F.lit(0)))
+    out = scan(segments, "doc_id", [order], places(order, block), start_s=Fold("sum", F.col("duration"), own=False))
+    return out.withColumn("start_s", F.coalesce("start_s", F.lit(0)))
 
 
 def absolute(words: DataFrame, segments: DataFrame) -> DataFrame:
@@ -33,15 +32,15 @@ def blank_segments(segments: DataFrame, blanked: DataFrame, words: str = "words"
     return segments.join(own, ["doc_id", "seg_id"], "left").withColumn(words, F.when(F.col("_blank"), F.array().cast(kind)).otherwise(F.col(words))).drop("_blank")
 
 
-def interpolate(words: DataFrame, widest: float = 20.0) -> DataFrame:
+def interpolate(words: DataFrame, widest: float = 20.0, block: int = BLOCK) -> DataFrame:
     """Untimed words between timed ones get equal steps of the gap, where it is at most widest.
 
     A step is the gap over the distance of the anchors' indices, so one step stays free before the
     later one; gaps at both ends stay null, negative ones are filled as well.
     """
     timed = F.col("start_s").isNotNull() & F.col("end_s").isNotNull()
-    back, ahead = _ordered("word_idx").rowsBetween(Window.unboundedPreceding, 0), _ordered("word_idx").rowsBetween(0, Window.unboundedFollowing)
-    out = words.withColumn("_p", F.last(F.when(timed, F.struct("word_idx", "end_s")), True).over(back)).withColumn("_n", F.first(F.when(timed, F.struct("word_idx", "start_s")), True).over(ahead))
+    anchor = F.when(timed, F.struct("word_idx", "start_s", "end_s"))
+    out = scan(words, "doc_id", ["word_idx"], places("word_idx", block), _p=Fold("last", anchor), _n=Fold("last", anchor, back=True))
     gap = F.col("_n.start_s") - F.col("_p.end_s")
     step = gap / (F.col("_n.word_idx") - F.col("_p.word_idx"))
     k = F.col("word_idx") - F.col("_p.word_idx")
@@ -49,15 +48,15 @@ def interpolate(words: DataFrame, widest: float = 20.0) -> DataFrame:
     return out.withColumns({"start_s": F.when(fill, F.col("_p.end_s") + (k - 1) * step).otherwise(F.col("start_s")), "end_s": F.when(fill, F.col("_p.end_s") + k * step).otherwise(F.col("end_s"))}).drop("_p", "_n")
 
 
-def monotonic_words(words: DataFrame) -> DataFrame:
+def monotonic_words(words: DataFrame, block: int = BLOCK) -> DataFrame:
     """Timed words in order, each moved to the last end where it starts before it, its duration kept; untimed ones stay.
 
     end' = D + max over the prefix of (start - D before it), where D sums durations.
     """
     timed = F.col("start_s").isNotNull() & F.col("end_s").isNotNull()
-    run = _ordered("word_idx").rowsBetween(Window.unboundedPreceding, 0)
-    length = F.when(timed, F.col("end_s") - F.col("start_s"))
-    out = words.withColumn("_len", length).withColumn("_d", F.sum("_len").over(run)).withColumn("_m", F.max(F.when(F.col("_len").isNotNull(), F.col("start_s") - (F.col("_d") - F.col("_len")))).over(run))
+    run = lambda df, **fold: scan(df, "doc_id", ["word_idx"], places("word_idx", block), **fold)
+    out = run(words.withColumn("_len", F.when(timed, F.col("end_s") - F.col("start_s"))), _d=Fold("sum", F.col("_len")))
+    out = run(out, _m=Fold("max", F.when(timed, F.col("start_s") - (F.col("_d") - F.col("_len")))))
     end = F.col("_d") + F.col("_m")
     return out.withColumns({"start_s": F.when(timed, end - F.col("_len")).otherwise(F.col("start_s")), "end_s": F.when(timed, end).otherwise(F.col("end_s"))}).drop("_len", "_d", "_m")
 
@@ -75,39 +74,39 @@ def during(ticks: DataFrame, words: DataFrame, bucket: float) -> DataFrame:
     return ticks.withColumn("_b", b("t_s")).join(spans, ["doc_id", "_b"]).where("t_s between start_s and end_s").groupBy("doc_id", "tick").agg(F.min("word_idx").alias("word_idx"))
 
 
-def before(ticks: DataFrame, words: DataFrame, tolerance: float) -> DataFrame:
-    """(doc_id, tick, t_s, word_idx or null): the word of the latest end at or before t, the lowest of equal ones, if t - end <= tolerance."""
-    ends = words.where("end_s is not null").select("doc_id", F.col("end_s").alias("t_s"), F.lit(0).alias("_kind"), F.struct(F.col("end_s").alias("e"), (-F.col("word_idx")).alias("i")).alias("_w"), F.lit(None).cast("bigint").alias("tick"))
-    both = ends.unionByName(ticks.select("doc_id", "t_s", F.lit(1).alias("_kind"), F.lit(None).cast(ends.schema["_w"].dataType).alias("_w"), "tick"))
-    run = Window.partitionBy("doc_id").orderBy("t_s", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    got = both.withColumn("_w", F.max("_w").over(run)).where("_kind = 1")
-    return got.select("doc_id", "tick", "t_s", F.when(F.col("t_s") - F.col("_w.e") <= tolerance, -F.col("_w.i")).alias("word_idx"))
+def before(ticks: DataFrame, words: DataFrame, tolerance: float, bucket: float = 600.0) -> DataFrame:
+    """(doc_id, tick, t_s, word_idx or null): the word of the latest end at or before t, the lowest of equal ones, if t - end <= tolerance.
+
+    Ends and ticks stand in blocks of bucket seconds; a scan brings the latest end across blocks.
+    """
+    ends = words.where("end_s is not null").select("doc_id", F.col("end_s").alias("t_s"), F.lit(0).alias("kind"), F.struct(F.col("end_s").alias("e"), (-F.col("word_idx")).alias("i")).alias("w"), F.lit(None).cast("bigint").alias("tick"))
+    both = ends.unionByName(ticks.select("doc_id", "t_s", F.lit(1).alias("kind"), F.lit(None).cast(ends.schema["w"].dataType).alias("w"), "tick"))
+    got = scan(both, "doc_id", ["t_s", "kind"], places("t_s", bucket), last=Fold("max", F.col("w"))).where("kind = 1")
+    return got.select("doc_id", "tick", "t_s", F.when(F.col("t_s") - F.col("last.e") <= tolerance, -F.col("last.i")).alias("word_idx"))
 
 
 def active(ticks: DataFrame, words: DataFrame, tolerance: float, bucket: float, title_until: float = 0.0) -> DataFrame:
     """(doc_id, tick, t_s, word_idx): -1 before title_until, else the word during t, else the one before it within tolerance, else null."""
     x = during(ticks, words, bucket).withColumnRenamed("word_idx", "_in")
-    y = before(ticks, words, tolerance).withColumnRenamed("word_idx", "_before")
+    y = before(ticks, words, tolerance, bucket).withColumnRenamed("word_idx", "_before")
     at = F.when(F.col("t_s") < title_until, F.lit(-1).cast("bigint")).otherwise(F.coalesce("_in", "_before"))
     return y.join(x, ["doc_id", "tick"], "left").select("doc_id", "tick", "t_s", at.alias("word_idx"))
 
 
-def monotonic_frames(frames: DataFrame, order: DataFrame | None = None, at: str = "word_idx") -> DataFrame:
+def monotonic_frames(frames: DataFrame, order: DataFrame | None = None, at: str = "word_idx", block: int = BLOCK) -> DataFrame:
     """Of a document's ticks, one that goes back in the order takes the last valid one; nulls stay.
 
     order(at, pos) places the values; without it they are their own places. A value that is not
     in the order has place -1.
     """
     df = frames.withColumn("_pos", F.col(at)) if order is None else frames.join(order.select(at, F.col("pos").alias("_pos")), at, "left").withColumn("_pos", F.coalesce("_pos", F.lit(-1)))
-    run = _ordered("tick").rowsBetween(Window.unboundedPreceding, 0)
-    best = F.max(F.when(F.col(at).isNotNull(), F.struct("_pos", at))).over(run)
-    return df.withColumn("_best", best).withColumn(at, F.when(F.col(at).isNotNull(), F.col(f"_best.{at}"))).drop("_pos", "_best")
+    out = scan(df, "doc_id", ["tick"], places("tick", block), _best=Fold("max", F.when(F.col(at).isNotNull(), F.struct("_pos", at))))
+    return out.withColumn(at, F.when(F.col(at).isNotNull(), F.col(f"_best.{at}"))).drop("_pos", "_best")
 
 
-def fill_between(frames: DataFrame, at: str = "word_idx") -> DataFrame:
+def fill_between(frames: DataFrame, at: str = "word_idx", block: int = BLOCK) -> DataFrame:
     """Nulls between two equal values take that value."""
-    back, ahead = _ordered("tick").rowsBetween(Window.unboundedPreceding, 0), _ordered("tick").rowsBetween(0, Window.unboundedFollowing)
-    df = frames.withColumn("_p", F.last(at, True).over(back)).withColumn("_n", F.first(at, True).over(ahead))
+    df = scan(frames, "doc_id", ["tick"], places("tick", block), _p=Fold("last", F.col(at)), _n=Fold("last", F.col(at), back=True))
     return df.withColumn(at, F.coalesce(F.col(at), F.when(F.col("_p") == F.col("_n"), F.col("_p")))).drop("_p", "_n")
 
 

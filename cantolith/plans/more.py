@@ -345,8 +345,19 @@ _LETTERS = "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
 _SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "".join(f"{chr(c)}" for c in (1, 2, 3, 4, 5, 6))
 _SIMILAR = "CASE WHEN greatest(length({0}), length({1})) = 0 THEN 1.0::DOUBLE ELSE 1 - levenshtein({0}, {1}) / greatest(length({0}), length({1}))::DOUBLE END"
 
-#: A row of the score table at a time, the row itself from left to right by list_reduce; then the way back through all moves as one text.
-ORACLE["align_words"] = rf"""
+
+def alignment_sql(marked: bool) -> str:
+    """A row of the score table at a time, the row itself from left to right by list_reduce; then the way back through all moves as one text.
+
+    marked: every ninth word has a marker.
+    """
+    at = lambda j: f"({j} + {j} % 4 * 0.5)"
+    like = _SIMILAR.format("a[i + 1]", "b[j]")
+    like = f"(({like}) + CASE WHEN (j - 1) % 9 = 4 AND abs({at('(j - 1)')} - i) < 1 THEN 2.0::DOUBLE ELSE 0.0::DOUBLE END)" if marked else like
+    start, end = "CASE WHEN heard THEN CAST(spot - 1 AS DOUBLE) END", "CASE WHEN heard THEN CAST(spot AS DOUBLE) END"
+    if marked:
+        start, end = (f"CASE WHEN j % 9 = 4 THEN CAST({at('j')}{more} AS DOUBLE) ELSE {x} END" for x, more in ((start, ""), (end, " + CASE WHEN move = 0 THEN 1 ELSE 5 END")))
+    return rf"""
 WITH RECURSIVE t AS (SELECT conv_id, turn, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM conversations),
 p AS (SELECT a.conv_id * 1000 + a.turn AS doc_id, b.w AS words, list_transform(a.w, lambda x: translate(lower(x), '{_LETTERS}', '{_SIGNS}')) AS a, list_transform(b.w, lambda x: translate(lower(x), '{_LETTERS}', '{_SIGNS}')) AS b
   FROM t b JOIN t a ON a.conv_id = b.conv_id AND b.turn = a.turn + 1),
@@ -355,7 +366,7 @@ rows(doc_id, i, cells, moves) AS (
   UNION ALL
   SELECT doc_id, i + 1, new, list_transform(range(1, len(new)), lambda j: CASE WHEN same[j] >= up[j] AND same[j] >= new[j] - 0.5 THEN 0 WHEN up[j] >= new[j] - 0.5 THEN 1 ELSE 2 END)
   FROM (SELECT *, list_reduce(list_prepend([(i + 1) * -0.5::DOUBLE], list_transform(range(1, len(up) + 1), lambda j: [greatest(same[j], up[j])])), lambda acc, x: list_append(acc, greatest(acc[len(acc)] - 0.5, x[1]))) AS new
-    FROM (SELECT doc_id, i, list_transform(range(1, len(b) + 1), lambda j: cells[j] + {_SIMILAR.format("a[i + 1]", "b[j]")}) AS same,
+    FROM (SELECT doc_id, i, list_transform(range(1, len(b) + 1), lambda j: cells[j] + {like}) AS same,
         list_transform(range(1, len(b) + 1), lambda j: cells[j + 1] - 0.5) AS up
       FROM rows JOIN p USING (doc_id) WHERE i < len(a)))),
 table_of AS MATERIALIZED (SELECT doc_id, string_agg(array_to_string(moves, ''), '' ORDER BY i) AS moves FROM rows WHERE i > 0 GROUP BY doc_id),
@@ -365,10 +376,13 @@ way(doc_id, i, j, move, spot) AS (
   SELECT doc_id, i - CAST(m < 2 AS INT), j - CAST(m <> 1 AS INT), m, i FROM (
     SELECT w.doc_id, i, j, CASE WHEN i = 0 THEN 2 ELSE CAST(substr(moves, (i - 1) * n + j, 1) AS INT) END AS m
     FROM way w JOIN (SELECT doc_id, len(b) AS n FROM p) USING (doc_id) LEFT JOIN table_of USING (doc_id) WHERE j > 0))
-SELECT doc_id, j AS word_idx, words[j + 1] AS word, CASE WHEN heard THEN CAST(spot - 1 AS DOUBLE) END AS start_s, CASE WHEN heard THEN CAST(spot AS DOUBLE) END AS end_s
-FROM (SELECT way.doc_id, j, words, spot, move = 0 AND ({_SIMILAR.format("a[spot]", "b[j + 1]")}) >= 0.3 AS heard FROM way JOIN p USING (doc_id) WHERE move IN (0, 2))
+SELECT doc_id, j AS word_idx, words[j + 1] AS word, {start} AS start_s, {end} AS end_s
+FROM (SELECT way.doc_id, j, words, spot, move, move = 0 AND ({_SIMILAR.format("a[spot]", "b[j + 1]")}) >= 0.3 AS heard FROM way JOIN p USING (doc_id) WHERE move IN (0, 2))
 """
 
+
+ORACLE["align_words"] = alignment_sql(False)
+
 _BALANCE = "length(replace(x, ')', '')) - length(replace(x, '(', ''))"
 #: A part's key is the way to it, so parts in order of keys are in order.
 ORACLE["split_long"] = rf"""

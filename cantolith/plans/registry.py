@@ -426,4 +426,4 @@ def idle_sessions(spark: SparkSession, d: str) -> DataFrame:
     return sessions.sessions(table(spark, d, "events"))
 
 
-from cantolith.plans import more as _more  # noqa: E402, F401  registers its queries here
+from cantolith.plans import flows as _flows  # noqa: E402, F401  registers its queries and those of more here

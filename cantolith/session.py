@@ -40,6 +40,14 @@ def scratch(spark: SparkSession) -> str:
     return f"{base or tempfile.mkdtemp(prefix='scratch-')}/{uuid.uuid4().hex}"
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df, computed and written to the session's checkpoint folder, with no lineage before it."""
+    sc = df.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(scratch(df.sparkSession))
+    return df.checkpoint(eager=True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables of a data folder, read by Spark alone."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -134,6 +134,58 @@ def _plain_yaml(text: str) -> dict:
     return out
 
 
+#: The keys of a config, those that it must have, and what the others are without it.
+CONFIG = (
+    "title string, file_prefix string, language string, start_idx int, end_idx int, overture_indices array<int>, characters array<string>, secondary_color string, "
+    "playlist_url string, spotify_url string, translation_file string, video_width int, video_height int, font_size int, res_divisor int"
+)
+REQUIRED = ("title", "file_prefix", "language", "start_idx", "end_idx", "overture_indices", "characters")
+DEFAULTS = {"secondary_color": "Silver", "video_width": 3840, "video_height": 2160, "font_size": 96, "res_divisor": 1}
+
+
+def typed_config(text: str) -> tuple[dict, str | None]:
+    """(values by key, error or null) of a config's text: error names the keys that are missing or of another type."""
+    try:
+        try:
+            import yaml
+
+            found = yaml.safe_load(text)
+        except ImportError:
+            found = _plain_yaml(text)
+    except Exception as e:
+        return {}, f"not readable: {' '.join(str(e).split())}"
+    if not isinstance(found, dict):
+        return {}, "not a mapping"
+    is_int = lambda x: isinstance(x, int) and not isinstance(x, bool) and abs(x) < 1 << 31
+    right = {
+        "int": is_int, "string": lambda x: isinstance(x, (str, int, float, bool)),
+        "array<int>": lambda x: isinstance(x, list) and all(map(is_int, x)), "array<string>": lambda x: isinstance(x, list) and all(isinstance(y, (str, int, float)) for y in x),
+    }
+    out, wrong = {}, []
+    for key, kind in (x.split(" ") for x in CONFIG.split(", ")):
+        value = found.get(key, DEFAULTS.get(key))
+        if value is not None and not right[kind](value):
+            wrong.append(key)
+        elif value is not None:
+            out[key] = str(value) if kind == "string" else [str(y) for y in value] if kind == "array<string>" else value
+    missing = [k for k in REQUIRED if k not in found]
+    said = [f"{what}: {', '.join(keys)}" for what, keys in (("missing", missing), ("wrong type", wrong)) if keys]
+    return out, "; ".join(said) or None
+
+
+def configs(spark: SparkSession, path: str) -> DataFrame:
+    """(path, CONFIG, error) of YAML files, a row each, read by the executors; a bad file has an error and what could be read of it, an empty one no row."""
+    names = [x.split(" ")[0] for x in CONFIG.split(", ")]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            read = [typed_config(x or "") for x in f["text"]]
+            rows = [(p, *(values.get(n) for n in names), error) for p, (values, error) in zip(f["path"], read, strict=True)]
+            yield pd.DataFrame(rows, columns=["path", *names, "error"], dtype=object)
+
+    return whole_texts(spark, path).mapInPandas(run, f"path string, {CONFIG}, error string")
+
+
 def style_of(spark: SparkSession, path: str) -> DataFrame:
     """(style) by the file's suffix: a JSONL's first global_style that is not blank, a JSON's guide, global_style or short_suffix, else the whole text."""
     whole = whole_texts(spark, path)

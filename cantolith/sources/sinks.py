@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cantolith.sources import files
+
 
 def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
     """Range-partitioned by order, so that part files in name order are in order; a header, no index."""
@@ -18,18 +20,10 @@ def write_json_documents(df: DataFrame, path: str, key: str) -> None:
 
 
 def write_files(df: DataFrame, path: str, name: str, text: str) -> None:
-    """A file for each row, called by its column name, which is unique, with a line end after the text; executors write, the driver renames."""
-    df.select(name, text).write.mode("errorifexists").partitionBy(name).text(path + ".parts")
-    jvm, hadoop = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    at = lambda x: jvm.org.apache.hadoop.fs.Path(x)
-    fs = at(path).getFileSystem(hadoop)
-    fs.mkdirs(at(path))
-    for folder in fs.listStatus(at(path + ".parts")):
-        if folder.isDirectory():
-            own = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(folder.getPath().getName().split("=", 1)[1])
-            for part in fs.listStatus(folder.getPath()):
-                fs.rename(part.getPath(), at(f"{path}/{own}"))
-    fs.delete(at(path + ".parts"), True)
+    """A file for each row, called by its column name, which is unique, with a line end after the text; executors write."""
+    rows = df.select(F.col(name).alias("name"), F.encode(F.concat(F.coalesce(text, F.lit("")), F.lit("\n")), "UTF-8").alias("bytes"))
+    files.register(df.sparkSession)
+    rows.write.format("named_files").mode("append").save(path)
 
 
 def write_jsonl(df: DataFrame, path: str, text: str, text_path: str, order: list[str]) -> None:

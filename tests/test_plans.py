@@ -8,7 +8,7 @@ from cantolith.plans import registry
 
 SF = "/root/testdata/sf0.001"
 # HTML parsing, a two-dimensional dynamic program, and a provider that is Python itself.
-PYTHON = {"align_words", "html_pairs", "html_rows", "html_groups", "html_cells", "message_records"}
+PYTHON = {"align_words", "align_marked", "cursor_track_ids", "config_table", "html_pairs", "html_rows", "html_groups", "html_cells", "message_records"}
 
 
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
@@ -26,6 +26,21 @@ def test_scans_read_needed_columns_only(spark):
 
 
 def test_windows_of_a_document_share_a_shuffle(spark):
-    for name, most in (("word_interpolate", 1), ("monotonic_words", 1), ("line_changes", 1), ("context_frame", 1)):
+    for name, most in (("line_changes", 1), ("context_frame", 1)):
         plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") <= most, name
+
+
+@pytest.mark.parametrize("name", ["interpolate", "monotonic_words", "starts", "monotonic_frames", "fill_between", "before"])
+def test_scans_shuffle_rows_once_and_never_by_document_alone(spark, name):
+    """Only the blocks' states meet by document; rows are dealt by document and block."""
+    from cantolith.operators import timeline
+
+    rows = spark.read.parquet(f"{SF}/events.parquet").selectExpr("user_id AS doc_id", "event_id AS word_idx", "event_id AS tick", "event_id AS seg_id", "value AS start_s", "value AS end_s", "value AS duration", "value AS t_s", "event_type AS marked")
+    df = timeline.before(rows, rows, 1.0) if name == "before" else getattr(timeline, name)(rows)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    by = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)
+    alone = [x for x in by if x.count("#") == 1]
+    assert by and all("_b" in x or "_g" in x for x in by if x not in alone), by
+    # what goes by the document alone is the states of groups of blocks
+    assert len(alone) <= 2 * plan.count("_o_"), (alone, name)
