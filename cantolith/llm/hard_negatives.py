@@ -33,7 +33,7 @@ from .common import durable, table
 
 POSITIVES, NEGATIVES = 5, 10
 LOW, HIGH = 30, 90
-#: Pivots: a quarter of the root of the rows, within these bounds; groups: one for so many anchors, GROUPS at most.
+#: Pivots: a quarter of the root of the rows, within these bounds, and half as many anchors; groups: one for so many anchors, GROUPS at most.
 PIVOTS, GROUPS, ANCHORS = (8, 512), 1024, 256
 #: Rows and anchors of a tile at most, and cells of its matrix of scores that are made at once.
 ROWS, MANY, CELLS = 8192, 4096, 1 << 22
@@ -294,9 +294,11 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, vec_id: str = "vec_id", v
     n = max(1, V.width(kept, "x"))
     top = kept.select("x").mapInArrow(_norms(n), "top double").agg(F.max("top")).first()[0] or 0.0
     count, anchors = kept.agg(F.count("*"), F.count_if("anchor")).first()
-    sample = lambda df, m: df.orderBy(F.xxhash64("id", F.lit(29)), "id").limit(m).select("label", "x").toArrow()  # noqa: E731  bounded: m rows
-    chosen = sample(kept, min(pivots[1], max(pivots[0], int(count**0.5 / 4))))
-    centres = sample(kept.where("anchor"), min(GROUPS, max(1, -(-anchors // per_group))))
+    sample = lambda df, m: df.orderBy(F.xxhash64("id", F.lit(29)), "id").limit(m)  # noqa: E731  bounded: m rows
+    p = min(pivots[1], max(pivots[0], int(count**0.5 / 4)))
+    # a part of the pivots are anchors, so that regions where few rows but anchors lie have one; none is there twice
+    chosen = sample(kept, p).union(sample(kept.where("anchor"), p // 2)).select("id", "label", "x").dropDuplicates(["id"]).orderBy("id").toArrow()
+    centres = sample(kept.where("anchor"), min(GROUPS, max(1, -(-anchors // per_group)))).select("x").toArrow()
     space = kept.sparkSession.sparkContext.broadcast(Space(n, top, V.matrix(chosen["x"], n), chosen["label"].to_pylist(), V.matrix(centres["x"], n)))
     schema = f"id long, label {kind}, anchor boolean, cell long, d double, group long, v array<long>"
     empty = not anchors

@@ -84,13 +84,18 @@ def _digests(shingle: int):
     return run
 
 
+def edge_of(share: float) -> int:
+    """The least hash that is not ordered by count."""
+    return min(int(share * 2**64), (1 << 64) - 1)
+
+
 def thin(s: np.ndarray, bounds: np.ndarray, percent: int, share: float) -> tuple[np.ndarray, np.ndarray]:
     """Which of the sorted hashes a text writes, and how many of each text are under share.
 
     All under share; where they are fewer than the shortest prefix, the next ones by hash as well.
     """
     n = np.diff(bounds)
-    low = np.add.reduceat(np.r_[s < np.uint64(int(share * 2**64)), False].astype(np.int64), bounds[:-1]) * (n > 0) if len(n) else n
+    low = np.add.reduceat(np.r_[s < np.uint64(edge_of(share)), False].astype(np.int64), bounds[:-1]) * (n > 0) if len(n) else n
     take = np.maximum(low, np.minimum(n, n - needed(n, percent) + 1))
     place = np.arange(len(s)) - np.repeat(bounds[:-1], n)
     return place < np.repeat(take, n), low
@@ -130,7 +135,7 @@ def prefixes(postings: DataFrame, percent: int, share: float) -> DataFrame:
 
     postings(hash, class, n, low, df): those counted more than once. Costs are sums of counts.
     """
-    edge = F.lit(int(share * 2**64) - (1 << 63))  # hashes as signed numbers, shifted so that their order is that of unsigned ones
+    edge = F.lit(edge_of(share) - (1 << 63))  # hashes as signed numbers, shifted so that their order is that of unsigned ones
     h = F.col("hash").bitwiseXOR(F.lit(-(1 << 63)))
     own = postings.groupBy("class", "n", "low").agg(F.array_sort(F.collect_set(F.struct(F.when(h < edge, F.col("df")).otherwise(F.lit(1 << 62)).alias("df"), h.alias("at"), "hash"))).alias("all"))
     spare = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100).cast("long")
@@ -242,7 +247,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     met = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     found = durable(components(stars(durable(keys.join(met, "key", "left_semi")))))
 
-    dealt = durable(tasks(found, own.select(F.col("class").alias("rep"), "n"), percent, block, most)).withColumnRenamed("id", "class")
+    dealt = durable(tasks(found, own.select(F.col("class").alias("rep"), "n"), min(percent, 99), block, most)).withColumnRenamed("id", "class")
     # a class has the text of its smallest id
     named = durable(classes.join(dealt.select("class").distinct(), "class").groupBy("class").agg(F.min("rep").alias("id")))
     some = probe(texts, "id", named.withColumnRenamed("id", "i"), "i", BLOCKS, "_in").where("_in").select("id", "text")
