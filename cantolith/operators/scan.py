@@ -1,10 +1,10 @@
 """Running folds over ordered rows of any number, without a task that takes a document whole.
 
 Rows lie in blocks, a whole number that rises with the order. A block is folded to one state (a sum,
-a maximum, the last value), the states are folded in order, in two levels, and each block's rows take
-up what the blocks before them left. Rows are shuffled by (key, block) and hold a window of a block;
-of a key only its states meet, one for each block, and those in groups of GROUP. So a key with a third
-of all rows has as many tasks as it has blocks.
+a maximum, the last value), the states are folded in order, and each block's rows take up what the
+blocks before them left. Rows are shuffled by (key, block) and hold a window of a block; of a key only
+its states meet, one for each BLOCK rows. So a key with a third of all rows has as many tasks as it has
+blocks. What comes before a scan is planned twice, for states and rows: cut a long chain of scans between.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Places of the order that are a block, and blocks that are a group.
-BLOCK = GROUP = 1 << 12
+#: Places of the order that are a block.
+BLOCK = 1 << 14
 
 _SEEN, _AHEAD = Window.unboundedPreceding, Window.unboundedFollowing
 
@@ -60,20 +60,17 @@ def places(order: str, size: int = BLOCK) -> Column:
     return F.floor(F.col(order) / size).cast("bigint")
 
 
-def scan(df: DataFrame, by: str, order: list[str], block: Column, group: int = GROUP, **folds: Fold) -> DataFrame:
+def scan(df: DataFrame, by: str, order: list[str], block: Column, **folds: Fold) -> DataFrame:
     """df with a column for each fold, over the rows of by in order.
 
     block must rise with the order. Sums of floating numbers are added up by blocks. Rows with a null
     key are folded by block alone; columns starting with _ are the scan's own.
     """
     own = df.withColumn("_b", block).withColumns({f"_v_{n}": f.value for n, f in folds.items()})
-    at = F.struct(*order)
-    states = own.where(F.col(by).isNotNull()).groupBy(by, "_b").agg(*(f.state(f"_v_{n}", at).alias(f"_s_{n}") for n, f in folds.items())).withColumn("_g", F.floor(F.col("_b") / group))
-    groups = states.groupBy(by, "_g").agg(*(f.state(f"_s_{n}", F.col("_b")).alias(f"_t_{n}") for n, f in folds.items()))
-    outer, inner, rows = Window.partitionBy(by).orderBy("_g"), Window.partitionBy(by, "_g").orderBy("_b"), Window.partitionBy(by, "_b").orderBy(*order)
-    groups = groups.select(by, "_g", *(f.over(f"_t_{n}", f.before(outer)).alias(f"_o_{n}") for n, f in folds.items()))
-    states = states.select(by, "_b", "_g", *(f.over(f"_s_{n}", f.before(inner)).alias(f"_i_{n}") for n, f in folds.items()))
-    left = states.join(groups, [by, "_g"]).select(by, "_b", *(f.joined(F.col(f"_o_{n}"), F.col(f"_i_{n}")).alias(f"_c_{n}") for n, f in folds.items()))
+    rows, at = Window.partitionBy(by, "_b").orderBy(*order), F.struct(*order)
+    states = own.where(F.col(by).isNotNull()).groupBy(by, "_b").agg(*(f.state(f"_v_{n}", at).alias(f"_v_{n}") for n, f in folds.items()))
+    blocks = Window.partitionBy(by).orderBy("_b")
+    left = states.select(by, "_b", *(f.over(f"_v_{n}", f.before(blocks)).alias(f"_c_{n}") for n, f in folds.items()))
     local = own.withColumns({n: f.over(f"_v_{n}", f.frame(rows)) for n, f in folds.items()})
     out = local.join(left, [by, "_b"], "left").withColumns({n: f.joined(F.col(f"_c_{n}"), F.col(n)) for n, f in folds.items()})
     return out.select(*df.columns, *folds)

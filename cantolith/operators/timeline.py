@@ -51,14 +51,20 @@ def interpolate(words: DataFrame, widest: float = 20.0, block: int = BLOCK) -> D
 def monotonic_words(words: DataFrame, block: int = BLOCK) -> DataFrame:
     """Timed words in order, each moved to the last end where it starts before it, its duration kept; untimed ones stay.
 
-    end' = D + max over the prefix of (start - D before it), where D sums durations.
+    end' = D + max over the prefix of (start - D before it), where D sums durations. Both are scanned at
+    once: of a block of places the sum of durations and the maximum by its own sums are its state.
     """
     timed = F.col("start_s").isNotNull() & F.col("end_s").isNotNull()
-    run = lambda df, **fold: scan(df, "doc_id", ["word_idx"], places("word_idx", block), **fold)
-    out = run(words.withColumn("_len", F.when(timed, F.col("end_s") - F.col("start_s"))), _d=Fold("sum", F.col("_len")))
-    out = run(out, _m=Fold("max", F.when(timed, F.col("start_s") - (F.col("_d") - F.col("_len")))))
-    end = F.col("_d") + F.col("_m")
-    return out.withColumns({"start_s": F.when(timed, end - F.col("_len")).otherwise(F.col("start_s")), "end_s": F.when(timed, end).otherwise(F.col("end_s"))}).drop("_len", "_d", "_m")
+    run = Window.partitionBy("doc_id", "_b").orderBy("word_idx").rowsBetween(Window.unboundedPreceding, 0)
+    out = words.withColumn("_b", places("word_idx", block)).withColumn("_len", F.when(timed, F.col("end_s") - F.col("start_s"))).withColumn("_d", F.sum("_len").over(run))
+    out = out.withColumn("_m", F.when(timed, F.col("start_s") - (F.col("_d") - F.col("_len"))))
+    states = out.where("doc_id is not null").groupBy("doc_id", "_b").agg(F.coalesce(F.sum("_len"), F.lit(0.0)).alias("_sum"), F.max("_m").alias("_top"))
+    blocks = Window.partitionBy("doc_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    left = states.withColumn("_before", F.coalesce(F.sum("_sum").over(blocks), F.lit(0.0))).select("doc_id", "_b", "_before", F.max(F.col("_top") - F.col("_before")).over(blocks).alias("_peak"))
+    out = out.withColumn("_m", F.max("_m").over(run)).join(left, ["doc_id", "_b"], "left")
+    before = F.coalesce("_before", F.lit(0.0))
+    end = before + F.col("_d") + F.greatest("_peak", F.col("_m") - before)
+    return out.withColumns({"start_s": F.when(timed, end - F.col("_len")).otherwise(F.col("start_s")), "end_s": F.when(timed, end).otherwise(F.col("end_s"))}).select(*words.columns)
 
 
 def grid(totals: DataFrame, step: float) -> DataFrame:

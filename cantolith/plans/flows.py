@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from datetime import timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cantolith.functions import fitting
 from cantolith.functions import text as T
 from cantolith.operators import alignment, attempts, bands, matching, requests
 from cantolith.plans.more import alignment_sql
-from cantolith.plans.registry import query
+from cantolith.plans.registry import SECONDS, query
 from cantolith.session import scratch, table
 from cantolith.sources import files, readers, sinks
+from cantolith.streaming import clamp
 
 
 @query(alignment_sql(True))
@@ -169,3 +172,19 @@ def listed_items(spark: SparkSession, d: str) -> DataFrame:
     listed = F.concat(F.lit('["{}", '), item(F.concat(F.lit("  "), "p_name"), F.col("p_type")), F.lit(", [1], "), item(F.lit(" "), F.concat("p_brand", F.lit(" "))), F.lit(', {"shot": 3}, 7, null]'))
     answer = F.when(k % 22 == 4, '{"title": "alone"}').when(k % 11 == 4, "no json [").otherwise(listed)
     return requests.items_of(table(spark, d, "part").select("p_partkey", answer.alias("answer")), "answer")
+
+
+@query(f"""WITH w AS (SELECT user_id AS doc_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS word_idx, ts,
+  CASE WHEN event_type <> 'error' THEN CAST({SECONDS} AS DOUBLE) END AS start_s, CASE WHEN event_type <> 'error' THEN CAST({SECONDS} AS DOUBLE) + floor(value) * 60 END AS end_s FROM events),
+a AS (SELECT *, sum(end_s - start_s) OVER (PARTITION BY doc_id ORDER BY word_idx) AS dd FROM w),
+b AS (SELECT *, max(start_s - (dd - (end_s - start_s))) OVER (PARTITION BY doc_id ORDER BY word_idx) AS m, lead(ts) OVER (PARTITION BY doc_id ORDER BY word_idx) AS next FROM a)
+SELECT doc_id, 'word' AS kind, ts, word_idx, CASE WHEN start_s IS NOT NULL THEN dd + m - (end_s - start_s) END AS start_s, CASE WHEN start_s IS NOT NULL THEN dd + m END AS end_s FROM b
+UNION ALL SELECT doc_id, 'idle', ts + INTERVAL 6 HOUR, NULL, NULL, NULL FROM b WHERE next IS NULL OR next > ts + INTERVAL 6 HOUR""")
+def clamped_idle(spark: SparkSession, d: str) -> DataFrame:
+    """Extension: what the stateful stream operator gives for the whole table: a user's words clamped, and when the user falls idle."""
+    e = table(spark, d, "events").withColumnRenamed("user_id", "doc_id")
+    start = F.expr("timestampdiff(SECOND, timestamp_ntz'2024-01-01 00:00:00', ts)").cast("double")
+    timed = F.col("event_type") != "error"
+    at = (F.row_number().over(Window.partitionBy("doc_id").orderBy("ts", "event_id")) - 1).cast("bigint")
+    words = e.select("doc_id", at.alias("word_idx"), "ts", F.when(timed, start).alias("start_s"), F.when(timed, start + F.floor("value") * 60).alias("end_s"))
+    return clamp.clamped(words, timedelta(hours=6))

@@ -17,18 +17,19 @@ NATION = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
 # --- files: written whole, read again
 
 
-@query(f"""SELECT CAST(floor({SECONDS} / 86400) AS BIGINT) AS seg_id, 'eng' AS language, CAST(count(*) AS BIGINT) AS n_words, CAST(sum(floor(value)) AS DOUBLE) AS length
-FROM events WHERE {SECONDS} >= 2 * 86400 AND {SECONDS} < 25 * 86400 GROUP BY ALL""")
+@query("""SELECT user_id AS seg_id, 'eng' AS language, count(*) AS n_words, CAST(sum(floor(value)) AS DOUBLE) AS length, string_agg(event_type, ' ' ORDER BY ts, event_id) AS text
+FROM events WHERE user_id >= 2 AND user_id < 1000000 GROUP BY user_id""")
 def transcription_files(spark: SparkSession, d: str) -> DataFrame:
-    """A JSON document for each day, named by its ordinal; days 2 to 24 are read."""
-    e = table(spark, d, "events").select(F.expr("timestampdiff(DAY, timestamp_ntz'2024-01-01 00:00:00', ts)").alias("day"), "event_type", F.floor("value").cast("double").alias("v"))
+    """A JSON document for each user, named by its ordinal, with the words in order; ordinals from 2 on are read."""
+    e = table(spark, d, "events").select("user_id", "ts", "event_id", "event_type", F.floor("value").cast("double").alias("v"))
     word = F.struct(F.lit(0.0).alias("start"), F.col("v").alias("end"), F.col("event_type").alias("word"), F.lit(1.0).alias("confidence"))
-    days = e.groupBy("day").agg(F.collect_list(word).alias("words")).select(F.format_string("take_%03d.json", "day").alias("name"), F.to_json(F.struct(F.lit("eng").alias("language"), "words"), {"pretty": "true"}).alias("json"))
+    takes = e.groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", word.alias("w")))), lambda x: x["w"]).alias("words"))
     path = scratch(spark)
-    sinks.write_files(days, path, "name", "json")
-    t = readers.file_range(readers.transcriptions(spark, path), 2, 25)
+    sinks.write_files(takes.select(F.format_string("take_%06d.json", "user_id").alias("name"), F.to_json(F.struct(F.lit("eng").alias("language"), "words"), {"pretty": "true"}).alias("json")), path, "name", "json")
+    t = readers.file_range(readers.transcriptions(spark, path), 2, 1_000_000)
     total = F.aggregate("words", F.lit(0.0), lambda a, w: a + w["end"] - w["start"])
-    return t.select("seg_id", "language", F.size("words").cast("bigint").alias("n_words"), total.alias("length"))
+    text = F.array_join(F.transform("words", lambda w: w["word"]), " ")
+    return t.select("seg_id", "language", F.size("words").cast("bigint").alias("n_words"), total.alias("length"), text.alias("text"))
 
 
 @query(f'WITH {WORDS} SELECT word, start_s AS "start", end_s AS "end" FROM words')

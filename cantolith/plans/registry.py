@@ -9,7 +9,7 @@ from cantolith.functions import text as T
 from cantolith.operators import alignment, matching, quality, requests, sequences, timeline
 from cantolith.sources import adapters, readers, sinks
 from cantolith.streaming import sessions
-from cantolith.session import table
+from cantolith.session import cut, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -126,8 +126,8 @@ def timeline_fill(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {INTERPOLATED}, {_active('filled')}, {RISING} {FILLED.format('rising')}")
 def active_timeline(spark: SparkSession, d: str) -> DataFrame:
     """The flagship: untimed words interpolated, the hourly grid, the active word, both repairs."""
-    words = timeline.interpolate(adapters.words(spark, d), DAY)
-    frames = timeline.active(_grid(words), words, DAY, 4 * HOUR)
+    words = cut(timeline.interpolate(adapters.words(spark, d), DAY))
+    frames = cut(timeline.active(_grid(words), words, DAY, 4 * HOUR))
     return timeline.fill_between(timeline.monotonic_frames(frames))
 
 

@@ -41,6 +41,5 @@ def test_scans_shuffle_rows_once_and_never_by_document_alone(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     by = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)
     alone = [x for x in by if x.count("#") == 1]
-    assert by and all("_b" in x or "_g" in x for x in by if x not in alone), by
-    # what goes by the document alone is the states of groups of blocks
-    assert len(alone) <= 2 * plan.count("_o_"), (alone, name)
+    assert by and all("_b" in x for x in by if x not in alone), by
+    assert len(alone) <= 1, (alone, name)  # the states of blocks

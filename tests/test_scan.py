@@ -13,12 +13,12 @@ def rows(seed, docs=6, n=60):
     return [(d, k, r.choice([None, *range(-5, 6)])) for d in range(docs) for k in range(r.randrange(0, n)) if r.random() < 0.8]
 
 
-@pytest.mark.parametrize(("size", "group"), [(1, 2), (3, 2), (7, 3), (4096, 4096)])
-def test_folds_equal_loops(spark, size, group):
+@pytest.mark.parametrize("size", [1, 3, 7, 4096])
+def test_folds_equal_loops(spark, size):
     data = rows(size)
     df = spark.createDataFrame(data, "doc_id long, at long, v long")
     v = F.col("v")
-    got = scan(df, "doc_id", ["at"], places("at", size), group, total=Fold("sum", v), top=Fold("max", v), last=Fold("last", v), before=Fold("sum", v, own=False), ahead=Fold("last", v, back=True), later=Fold("max", v, back=True, own=False))
+    got = scan(df, "doc_id", ["at"], places("at", size), total=Fold("sum", v), top=Fold("max", v), last=Fold("last", v), before=Fold("sum", v, own=False), ahead=Fold("last", v, back=True), later=Fold("max", v, back=True, own=False))
     for d in range(6):
         own = sorted(x[1:] for x in data if x[0] == d)
         held = {x.at: x for x in got.where(F.col("doc_id") == d).collect()}
@@ -63,7 +63,7 @@ def test_a_hot_document_is_dealt_over_tasks(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         for f in (timeline.interpolate, timeline.monotonic_words):
-            sizes = sorted(f(words).groupBy(F.spark_partition_id()).count().toPandas()["count"])
+            sizes = sorted(f(words, block=4096).groupBy(F.spark_partition_id()).count().toPandas()["count"])
             assert sizes[-1] <= 2 * sizes[len(sizes) // 2], sizes
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
