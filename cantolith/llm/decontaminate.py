@@ -6,8 +6,11 @@ bands that overlap by E, windows whose band reaches the bound are retained, and
 each such window inside the band verifies it. The benchmark is the stated query set: it is
 broadcast in blocks of at most BLOCK characters, and every block is searched in every whole document.
 
-Long periodic stretches (ruler lines, padding) would share all their q-grams with each other. Their
-middle is left out, whole periods of it: what remains has the same windows. Shared q-grams are
+Repetitive texts meet an item on many diagonals. A stretch of a document is one region of an item,
+whatever the diagonals on which its windows were found, and a window whose whole reach is in a region
+already is not verified again, so the work follows the document and not the number of diagonals. Of long
+stretches of a short period (ruler lines, padding), which share all their q-grams with each other, the
+middle is left out as well, whole periods of it: what remains has the same windows. Shared q-grams are
 expanded at most HITS at a time, by places and then by items.
 """
 
@@ -80,6 +83,44 @@ def shortened(codes: np.ndarray) -> np.ndarray:
     return places
 
 
+class Regions:
+    """Windows of an item that were found in a document, as regions of overlapping ones."""
+
+    def __init__(self):
+        self.new: list[tuple[int, int, int, int, int]] = []
+        self.regions: list[list[int]] = []  # [start, end, item start, item end, most edits], by start
+        self.met: dict[int, set[int]] = {}  # the windows by their diagonal
+
+    def add(self, start: int, end: int, at: int, window: int, edits: int) -> None:
+        self.new.append((start, end, at, at + window, edits))
+        self.met.setdefault(start - at, set()).add(at)
+
+    def starts(self, low: int, high: int) -> set[int]:
+        """The windows that were found on the diagonals from low to before high."""
+        return set().union(*(self.met[k] for k in range(low, high) if k in self.met))
+
+    def joined(self) -> list[list[int]]:
+        if self.new:
+            out: list[list[int]] = []
+            for a, b, x, y, edits in sorted([*map(tuple, self.regions), *self.new]):
+                if out and a <= out[-1][1]:
+                    o = out[-1]
+                    o[1], o[2], o[3], o[4] = max(b, o[1]), min(x, o[2]), max(y, o[3]), max(edits, o[4])
+                else:
+                    out.append([a, b, x, y, edits])
+            self.regions, self.new = out, []
+        return self.regions
+
+    def has(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether a region holds all from each start to its end."""
+        own = self.joined()
+        if not own:
+            return np.zeros(len(start), bool)
+        first, last = np.array([r[0] for r in own]), np.array([r[1] for r in own])
+        at = np.searchsorted(first, start, side="right") - 1
+        return (at >= 0) & (last[at] >= end)
+
+
 class Block:
     """Items' normal characters and a sorted table of their q-grams."""
 
@@ -97,7 +138,7 @@ class Block:
     def fill(self, parts: list[tuple]) -> Block:
         self.parts, self.halves = parts, None
         self.ids, self.shift, self.codes, self.places = (list(x) for x in zip(*parts, strict=True)) if parts else ([], [], [], [])
-        n = np.array([len(c) for c in self.codes], np.int64)
+        self.length = n = np.array([len(c) for c in self.codes], np.int64)
         self.window = np.minimum(n, W)
         # an item shorter than W has a budget in proportion, and never one that leaves no q-gram to find
         self.budget = np.minimum(self.window * E // W, self.window // Q - 1)
@@ -174,28 +215,30 @@ class Block:
         ok = last < len(key)
         idx, last = np.flatnonzero(ok), last[ok]
         good = (key[idx] == key[last]) & (band[idx] == band[last]) & (at[last] - at[idx] <= self.window[item[idx]] - Q)
-        out: list[list[int]] = []
-        for i, j in zip(idx[good].tolist(), last[good].tolist(), strict=True):
-            t = int(item[i])
-            w, n = int(self.window[t]), len(self.codes[t])
-            row = [int(doc[i]), t, int(band[i]) * BAND - (1 << 31), max(0, int(at[j]) + Q - w), min(n - w, int(at[i]))]
-            if out and out[-1][:3] == row[:3] and row[3] <= out[-1][4] + 1:
-                out[-1][4] = max(out[-1][4], row[4])
-            else:
-                out.append(row)
-        return [tuple(x) for x in out]
-
-    def verify(self, codes: np.ndarray, begin: int, end: int, t: int, low: int, first: int, last: int, known: list) -> None:
-        """Adds to known (start, end, item start, edits) of each window of an item that an alignment inside the band confirms.
-
-        Windows that known has on a diagonal of the band are left out. One that is found without
-        gaps needs no alignment; its edits are then the characters that differ.
+        i, j = idx[good], last[good]
+        if not len(i):
+            return []
+        t, w = item[i], self.window[item[i]]
+        first, last = np.maximum(0, at[j] + Q - w), np.minimum(self.length[t] - w, at[i])  # both rise within a band
+        new = (key[i][1:] != key[i][:-1]) | (band[i][1:] != band[i][:-1]) | (first[1:] > last[:-1] + 1)
+        begin = np.flatnonzero(np.r_[True, new])
+        end = np.r_[begin[1:], len(i)] - 1
+        return list(zip(*(x.tolist() for x in (doc[i][begin], t[begin], band[i][begin] * BAND - (1 << 31), first[begin], last[end])), strict=True))
+
+    def verify(self, codes: np.ndarray, begin: int, end: int, t: int, low: int, first: int, last: int, known: Regions) -> None:
+        """Adds to known each window of an item that an alignment inside the band confirms.
+
+        Windows that known has on a diagonal of the band, and those whose whole reach is in a region,
+        are left out. One that is found without gaps needs no alignment; its edits are then the
+        characters that differ.
         """
         item, w, e = self.codes[t], int(self.window[t]), int(self.budget[t])
         lo, width = low - E, BAND + 3 * E + 1  # diagonals of the band and E on both sides
         steps = np.arange(width)
-        done = {at for a, _, at, _ in known if lo <= a - at < lo + width}
-        windows = np.array([k for k in range(first, last + 1) if k not in done], np.int64)
+        windows = np.arange(first, last + 1)
+        windows = windows[~known.has(np.maximum(begin, windows + lo), np.minimum(end, windows + lo + width + w))]
+        if done := known.starts(lo, lo + width):
+            windows = windows[~np.isin(windows, list(done))]
         if not len(windows):
             return
         k = np.arange(windows[0], windows[-1] + w)
@@ -210,13 +253,13 @@ class Block:
         least = each[np.arange(len(d)), d]
         plain = least <= e
         for x, y, edits in zip(windows[plain].tolist(), d[plain].tolist(), least[plain].tolist(), strict=True):
-            known.append((max(begin, x + lo + y), min(end, x + lo + y + w), x, edits))
+            known.add(max(begin, x + lo + y), min(end, x + lo + y + w), x, w, edits)
         rest = windows[~plain]
         for k in range(0, len(rest), 1024):
             self.align(codes, begin, end, item, w, e, lo, rest[k : k + 1024], known)
 
     @staticmethod
-    def align(codes: np.ndarray, begin: int, end: int, item: np.ndarray, w: int, e: int, lo: int, windows: np.ndarray, known: list) -> None:
+    def align(codes: np.ndarray, begin: int, end: int, item: np.ndarray, w: int, e: int, lo: int, windows: np.ndarray, known: Regions) -> None:
         """The same by the edit distance, for any number of windows at once."""
         steps = np.arange(BAND + 3 * E + 1)
         s = windows[:, None]
@@ -240,23 +283,11 @@ class Block:
         for x in np.flatnonzero(row[each, d] <= e).tolist():
             at = int(windows[x])
             a, b = max(begin, int(origin[x, d[x]])), min(end, at + w + lo + int(d[x]))
-            known.append((a, max(a, b), at, int(row[x, d[x]])))
+            known.add(a, max(a, b), at, w, int(row[x, d[x]]))
 
 
-def merged(found: list[tuple[int, int, int, int]], window: int) -> list[tuple[int, int, int, int, int]]:
-    """(start, end, item start, item end, most edits of a window) of windows that overlap in the document and in the item."""
-    out: list[list[int]] = []
-    for a, b, at, edits in sorted(set(found), key=lambda x: (x[2], x[0])):
-        for o in reversed(out[-8:]):
-            if a <= o[1] and o[0] <= b and at <= o[3]:
-                o[0], o[1], o[3], o[4] = min(a, o[0]), max(b, o[1]), max(o[3], at + window), max(o[4], edits)
-                break
-        else:
-            out.append([a, b, at, at + window, edits])
-    return sorted(tuple(x) for x in out)
-
-
-def _search(batches: Iterator[pa.RecordBatch], shared, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+def _search(batches: Iterator[pa.RecordBatch], shared, kind: pa.DataType, brief: bool = False) -> Iterator[pa.RecordBatch]:
+    """brief: of each document the first region that is found is enough."""
     block, items = shared.value
     for batch in batches:
         data, offsets = utf8(batch.column(1))
@@ -276,16 +307,20 @@ def _search(batches: Iterator[pa.RecordBatch], shared, kind: pa.DataType) -> Ite
                     keep[bounds[d] + shortened(codes[bounds[d] : bounds[d + 1]])] = True
                 codes, places, bounds = codes[keep], places[keep], np.r_[0, np.cumsum(keep)][bounds]
                 shares = None
-            done: dict[tuple[int, int, int], list] = {}
-            windows = {}
+            done: dict[tuple[int, int, int], Regions] = {}
+            spots_of, leaks = {}, set()
             for own, found in block.candidates(codes, bounds, shares):
                 for d, t, low, first, last in found:
+                    if d in leaks:
+                        continue
                     key = (d, own.ids[t], own.shift[t])
-                    windows[key] = (int(own.window[t]), own.places[t])
-                    own.verify(codes, int(bounds[d]), int(bounds[d + 1]), t, low, first, last, done.setdefault(key, []))
-            for (d, number, shift), found in sorted(done.items()):
-                window, spots = windows[d, number, shift]
-                for s, e, x, y, edits in merged(found, window):
+                    spots_of[key] = own.places[t]
+                    own.verify(codes, int(bounds[d]), int(bounds[d + 1]), t, low, first, last, done.setdefault(key, Regions()))
+                    if brief and done[key].joined():
+                        leaks.add(d)
+            for (d, number, shift), found in sorted(done.items(), key=lambda x: x[0]):
+                spots = spots_of[d, number, shift]
+                for s, e, x, y, edits in found.joined():
                     e = max(e, s + 1)
                     rows.append((i + d, items[number], int(places[s] - old[d]), int(places[e - 1] - old[d]) + 1, shift + int(spots[x]), shift + int(spots[y - 1]) + 1, edits))
         cols = list(zip(*rows, strict=True)) or [[]] * 7
@@ -311,15 +346,19 @@ def blocks(benchmark: DataFrame, item_id: str, text: str, size: int) -> Iterator
         yield block, ids
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = BLOCK) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = BLOCK, brief: bool = False) -> DataFrame:
     """(doc_id, item_id, start, end, item_start, item_end, edits): every region of a document that has a window of an item.
 
+    A stretch of overlapping windows is one region of an item. Where the item repeats itself, so that the
+    stretch meets several of its places, item_start and item_end hold those that were looked at. brief gives one region
+    of each document that has any, for those who only ask which have.
+
     Windows are W characters (the whole of a shorter item) within E edits (in proportion), after
     lower-casing A-Z and joining white space; places are characters of the texts as they are.
     Items of fewer than Q characters can't be found, nor can null ids or texts; null and empty
     documents have no leaks. Documents are searched row by row: repeated rows and null ids get
     rows of their own, as have repeated items. edits is the most that a window of the region
-    needs. A long periodic stretch is found at its ends or as a whole. Other columns are not
+    needs that was looked at. A long stretch of a short period is found at its ends or as a whole. Other columns are not
     carried; an empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -329,7 +368,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     out = None
     for items, ids in blocks(benchmark, item_id, item_text, size):
         shared = spark.sparkContext.broadcast((Block(items), ids))
-        part = in_batches(raw, lambda it, shared=shared: _search(it, shared, kind), schema)
+        part = in_batches(raw, lambda it, shared=shared: _search(it, shared, kind, brief), schema)
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = spark.createDataFrame([], schema)
@@ -344,7 +383,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     """
     d, t = numbered(docs), number(docs, text)
     key = F.xxhash64(number(docs, doc_id), t)
-    found = durable(find_leaks(d.withColumn("_key", key), benchmark, "_key", t).select(F.col("_key").alias("_leak")).distinct())
+    found = durable(find_leaks(d.withColumn("_key", key), benchmark, "_key", t, brief=True).select(F.col("_key").alias("_leak")).distinct())
     return d.join(found, key == F.col("_leak"), "left_anti").toDF(*docs.columns)
 
 

@@ -109,6 +109,40 @@ def test_periodic_texts_in_bounded_memory():
     tracemalloc.stop()
 
 
+def test_repeats_are_one_region_in_time_that_follows_the_document():
+    """Items and documents that repeat themselves with periods too long to be left out, and many equal items."""
+    r = random.Random(21)
+    began = time.perf_counter()
+    unit = text(r, 60)[:100]
+    (row,) = search([(0, 0, unit * 20)], "start " + unit * 200 + " end")
+    assert row["start"] <= 8 and row["end"] >= 20_000 and row["item_end"] - row["item_start"] >= D.W
+    short = text(r, 30)[:40]
+    (row,) = search([(0, 0, short * 40)], short * 400)
+    assert (row["start"], row["end"]) == (0, 16_000)
+    assert time.perf_counter() - began < 8
+    began = time.perf_counter()
+    item = text(r, 30)[:80] + " "
+    rows = search([(k, 0, item) for k in range(100)], item * 100)
+    assert len(rows) == 100 and all(x["start"] == 0 and x["end"] >= 100 * 81 - 2 for x in rows)
+    assert time.perf_counter() - began < 15
+    began = time.perf_counter()
+    (row,) = search([(0, 0, unit * 20)], unit * 2000)
+    assert row["end"] == 200_000 and time.perf_counter() - began < 20
+
+
+def test_brief_finds_the_same_documents():
+    r = random.Random(22)
+    items = [(k, 0, text(r, 30)) for k in range(10)]
+    docs = [text(r, 20) + " " + " ".join(t for _, _, t in items[: k % 3]) + " " + text(r, 20) for k in range(9)]
+
+    class Shared:
+        value = (D.Block(items), list(range(10)))
+
+    batch = pa.record_batch([pa.array(range(9)), pa.array(docs)], ["id", "text"])
+    full, brief = ([x for b in D._search(iter([batch]), Shared, pa.int64(), how) for x in b.to_pylist()] for how in (False, True))
+    assert {x["id"] for x in full} == {x["id"] for x in brief} == {k for k in range(9) if k % 3} and len(brief) == 6 < len(full)
+
+
 def test_slices_and_halves_find_the_same(monkeypatch):
     r = random.Random(12)
     items = [(k, 0, "the same opening of each of them " + text(r, 20)) for k in range(30)]
