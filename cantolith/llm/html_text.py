@@ -55,6 +55,10 @@ BARRIER = frozenset("div section article td th main body aside button".split())
 HEADING = re.compile(r"h[1-6]$")
 HEADER = frozenset(["header"])
 COMMENTS = frozenset("comment comments commentlist disqus respond replies reply".split())
+#: What of NAMES tells that an article is not the page's own.
+OTHERS = COMMENTS | frozenset("ad ads advert advertisement promo promotion sponsor sponsored related teaser".split())
+#: What may lead to the main element from beside it.
+LEAD = frozenset("h1 h2 h3 h4 h5 h6 p blockquote".split())
 
 
 def tags(source: str) -> Iterator[tuple[int, int, str | None, bool, str]]:
@@ -187,7 +191,7 @@ class Page:
                     name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
                     if name in ("class", "id"):
                         words = WORDS.findall(value)
-                        if not drop and named(value):
+                        if not drop and named(value) and (tag != "article" or not OTHERS.isdisjoint(words)):
                             drop = True
                             if COMMENTS.isdisjoint(words):
                                 by_name.append(k)
@@ -209,11 +213,14 @@ class Page:
                     out[k] = False
         return out
 
-    def weights(self) -> list[int]:
-        """Characters of text in an element that no element within it drops; links don't count."""
+    def weights(self, prose: bool = False) -> list[int]:
+        """Characters of text in an element that no element within it drops; links don't count, and with prose only what stands in prose."""
         n = [0] * len(self.tag)
+        told = [False] * len(n)
+        for k in range(1, len(n)):
+            told[k] = told[self.parent[k]] or self.tag[k] in PROSE
         for k, t in self.items:
-            if t and self.tag[k] != "a":
+            if t and self.tag[k] != "a" and (told[k] or not prose):
                 n[k] += len(t.strip())
         for k in range(len(n) - 1, 0, -1):
             if not self.dropped[k]:
@@ -221,7 +228,12 @@ class Page:
         return n
 
     def find_main(self) -> set[int]:
-        """The articles that are in no other one, the main elements, the element called so, or the smallest with nearly all the text."""
+        """The articles that are in no other one, the main elements, the elements called so, or the smallest that holds all prose.
+
+        Of elements called so by class or id the largest counts, and those of the same class. What leads to
+        the first of them from beside it is one of them: headings and paragraphs before it in the main
+        element around it; where there is none, a heading of the first rank.
+        """
         n = self.weights()
 
         within = [False] * len(n)  # whether something around an element drops it
@@ -234,19 +246,34 @@ class Page:
         for is_main in (lambda k: self.tag[k] == "article", lambda k: self.tag[k] == "main" or role(k), called):
             found = [k for k in range(1, len(n)) if is_main(k) and n[k] and not self.dropped[k] and not within[k]]
             if found and is_main is called:
-                return {max(found, key=lambda k: (n[k], -k))}
+                largest = max(found, key=lambda k: (n[k], -k))
+                found = [k for k in found if k == largest or self.tag[k] == self.tag[largest] and self.attributes[k] == self.attributes[largest]]
             if found:
                 held = [False] * len(n)  # whether one of found is around an element
                 own = set(found)
                 for k in range(1, len(n)):
                     held[k] = held[self.parent[k]] or self.parent[k] in own
-                return {k for k in found if not held[k]}
-        best = 0
+                own = {k for k in found if not held[k]}
+                return own | self.leads(own, within)
+        best, told = 0, self.weights(prose=True)
+        told = told if told[0] else n
         for k in range(1, len(n)):
-            if self.parent[k] == best and not self.dropped[k] and 10 * n[k] >= 9 * n[best] > 0:
+            if self.parent[k] == best and not self.dropped[k] and told[k] == told[best] > 0:
                 best = k
         return {best}
 
+    def leads(self, mains: set[int], within: list[bool]) -> set[int]:
+        """What leads to the first main element from beside it or beside what holds it."""
+        first, around = min(mains), set()
+        k = self.parent[first]
+        while k >= 0:
+            around.add(k)
+            k = self.parent[k]
+        inside = any(self.tag[k] == "main" for k in around)
+        top = max((k for k in around if self.tag[k] == "main"), default=0)
+        found = (k for k in range(1, first) if self.parent[k] in around and not self.dropped[k] and not within[k])
+        return {k for k in found if (self.tag[k] in LEAD and self.parent[k] >= top if inside else self.tag[k] == "h1")}
+
     def around(self) -> set[int]:
         """The main elements and all that hold one."""
         out: set[int] = set()

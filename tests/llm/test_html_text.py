@@ -50,6 +50,35 @@ def test_page_rules():
         assert H.Page(source).text() == want, (source, H.Page(source).text())
 
 
+def test_nothing_of_the_article_is_lost():
+    """Text that stands beside the largest block, in several blocks, or under a class that tells of something else."""
+    long = "A long text that holds nearly all the characters of the page. " * 10
+    cases = [
+        (page(f"<h1>Title</h1><p>Lead.</p><div>{long}</div><p>Last.</p>"), f"Title\nLead.\n{long.strip()}\nLast."),
+        (page('<div class="entry-content"><p>One</p></div><div class="ad">Buy</div><div class="entry-content"><p>And two</p></div>'), "One\nAnd two"),
+        (page('<header><h1>Site</h1></header><div><h1>Title</h1><div class="post-content"><p>P</p></div></div>'), "Title\nP"),
+        (page("<main><h2>Part</h2><p>Intro.</p><nav>n</nav><article><p>P</p></article></main>"), "Part\nIntro.\nP"),
+        (page("<p>Before</p><h1>Title</h1><article><p>P</p></article><h1>After</h1>"), "Title\nP"),
+        (page('<article class="search"><p>How to search</p></article>'), "How to search"),
+        (page('<article><p>P</p></article><article class="comment"><p>c</p></article><article class="related-posts"><p>r</p></article>'), "P"),
+        (page('<div class="story"><p>The story itself, which is long</p></div><div class="story teaser"><p>Other</p></div>'), "The story itself, which is long"),
+        (page('<ul><li><a href="/">Home</a></li><li><a href="/x">More</a></li></ul><div><p>One</p><div><p>Two</p></div></div>'), "One\nTwo"),
+    ]
+    for source, want in cases:
+        assert H.Page(source).text() == want, (source, H.Page(source).text())
+
+
+def test_pages_without_article_tags_give_the_same_text(spark):
+    """The fixture's pages with their article as a plain div: nothing names it, its text stays as it was."""
+    rows = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    same = 0
+    for source in rows:
+        with_tags, without = H.Page(source).text(), H.Page(source.replace("<article>", "<div>").replace("</article>", "</div>")).text()
+        assert set(with_tags.split("\n")) <= set(without.split("\n"))
+        same += with_tags == without
+    assert same >= 0.9 * len(rows), (same, len(rows))
+
+
 def test_templates_of_a_host_go_and_copies_stay(spark):
     box = "<div class=x1><span>Buy our things now</span></div>"
     rows = [(k, f"http://h.org/{k}", page(f"<div><p>Page {k} has a text of its own, number {k}</p><p>and a second line {k}</p>{box}</div>")) for k in range(12)]
