@@ -1,7 +1,7 @@
 """License scans: ordered signature rules behind a keyword prefilter.
 
-There are hand-written signatures of license texts and notices (BODIES), and rules made from
-FAMILIES and TEMPLATES for names, versions and web addresses: some hundreds of regexes, each with
+There are hand-written signatures of license texts and notices (BODIES), short forms that are in use
+(short_forms), and rules made from FAMILIES and TEMPLATES for names, versions and web addresses: some hundreds of regexes, each with
 words that any match holds, a priority and a confidence. A text is searched with the rules whose
 words it holds. The operands of SPDX expressions are looked up one by one. A detection that lies
 inside one of higher or equal priority is suppressed; detections that merely overlap stay. Base
@@ -176,29 +176,65 @@ BODIES = (
     ("bsd", "bsd-style license", 55, 0.7),
     ("mit", "mit-style license", 55, 0.7),
 )
-#: What may stand between two words of a signature.
 #: What may stand between the words of a name: white space, and the signs that comments begin their lines with.
 BETWEEN, MAYBE = r"[\s*#/;]{1,8}", r"[\s*#/;]{0,8}"
 GAP = r"[^a-z0-9\x80-\U0010ffff]{1,16}"
 
 
+# Names that are no words of their own, and count only where a license is spoken of.
+SHORT = ("mit", "expat", "isc", "zlib", "x11")
+# Names that a list of licenses of one work may hold after its first.
+DUAL = (("mit", "mit"), ("apache", "apache"), ("gpl", "gpl"), ("lgpl", "lgpl"), ("mpl", "mpl"), ("bsd", "bsd"))
+
+
+def short_forms() -> Iterator[tuple[str, str, str, int, float]]:
+    """(label, keyword, regex, priority, confidence) of the short ways in which licenses are named."""
+    given = rf"(?:licen[sc]ed|released|distributed|published|available|provided|offered|shared){BETWEEN}under{BETWEEN}(?:the{BETWEEN})?(?:terms{BETWEEN}of{BETWEEN}(?:the{BETWEEN})?)?"
+    number = r"(\d(?:\.\d)?)(?![\d.]?\d)"
+    for n in SHORT:
+        yield n, f"{n} licen", rf"\blicen[sc]e[sd]?[\"']?{MAYBE}[:=]{MAYBE}[\"'(\[]{{0,2}}{n}\b", 82, 0.9
+        yield n, f"{n} under", rf"\b{given}{n}\b", 88, 0.9
+        yield n, f"{n} licen", rf"\b{n}[\s-]{{1,3}}licen[sc]ed\b", 75, 0.85
+    for label, n in DUAL:
+        yield label, f"{n} dual licen", rf"\bdual(?:ly)?[\s-]{{1,3}}licen[sc]ed{BETWEEN}(?:under|as|with){BETWEEN}(?:[^.;]|\.(?=\d)){{1,80}}?\b{n}\b{VERSION}", 66, 0.85
+    for n in ("gpl", "lgpl", "agpl"):
+        yield n, n, rf"\b(?:gnu{BETWEEN})?{n}[\s-]{{0,2}}(?:version{BETWEEN}|ver\.?{MAYBE}|v\.?{MAYBE}){number}(?:\+|-or-later|-only)?", 72, 0.85
+        yield n, f"gnu {n}", rf"\bgnu{BETWEEN}{n}\b", 55, 0.75
+    for label, _, _, spdx, _ in FAMILIES:  # SPDX identifiers with a version, wherever they stand
+        if r"\d[.\d]*" in spdx and "|" not in spdx.replace("(?:-only|-or-later|\\+)?", ""):
+            head = spdx[: spdx.index(r"\d")]
+            yield label, head, rf"(?<![\w.-]){head}{number}(?:-only|-or-later|\+)?", 84, 0.9
+    for label, *_ in COMMONS:
+        yield label, "cc-by", rf"(?<![\w.-]){label}-{number}", 99, 0.95
+    yield "cc0", "cc0", rf"\bcc0[\s-]{{1,2}}{number}(?:{BETWEEN}universal\b)?", 85, 0.9
+    yield "epl", "eclipse", rf"\beclipse{BETWEEN}public{BETWEEN}licen[sc]e{MAYBE}-{MAYBE}v(?:ersion|\.)?{MAYBE}{number}", 70, 0.85
+    yield "unlicense", "unlicense", r"\bunlicense\b", 55, 0.7
+    yield "wtfpl", "wtfpl", r"\bwtfpl\b", 55, 0.75
+    yield "all-rights-reserved", "rights reserved", rf"\ball{BETWEEN}rights{BETWEEN}reserved\b", 30, 0.5
+
+
 @dataclass(frozen=True)
 class Rule:
     """A signature: every match of its regex over lower-cased text holds each word of keyword."""
 
     label: str
     keyword: str
-    pattern: re.Pattern
+    source: str
     priority: int
     confidence: float
 
+    @functools.cached_property
+    def pattern(self) -> re.Pattern:
+        """Compiled when a text first holds the rule's words."""
+        return re.compile(self.source)
+
 
 def rules() -> list[Rule]:
     """Every rule in order: by falling priority, then as in the tables."""
     out = []
 
     def add(label, keyword, pattern, priority, confidence):
-        out.append(Rule(label, keyword, re.compile(pattern), priority, confidence))
+        out.append(Rule(label, keyword, pattern, priority, confidence))
 
     for label, phrase, priority, confidence in BODIES:
         add(label, *signature(phrase), priority, confidence)
@@ -208,6 +244,8 @@ def rules() -> list[Rule]:
     for label, keyword, name, _, web in FAMILIES:
         gap = name.replace("[ -]", r"[\s-]").replace(" ", BETWEEN)
         for t, p, c in TEMPLATES:
+            if keyword == "apache" and t.startswith(r"\b(?:subject"):  # "under apache" alone is said of other things as well
+                t = t.replace("{name}", "{name}" + rf"(?=[\s,(]{{1,3}}(?:version |v\.? ?)?\d|{BETWEEN}licen)")
             add(label, keyword, t.replace(" ?", MAYBE).replace(" ", BETWEEN).replace("{name}", f"(?:{gap})").replace("{version}", VERSION), p, c)
         if "licen[sc]e" in name and not name.endswith(")?"):
             t, p, c = BARE
@@ -221,6 +259,8 @@ def rules() -> list[Rule]:
             add(label, keyword, rf"\b{name}\b{VERSION}", p + len(parts) * 2, 0.9)
             add(label, keyword, rf"\b(?:licen[sc]ed|released|distributed|published|available|provided){BETWEEN}under{BETWEEN}(?:an?{BETWEEN}|the{BETWEEN})?{name}\b{VERSION}", p + 10 + len(parts) * 2, 0.95)
         add(label, "creativecommons", rf"creativecommons\.org/licenses/{label[3:]}/(\d(?:\.\d)?)?", 95, 1.0)
+    for rule in short_forms():
+        add(*rule)
     return sorted(out, key=lambda r: -r.priority)
 
 
@@ -282,8 +322,8 @@ class Scanner:
             self.by_words.setdefault(tuple(r.keyword.split()), []).append((k, r))
         self.phrases = {tuple(p.split()): label for p, label in BASE.items()}
         # of each rule its longest word, by which most texts are passed over
-        self.anchors = sorted({max(k, key=len).encode() for k in self.by_words if k not in (("cc",), ("://",))} | {b"spdx"})
-        self.pattern = re.compile(rb"cc[^a-z0-9\x80-\xff]+by|cc[^a-z0-9]{1,6}by|gnu[^a-z0-9\x80-\xff]+general|licenses?/|://[^\s]{0,60}licen")
+        self.anchors = sorted({max(k, key=len).encode() for k in self.by_words if k not in (("cc",), ("://",)) and k[-1] != "under"} | {b"spdx"})
+        self.pattern = re.compile(rb"cc[^a-z0-9\x80-\xff]+by|cc[^a-z0-9]{1,6}by|gnu[^a-z0-9\x80-\xff]+general|licenses?/|://[^\s]{0,60}licen|\bunder[\s*#/;]{1,8}(?:the[\s*#/;]{1,8})?(?:terms[\s*#/;]{1,8}of[\s*#/;]{1,8}(?:the[\s*#/;]{1,8})?)?(?:" + "|".join(SHORT).encode() + rb")\b")
 
     def gate(self, low: bytes) -> bool:
         """Whether any rule or base phrase can match."""

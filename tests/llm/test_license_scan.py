@@ -30,6 +30,24 @@ def test_rules():
         assert s.gate(low.encode()) or not want
 
 
+def test_names_as_they_are_in_use():
+    """What licenses are called in manifests, headers and sentences, by hand; each with the labels that must be among those found."""
+    gated, every = L.Scanner(), L.Scanner(gated=False)
+    for text, want in [
+        ("licensed under MIT", {"mit"}), ("License: MIT", {"mit"}), ('"license": "MIT"', {"mit"}), ("license = 'MIT'", {"mit"}), ("MIT licensed", {"mit"}), ("Released under the MIT.", {"mit"}), ("License: Expat", {"expat"}), ("licenses: [ISC]", {"isc"}),
+        ("GPLv3", {"gpl-3"}), ("GPLv2+", {"gpl-2"}), ("GPL v3", {"gpl-3"}), ("AGPLv3", {"agpl-3"}), ("LGPL v2.1", {"lgpl-2.1"}), ("GNU LGPL", {"lgpl"}), ("GNU GPL version 3", {"gpl-3"}), ("the GNU\n * GPL", {"gpl"}),
+        ("dual licensed under MIT and Apache 2.0", {"mit", "apache-2.0"}), ("dual-licensed under Apache 2.0 or MIT", {"mit", "apache-2.0"}), ("CC0 1.0 Universal", {"cc0-1.0"}), ("Unlicense", {"unlicense"}), ("WTFPL", {"wtfpl"}), ("All rights reserved", {"all-rights-reserved"}),
+        ("LGPL-2.1-or-later", {"lgpl-2.1"}), ("License: Apache-2.0", {"apache-2.0"}), ('license = "GPL-3.0-or-later"', {"gpl-3.0"}), ("license: cc-by-4.0", {"cc-by-4.0"}), ("CC-BY-NC-SA-4.0", {"cc-by-nc-sa-4.0"}), ("Eclipse Public License - v 2.0", {"epl-2.0"}), ("MPL-2.0, EPL-1.0", {"mpl-2.0", "epl-1.0"}),
+    ]:
+        low = L.lower(text)
+        got = {x[2] for x in gated.detect(low)}
+        assert want <= got and gated.detect(low) == every.detect(low), (text, got)
+        assert gated.gate(low.encode()), text
+    for text in ("vim is an editor under apache rule", "the mit and the bsd", "komm mit uns", "I submit under protest", "deploy a replica, please", "an x11 window", "he was permitted under law", "expatriates license cars", "gplates", "a-gpl", "the isc under review", "misc licensed goods"):
+        low = L.lower(text)
+        assert gated.detect(low) == every.detect(low) == [], (text, gated.detect(low))
+
+
 def test_containment_and_priority():
     s = L.Scanner()
     found = s.detect("licensed under the gnu general public license, version 3")
