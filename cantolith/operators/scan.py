@@ -74,3 +74,14 @@ def scan(df: DataFrame, by: str, order: list[str], block: Column, **folds: Fold)
     local = own.withColumns({n: f.over(f"_v_{n}", f.frame(rows)) for n, f in folds.items()})
     out = local.join(left, [by, "_b"], "left").withColumns({n: f.joined(F.col(f"_c_{n}"), F.col(n)) for n, f in folds.items()})
     return out.select(*df.columns, *folds)
+
+
+def ahead(df: DataFrame, by: str, order: list[str], block: Column, reach: int, size: int = BLOCK) -> DataFrame:
+    """df in blocks (_blk) of size consecutive rows, each with the reach rows after it as well, which have _home false; _at numbers the rows.
+
+    A window by (by, _blk) in order of _at then sees reach rows after each row of its own block.
+    """
+    out = scan(df, by, order, block, _at=Fold("sum", F.lit(1).cast("bigint"), own=False)).withColumn("_at", F.coalesce("_at", F.lit(0).cast("bigint")))
+    own = places("_at", size)
+    first = F.greatest(F.lit(0).cast("bigint"), F.floor((F.col("_at") - reach) / size))
+    return out.withColumn("_blk", F.explode(F.sequence(first, own))).withColumn("_home", F.col("_blk") == own)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cantolith.functions import text as T
+from cantolith.operators.scan import BLOCK, Fold, places, scan
 
 
 def number(df: DataFrame, order: list[str], by: str = "doc_id", name: str = "n", total: str | None = None) -> DataFrame:
@@ -64,20 +65,22 @@ def context(df: DataFrame, order: str, value: str, reach: int = 1, name: str = "
     return df.withColumn(name, F.collect_list(value).over(frame))
 
 
-def line_changes(words: DataFrame, line: str = "line") -> DataFrame:
+def line_changes(words: DataFrame, line: str = "line", block: int = BLOCK) -> DataFrame:
     """words with is_first, is_last of their line, and silence before the word, where its start is after the last timed end."""
-    order = Window.partitionBy("doc_id").orderBy("word_idx")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    differs = lambda other: other.isNull() | (other != F.col(line))
-    gap = F.col("start_s") - F.last("end_s", True).over(before)
-    return words.withColumns({"is_first": differs(F.lag(line).over(order)), "is_last": differs(F.lead(line).over(order)), "silence": F.when(gap > 0, gap)})
+    of = F.struct(F.col(line).alias("l"))  # a null line is one as well
+    out = scan(words, "doc_id", ["word_idx"], places("word_idx", block), _p=Fold("last", of, own=False), _n=Fold("last", of, back=True, own=False), _e=Fold("last", F.col("end_s"), own=False))
+    differs = lambda other: F.col(other).isNull() | F.col(f"{other}.l").isNull() | (F.col(f"{other}.l") != F.col(line))
+    gap = F.col("start_s") - F.col("_e")
+    return out.withColumns({"is_first": differs("_p"), "is_last": differs("_n"), "silence": F.when(gap > 0, gap)}).drop("_p", "_n", "_e")
 
 
 def words_to_lines(lines: DataFrame, items: str, limit: DataFrame | None = None) -> DataFrame:
-    """(doc_id, word_idx, line_idx, word) of the words of a list of lines, cut at limit(doc_id, n) words."""
-    each = lines.select("doc_id", F.posexplode(items).alias("line_idx", "_l")).select("doc_id", "line_idx", F.posexplode(T.tokens(F.col("_l"))).alias("_p", "word"))
-    order = Window.partitionBy("doc_id").orderBy("line_idx", "_p")
-    out = each.select("doc_id", (F.row_number().over(order) - 1).cast("bigint").alias("word_idx"), F.col("line_idx").cast("bigint").alias("line_idx"), "word")
+    """(doc_id, word_idx, line_idx, word) of the words of a list of lines, cut at limit(doc_id, n) words.
+
+    A list stands in one row, so its words are numbered there and nothing is shuffled.
+    """
+    each = F.flatten(F.transform(items, lambda x, i: F.transform(T.tokens(x), lambda w: F.struct(i.cast("bigint").alias("line_idx"), w.alias("word")))))
+    out = lines.select("doc_id", F.posexplode(each).alias("word_idx", "_w")).select("doc_id", F.col("word_idx").cast("bigint").alias("word_idx"), "_w.line_idx", "_w.word")
     return out.join(limit, "doc_id").where("word_idx < n").drop("n") if limit is not None else out
 
 

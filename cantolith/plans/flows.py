@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cantolith.functions import fitting
 from cantolith.functions import text as T
-from cantolith.operators import alignment, attempts, bands, matching, requests
+from cantolith.operators import alignment, attempts, bands, matching, quality, requests
 from cantolith.plans.more import alignment_sql
 from cantolith.plans.registry import SECONDS, query
 from cantolith.session import scratch, table
@@ -188,3 +188,15 @@ def clamped_idle(spark: SparkSession, d: str) -> DataFrame:
     at = (F.row_number().over(Window.partitionBy("doc_id").orderBy("ts", "event_id")) - 1).cast("bigint")
     words = e.select("doc_id", at.alias("word_idx"), "ts", F.when(timed, start).alias("start_s"), F.when(timed, start + F.floor("value") * 60).alias("end_s"))
     return clamp.clamped(words, timedelta(hours=6))
+
+
+@query("""WITH w AS (SELECT l_returnflag AS doc_id, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber) - 1 AS word_idx, CAST(l_orderkey // 400 % 3 <> 1 AS INTEGER) AS timed FROM lineitem),
+m AS (SELECT *, sum(timed) OVER f AS n, count(*) OVER f AS c, sum(timed) OVER (PARTITION BY doc_id) AS t, count(*) OVER (PARTITION BY doc_id) AS nn FROM w WINDOW f AS (PARTITION BY doc_id ORDER BY word_idx ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+low AS (SELECT *, word_idx - row_number() OVER (PARTITION BY doc_id ORDER BY word_idx) AS run FROM m WHERE c = 20 AND n * nn * 1000 < 20 * (t * 1000 - 200 * nn))
+SELECT doc_id, min(word_idx) AS "start", max(word_idx) + 1 AS "end" FROM low GROUP BY doc_id, run HAVING max(word_idx) + 1 - min(word_idx) >= 500""")
+def low_alignment_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Runs of at least 500 windows of 20 words that are badly timed, over three long documents: the lines of each return flag."""
+    at = (F.row_number().over(Window.partitionBy("doc_id").orderBy("l_orderkey", "l_linenumber")) - 1).cast("bigint")
+    start = F.when(F.floor(F.col("l_orderkey") / 400) % 3 != 1, F.lit(0.0))
+    words = table(spark, d, "lineitem").withColumnRenamed("l_returnflag", "doc_id").select("doc_id", at.alias("word_idx"), start.alias("start_s"), start.alias("end_s"))
+    return quality.low_runs(words)

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from cantolith.operators import timeline
+from cantolith.operators import sequences, timeline
 from cantolith.operators.scan import Fold, places, scan
 from pyspark.sql import functions as F
 
@@ -52,6 +52,8 @@ def test_repairs_do_not_depend_on_blocks(spark):
     for f in (timeline.monotonic_frames, timeline.fill_between):
         key = lambda x: (x[0], x[1])
         assert sorted(map(tuple, f(frames, block=3).collect()), key=key) == sorted(map(tuple, f(frames).collect()), key=key)
+    lined = df.withColumn("line", F.floor(F.col("word_idx") / 7))
+    assert sorted(map(str, sequences.line_changes(lined, block=3).collect())) == sorted(map(str, sequences.line_changes(lined).collect()))
     segs = df.select("doc_id", F.col("word_idx").alias("seg_id"), F.lit(2).cast("long").alias("duration"))
     assert all(x.start_s == 2 * x.seg_id for x in timeline.starts(segs, block=3).collect())
 

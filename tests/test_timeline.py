@@ -116,6 +116,8 @@ def test_low_runs(spark):
             k = e
         k += 1
     assert sorted(tuple(r) for r in quality.low_runs(spark.createDataFrame(rows, WORDS), width, margin, least).collect()) == runs and runs
+    for block in (1, 3, 8):  # also where a window is longer than a block
+        assert sorted(tuple(r) for r in quality.low_runs(spark.createDataFrame(rows, WORDS), width, margin, least, block).collect()) == runs
 
 
 def plain_align(heard, words, markers, least):
