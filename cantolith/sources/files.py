@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 import time
 import uuid
@@ -85,8 +86,20 @@ class _FileWriter(DataSourceArrowWriter):
             pass
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        """Removes the folder; tasks that are being killed may still write for a moment, so it must stay away."""
         own, at = store(self.path)
-        own.delete_dir(at)
+        gone = 0
+        for _ in range(100):
+            if own.get_file_info(at).type == fs.FileType.NotFound:
+                gone += 1
+                if gone == 3:
+                    return
+            else:
+                gone = 0
+                with contextlib.suppress(OSError):
+                    own.delete_dir(at)
+            time.sleep(0.1)
+        raise OSError(f"{self.path} could not be removed")
 
 
 @dataclass
