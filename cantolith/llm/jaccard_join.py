@@ -12,8 +12,8 @@ SHARE of hashes come first, by their counts over all documents, the others after
 document writes the former and of the latter only what its shortest prefix needs. Shingles counted
 once match nothing and are never joined; they only take up places in the prefix.
 
-Equal sets are one class first. Documents that share a prefix shingle, directly or through others,
-are a family; its members meet in tasks of bounded size (a large family in blocks of which any two
+Equal sets are one class first. Documents that share a shingle of their shortest prefixes (l = 1), directly
+or through others, are a family; its members meet in tasks of bounded size (a large family in blocks of which any two
 that can hold a link meet), where shared prefix shingles are counted, pairs that reach their l are
 verified on the whole sets, and a spanning forest of the links is written: no list of pairs.
 """
@@ -131,7 +131,7 @@ def _wholes(shingle: int):
 
 
 def prefixes(postings: DataFrame, percent: int, share: float) -> DataFrame:
-    """(class, n, need, prefix): each class's shared shingles of the prefix that costs least, and how many a pair must share.
+    """(class, n, need, prefix, short): each class's shared shingles of the prefix that costs least, how many a pair must share, and how many are of the shortest prefix.
 
     postings(hash, class, n, low, df): those counted more than once. Costs are sums of counts.
     """
@@ -149,7 +149,8 @@ def prefixes(postings: DataFrame, percent: int, share: float) -> DataFrame:
     df = df.withColumn("need", best["need"])
     # a prefix that goes past the counted shingles holds all that the text wrote
     prefix = F.when(F.col("low") < F.col("_spare") + 1, F.col("all")).otherwise(F.slice("_counted", 1, count(F.col("need"))))
-    return df.select("class", "n", "need", F.transform(prefix, lambda x: x["hash"]).alias("prefix")).where(F.size("prefix") > 0)
+    short = F.when(F.col("low") < F.col("_spare") + 1, F.size("all")).otherwise(count(F.lit(1)))
+    return df.select("class", "n", "need", F.transform(prefix, lambda x: x["hash"]).alias("prefix"), short.alias("short")).where("short > 0")
 
 
 def links_among(sides: np.ndarray, needs: np.ndarray, prefix: tuple[np.ndarray, np.ndarray], whole: tuple[np.ndarray, np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -243,9 +244,9 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     held = digest_filter(repeated, "hash")
     postings = in_batches(texts, _postings(shingle, percent, share, held, True), "hash long, class long, n long, low long")
     own = durable(prefixes(postings.join(repeated, "hash"), percent, share))
-    keys = own.select(F.col("class").alias("rep"), F.explode("prefix").alias("key"))
-    met = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    found = durable(components(stars(durable(keys.join(met, "key", "left_semi")))))
+    # sets that link share one shingle of the shortest prefixes at least, so these are enough for families
+    keys = own.select(F.col("class").alias("rep"), F.explode(F.slice("prefix", F.lit(1), F.col("short"))).alias("key"))
+    found = durable(components(stars(keys)))
 
     dealt = durable(tasks(found, own.select(F.col("class").alias("rep"), "n"), min(percent, 99), block, most)).withColumnRenamed("id", "class")
     # a class has the text of its smallest id
