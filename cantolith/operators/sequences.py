@@ -77,11 +77,14 @@ def line_changes(words: DataFrame, line: str = "line", block: int = BLOCK) -> Da
 def words_to_lines(lines: DataFrame, items: str, limit: DataFrame | None = None) -> DataFrame:
     """(doc_id, word_idx, line_idx, word) of the words of a list of lines, cut at limit(doc_id, n) words.
 
-    A list stands in one row, so its words are numbered there and nothing is shuffled.
+    A list stands in one row, so its words are numbered there and no word is shuffled; limits meet the lists.
     """
     each = F.flatten(F.transform(items, lambda x, i: F.transform(T.tokens(x), lambda w: F.struct(i.cast("bigint").alias("line_idx"), w.alias("word")))))
-    out = lines.select("doc_id", F.posexplode(each).alias("word_idx", "_w")).select("doc_id", F.col("word_idx").cast("bigint").alias("word_idx"), "_w.line_idx", "_w.word")
-    return out.join(limit, "doc_id").where("word_idx < n").drop("n") if limit is not None else out
+    if limit is not None:
+        lines = lines.join(limit.select("doc_id", F.col("n").alias("_n")), "doc_id")
+        each = F.slice(each, F.lit(1), F.greatest(F.lit(0), F.least(F.col("_n"), F.lit((1 << 31) - 1))).cast("int"))
+    out = lines.select("doc_id", F.posexplode(each).alias("word_idx", "_w"))
+    return out.select("doc_id", F.col("word_idx").cast("bigint").alias("word_idx"), "_w.line_idx", "_w.word")
 
 
 def phrase_places(words: Column, phrase: Column) -> Column:
