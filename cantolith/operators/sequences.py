@@ -82,7 +82,8 @@ def words_to_lines(lines: DataFrame, items: str, limit: DataFrame | None = None)
     each = F.flatten(F.transform(items, lambda x, i: F.transform(T.tokens(x), lambda w: F.struct(i.cast("bigint").alias("line_idx"), w.alias("word")))))
     if limit is not None:
         lines = lines.join(limit.select("doc_id", F.col("n").alias("_n")), "doc_id")
-        each = F.slice(each, F.lit(1), F.greatest(F.lit(0), F.least(F.col("_n"), F.lit((1 << 31) - 1))).cast("int"))
+        n = F.greatest(F.lit(0), F.least(F.col("_n"), F.lit((1 << 31) - 1))).cast("int")
+        each = F.when(F.col("_n").isNotNull(), F.slice(each, F.lit(1), n))  # a null limit leaves no word
     out = lines.select("doc_id", F.posexplode(each).alias("word_idx", "_w"))
     return out.select("doc_id", F.col("word_idx").cast("bigint").alias("word_idx"), "_w.line_idx", "_w.word")
 

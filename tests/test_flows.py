@@ -6,7 +6,7 @@ import random
 import pytest
 from cantolith.functions import fitting
 from cantolith.functions.text import similarity
-from cantolith.operators import alignment, attempts, bands, matching, requests
+from cantolith.operators import alignment, attempts, bands, matching, requests, sequences
 from cantolith.sources import files, readers
 from pyspark.sql import functions as F
 
@@ -235,3 +235,11 @@ def test_long_alignment_in_bounded_memory():
         tracemalloc.stop()
         alignment.CELLS = held
     assert out[100] == (100.0, 101.0) and sum(x[0] is not None for x in out) > 5000
+
+
+def test_words_of_lines(spark):
+    df = spark.createDataFrame([(1, ["a b", "", "c  d e"]), (2, ["x"]), (3, []), (4, None)], "doc_id long, lines array<string>")
+    rows = lambda *how: sorted(tuple(r) for r in sequences.words_to_lines(df, "lines", *how).collect())
+    assert rows() == [(1, 0, 0, "a"), (1, 1, 0, "b"), (1, 2, 2, "c"), (1, 3, 2, "d"), (1, 4, 2, "e"), (2, 0, 0, "x")]
+    limit = spark.createDataFrame([(1, 3), (2, 0), (2, -1), (3, 5), (2, None)], "doc_id long, n long")
+    assert rows(limit) == [(1, 0, 0, "a"), (1, 1, 0, "b"), (1, 2, 2, "c")]
