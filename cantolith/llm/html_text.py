@@ -258,7 +258,7 @@ class Page:
         best, told = 0, self.weights(prose=True)
         told = told if told[0] else n
         for k in range(1, len(n)):
-            if self.parent[k] == best and not self.dropped[k] and told[k] == told[best] > 0:
+            if self.parent[k] == best and not self.dropped[k] and self.tag[k] not in PROSE and told[k] == told[best] > 0:
                 best = k
         return {best}
 
