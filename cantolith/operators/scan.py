@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 #: Places of the order that are a block.
 BLOCK = 1 << 14
 
-_SEEN, _AHEAD = Window.unboundedPreceding, Window.unboundedFollowing
+_SEEN = Window.unboundedPreceding
 
 
 @dataclass
@@ -33,14 +33,10 @@ class Fold:
     back: bool = False
     own: bool = True
 
-    def frame(self, w):
-        return w.rowsBetween(0 if self.own else 1, _AHEAD) if self.back else w.rowsBetween(_SEEN, 0 if self.own else -1)
-
-    def before(self, w):
-        return w.rowsBetween(1, _AHEAD) if self.back else w.rowsBetween(_SEEN, -1)
-
-    def over(self, value: str, frame) -> Column:
-        return {"sum": F.sum, "max": F.max, "last": lambda x: (F.first if self.back else F.last)(x, True)}[self.kind](value).over(frame)
+    def over(self, value: str, by: list[str], order: list[str], own: bool) -> Column:
+        """The fold up to a row; one from the end goes through the rows in reverse, as a frame without an end is computed anew for each row."""
+        w = Window.partitionBy(*by).orderBy(*(F.desc(c) if self.back else F.asc(c) for c in order)).rowsBetween(_SEEN, 0 if own else -1)
+        return {"sum": F.sum, "max": F.max, "last": lambda x: F.last(x, True)}[self.kind](value).over(w)
 
     def state(self, value: str, order: Column) -> Column:
         """The fold of all rows of a group."""
@@ -67,11 +63,10 @@ def scan(df: DataFrame, by: str, order: list[str], block: Column, **folds: Fold)
     key are folded by block alone; columns starting with _ are the scan's own.
     """
     own = df.withColumn("_b", block).withColumns({f"_v_{n}": f.value for n, f in folds.items()})
-    rows, at = Window.partitionBy(by, "_b").orderBy(*order), F.struct(*order)
+    at = F.struct(*order) if len(order) > 1 else F.col(order[0])
     states = own.where(F.col(by).isNotNull()).groupBy(by, "_b").agg(*(f.state(f"_v_{n}", at).alias(f"_v_{n}") for n, f in folds.items()))
-    blocks = Window.partitionBy(by).orderBy("_b")
-    left = states.select(by, "_b", *(f.over(f"_v_{n}", f.before(blocks)).alias(f"_c_{n}") for n, f in folds.items()))
-    local = own.withColumns({n: f.over(f"_v_{n}", f.frame(rows)) for n, f in folds.items()})
+    left = states.select(by, "_b", *(f.over(f"_v_{n}", [by], ["_b"], False).alias(f"_c_{n}") for n, f in folds.items()))
+    local = own.withColumns({n: f.over(f"_v_{n}", [by, "_b"], order, f.own) for n, f in folds.items()})
     out = local.join(left, [by, "_b"], "left").withColumns({n: f.joined(F.col(f"_c_{n}"), F.col(n)) for n, f in folds.items()})
     return out.select(*df.columns, *folds)
 

@@ -99,6 +99,46 @@ def active(ticks: DataFrame, words: DataFrame, tolerance: float, bucket: float,
     return y.join(x, ["doc_id", "tick"], "left").select("doc_id", "tick", "t_s", at.alias("word_idx"))
 
 
+def active_runs(totals: DataFrame, words: DataFrame, step: float, tolerance: float, block: int = BLOCK) -> DataFrame:
+    """(doc_id, tick, until, word_idx): active() over grid(totals, step), as runs [tick, until) of ticks with one value.
+
+    Only ticks at which something changes are shuffled and scanned: those inside a word, the first one at or after
+    an end, and 0. Repairs of frames hold for runs as well; ticks() gives the grid at last.
+    """
+    step = float(step)
+    from_ = lambda x, k: F.when((k - 1) * step >= x, k - 1).when(k * step < x, k + 1).otherwise(k)  # noqa: E731  quotients are rounded
+    first = lambda x: from_(x, F.ceil(x / step).cast("bigint"))
+    over = lambda e, k: F.when((k - 1) * step - e > tolerance, k - 1).when(k * step - e <= tolerance, k + 1).otherwise(k)
+    no, at = F.lit(None).cast("bigint"), F.struct(F.col("end_s").alias("e"), (-F.col("word_idx")).alias("i"))
+    mark = lambda tick, inside, end: F.struct(tick.alias("tick"), inside.alias("_in"), end.alias("_w"))
+    low, high = F.greatest(F.lit(0).cast("bigint"), first(F.col("start_s"))), first(F.col("end_s"))
+    high = F.when(high * step > F.col("end_s"), high - 1).otherwise(high)
+    none = F.array().cast("array<bigint>")
+    inside = F.when((F.col("start_s") <= F.col("end_s")) & (low <= high), F.sequence(low, high)).otherwise(none)
+    ended = F.when(F.col("end_s").isNotNull(), F.array(F.greatest(F.lit(0).cast("bigint"), first(F.col("end_s"))))).otherwise(none)
+    empty = F.when(F.lit(False), at)
+    both = F.concat(F.transform(inside, lambda k: mark(k, F.col("word_idx").cast("bigint"), empty)), F.transform(ended, lambda k: mark(k, no, at)))
+    marks = words.select("doc_id", F.explode(both).alias("x")).select("doc_id", "x.*")
+    ends = totals.where(F.col("total_s") > 0).select("doc_id", F.ceil(F.col("total_s") / step).cast("bigint").alias("_n"))
+    marks = marks.unionByName(ends.select("doc_id", F.lit(0).cast("bigint").alias("tick"), no.alias("_in"), F.lit(None).cast(marks.schema["_w"].dataType).alias("_w")))
+    marks = marks.groupBy("doc_id", "tick").agg(F.min("_in").alias("_in"), F.max("_w").alias("_w"))
+    marks = scan(marks, "doc_id", ["tick"], places("tick", block), _before=Fold("last", F.col("_w")), _next=Fold("last", F.col("tick"), back=True, own=False))
+    marks = marks.join(ends, "doc_id").where("tick < _n").withColumn("until", F.least("_next", "_n"))
+    e = F.col("_before.e")
+    far = F.greatest("tick", F.least("until", F.coalesce(over(e, F.floor((e + tolerance) / step).cast("bigint") + 1), F.col("tick"))))
+    rest = F.when(F.col("_in").isNotNull(), F.col("tick") + 1).otherwise(F.col("tick"))
+    run = lambda low, high, value: F.struct(low.alias("tick"), high.alias("until"), value.alias("word_idx"))
+    marks = marks.select("doc_id", "tick", "until", "_in", rest.alias("_rest"), far.alias("_far"), (-F.col("_before.i")).alias("_i"))
+    three = F.array(run(F.col("tick"), F.col("_rest"), F.col("_in")), run(F.col("_rest"), F.col("_far"), F.col("_i")), run(F.greatest("_far", "_rest"), F.col("until"), no))
+    return marks.select("doc_id", F.explode(three).alias("x")).select("doc_id", "x.*").where("tick < until")
+
+
+def ticks(runs: DataFrame, step: float) -> DataFrame:
+    """(doc_id, tick, t_s, word_idx): every tick of runs(doc_id, tick, until, word_idx)."""
+    each = runs.select("doc_id", F.explode(F.sequence("tick", F.col("until") - 1)).alias("tick"), "word_idx")
+    return each.select("doc_id", "tick", (F.col("tick") * F.lit(float(step))).alias("t_s"), "word_idx")
+
+
 def monotonic_frames(frames: DataFrame, order: DataFrame | None = None, at: str = "word_idx", block: int = BLOCK) -> DataFrame:
     """Of a document's ticks, one that goes back in the order takes the last valid one; nulls stay.
 

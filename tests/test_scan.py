@@ -69,3 +69,10 @@ def test_a_hot_document_is_dealt_over_tasks(spark):
             assert sizes[-1] <= 2 * sizes[len(sizes) // 2], sizes
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_no_frame_is_computed_anew_for_each_row(spark):
+    """A frame without an end is; folds from the end go through the rows in reverse."""
+    df = spark.createDataFrame([(1, 1, 1)], "doc_id long, at long, v long")
+    plan = scan(df, "doc_id", ["at"], places("at"), n=Fold("last", F.col("v"), back=True), m=Fold("sum", F.col("v"), back=True, own=False))._jdf.queryExecution().toString()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan

@@ -81,6 +81,20 @@ def test_active(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("block", [3, 1 << 14])
+@pytest.mark.parametrize("step", [0.7, 2.5])
+def test_active_runs_equal_active(spark, block, step):
+    """The grid's words as runs, with ends between and on ticks, before 0 and long gone."""
+    rows = [(d, k, w, None if a is None else a - 5, None if b is None else b - 5) for d, k, w, a, b in words(3)]
+    df = spark.createDataFrame(rows, WORDS)
+    totals = spark.createDataFrame([(d, 100.0 if d % 3 else float(d)) for d in range(25)], "doc_id long, total_s double")
+    runs = timeline.active_runs(totals, df, step, 4.0, block)
+    want = timeline.active(timeline.grid(totals, step), df, 4.0, 7.0)
+    assert sorted(map(tuple, timeline.ticks(runs, step).collect()), key=str) == sorted(map(tuple, want.collect()), key=str) and want.count() > 500
+    repaired = lambda x: timeline.fill_between(timeline.monotonic_frames(x, block=block), block=block)
+    assert sorted(map(tuple, timeline.ticks(repaired(runs), step).collect()), key=str) == sorted(map(tuple, repaired(want).collect()), key=str)
+
+
 def test_frames(spark):
     frames = lambda x: spark.createDataFrame([(1, k, v) for k, v in enumerate(x)], "doc_id long, tick long, word_idx long")
     out = lambda df: [r.word_idx for r in df.orderBy("tick").collect()]
