@@ -43,3 +43,11 @@ def test_scans_shuffle_rows_once_and_never_by_document_alone(spark, name):
     alone = [x for x in by if x.count("#") == 1]
     assert by and all("_b" in x for x in by if x not in alone), by
     assert len(alone) <= 1, (alone, name)  # the states of blocks
+
+
+def test_hours_are_made_after_the_last_shuffle(spark):
+    """Runs of equal hours are repaired, not hours: no exchange stands over the sequence of them."""
+    for name in ("time_grid_active", "timeline_monotonic", "active_timeline"):
+        plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        at = next(k for k, x in enumerate(plan.splitlines()) if "Generate explode(sequence(" in x)
+        assert not any("Exchange" in x for x in plan.splitlines()[:at]), name
