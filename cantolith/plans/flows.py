@@ -35,16 +35,17 @@ _NEAR = """p AS (SELECT *, row_number() OVER (ORDER BY similarity DESC, gap, "le
   FROM customer, supplier WHERE abs(c_acctbal - s_acctbal) < 20))"""
 
 
-def _near(spark: SparkSession, d: str) -> DataFrame:
+def _sides(spark: SparkSession, d: str) -> tuple:
+    """Both tables by name and balance, and how near they must be."""
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("left"), F.col("c_name").alias("a"), F.col("c_acctbal").alias("at"))
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("right"), F.col("s_name").alias("b"), F.col("s_acctbal").alias("at"))
-    return bands.ranked(bands.near(c, s, "at", 20.0), "a", "b")
+    return c, s, "at", 20.0, "a", "b"
 
 
 @query(f'WITH {_NEAR} SELECT "left", "right", similarity, round(gap, 6) AS gap FROM p QUALIFY row_number() OVER (PARTITION BY "left" ORDER BY k) = 1')
 def band_best(spark: SparkSession, d: str) -> DataFrame:
     """Of each customer the supplier of the likest name among those whose balance is less than 20 off."""
-    return bands.best(_near(spark, d), "left").withColumn("gap", F.round("gap", 6))
+    return bands.best_near(*_sides(spark, d)).withColumn("gap", F.round("gap", 6))
 
 
 @query(f"""WITH RECURSIVE {_NEAR},
@@ -54,7 +55,7 @@ g(k, a, b, took) AS (SELECT 0::BIGINT, []::BIGINT[], []::BIGINT[], false UNION A
 SELECT "left", "right", similarity, round(gap, 6) AS gap FROM g JOIN p USING (k) WHERE took""")
 def band_one_to_one(spark: SparkSession, d: str) -> DataFrame:
     """The same, no supplier twice: the first pair of all, then the first of those left, and so on."""
-    return bands.one_to_one(_near(spark, d)).withColumn("gap", F.round("gap", 6))
+    return bands.one_to_one_near(*_sides(spark, d)).withColumn("gap", F.round("gap", 6))
 
 
 @query("""SELECT p_partkey // 50 AS page, p_partkey % 50 AS pos, CASE WHEN p_partkey % 3 = 1 THEN 't' ELSE 'i' END || p_partkey AS id FROM part WHERE p_partkey % 7 <> 5""")

@@ -105,6 +105,31 @@ def test_bands_equal_all_pairs(spark):
     assert bands.one_to_one(pairs.limit(0)).count() == 0
 
 
+def test_kinds_equal_all_pairs(spark):
+    """Copies of few names and values, so that kinds are large and tie, against the joins of rows."""
+    r = random.Random(8)
+    a = [(k, r.choice([None, "ab", "abc", "b"]), r.choice([None, *[float(x) / 2 for x in range(-6, 6)]])) for k in range(300)]
+    b = [(k, r.choice(["ab", "bc", "c"]), float(r.randrange(-6, 6)) / 2) for k in range(120)]
+    left, right = spark.createDataFrame(a, "left long, a string, at double"), spark.createDataFrame(b, "right long, b string, at double")
+    pairs = bands.ranked(bands.near(left, right, "at", 1.2), "a", "b").cache()
+    assert sorted(map(tuple, bands.best_near(left, right, "at", 1.2, "a", "b").collect())) == sorted(map(tuple, bands.best(pairs, "left").collect()))
+    left = left.where("a is not null")
+    taken, used = [], (set(), set())
+    for x in sorted((-p.similarity, p.gap, p.left, p.right) for p in pairs.where("similarity is not null").collect()):
+        if x[2] not in used[0] and x[3] not in used[1]:
+            taken.append((x[2], x[3], -x[0], x[1]))
+            used[0].add(x[2])
+            used[1].add(x[3])
+    assert sorted(map(tuple, bands.one_to_one_near(left, right, "at", 1.2, "a", "b").collect())) == sorted(taken) and len(taken) > 100
+
+
+def test_rounds_do_not_grow_with_copies(spark):
+    """Rows of one name and value are paired in one round, and compared once."""
+    left, right = (spark.range(500).select(F.col("id").alias(x), F.lit("n").alias(n), F.lit(1.0).alias("at")) for x, n in (("left", "a"), ("right", "b")))
+    got = bands.one_to_one_near(left, right, "at", 1.0, "a", "b", 1).collect()
+    assert sorted((r.left, r.right) for r in got) == [(k, k) for k in range(500)]
+
+
 def test_outcomes_equal_the_loop(spark):
     r = random.Random(5)
     rows = [(k, a, r.choice(["valid", "invalid", "invalid", "error"])) for k in range(300) for a in range(1, r.randrange(2, 9))]
