@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cantolith.functions import fitting
 from cantolith.functions import text as T
 from cantolith.operators import alignment, attempts, bands, matching, quality, requests
+from cantolith.operators.scan import Fold, places, scan
 from cantolith.plans.more import alignment_sql
 from cantolith.plans.registry import SECONDS, query
 from cantolith.session import scratch, table
@@ -197,7 +198,8 @@ low AS (SELECT *, word_idx - row_number() OVER (PARTITION BY doc_id ORDER BY wor
 SELECT doc_id, min(word_idx) AS "start", max(word_idx) + 1 AS "end" FROM low GROUP BY doc_id, run HAVING max(word_idx) + 1 - min(word_idx) >= 500""")
 def low_alignment_runs(spark: SparkSession, d: str) -> DataFrame:
     """Runs of at least 500 windows of 20 words that are badly timed, over three long documents: the lines of each return flag."""
-    at = (F.row_number().over(Window.partitionBy("doc_id").orderBy("l_orderkey", "l_linenumber")) - 1).cast("bigint")
     start = F.when(F.floor(F.col("l_orderkey") / 400) % 3 != 1, F.lit(0.0))
-    words = table(spark, d, "lineitem").withColumnRenamed("l_returnflag", "doc_id").select("doc_id", at.alias("word_idx"), start.alias("start_s"), start.alias("end_s"))
-    return quality.low_runs(words)
+    own = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("doc_id"), "l_orderkey", "l_linenumber", start.alias("start_s"))
+    # numbered by blocks of orders, as a document is a third of the table
+    own = scan(own, "doc_id", ["l_orderkey", "l_linenumber"], places("l_orderkey"), word_idx=Fold("sum", F.lit(1).cast("bigint"), own=False))
+    return quality.low_runs(own.select("doc_id", F.coalesce("word_idx", F.lit(0).cast("bigint")).alias("word_idx"), "start_s", F.col("start_s").alias("end_s")))
