@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cantolith.session import cut
 
 VALID, INVALID, ERROR = "valid", "invalid", "error"
+#: Attempts that a task sorts.
+ROWS = 1 << 20
 
 
 def outcome(attempts: DataFrame, most: int, item: str = "item") -> DataFrame:
@@ -17,19 +19,21 @@ def outcome(attempts: DataFrame, most: int, item: str = "item") -> DataFrame:
 
     The first valid attempt ends an item, unless most invalid ones stand before it: then it is
     `exhausted`. An error doesn't count. An item with neither is `open`. attempt is the one that ended
-    the item, n_invalid how many invalid ones there were until then.
+    the item, n_invalid how many invalid ones there were until then. Attempts are counted as they pass in
+    order; those of an item are never gathered.
     """
-    rank = F.array_sort(F.collect_list(F.struct("attempt", "kind")))
-    own = attempts.where(F.col("kind") != ERROR).groupBy(item).agg(rank.alias("_a"))
-    bad = F.filter("_a", lambda x: x["kind"] == INVALID)
-    first = F.get(F.filter("_a", lambda x: x["kind"] == VALID), F.lit(0))["attempt"]
-    last = F.get(bad, F.lit(most - 1))["attempt"]
-    df = attempts.select(item).distinct().join(own, item, "left").withColumns({"_valid": first, "_last": last})
+    seen = Window.partitionBy(item).orderBy("attempt").rangeBetween(Window.unboundedPreceding, 0)
+    number = F.when(F.col("kind") == INVALID, 1).when(F.col("kind") == VALID, 2).otherwise(0).cast("tinyint")
+    own = attempts.select(item, "attempt", number.alias("_k"))
+    # parts by rows: such rows compress well, so parts merged by bytes would hold very many
+    own = own.repartition(own.count() // ROWS + 1, item).withColumn("_n", F.count_if(F.col("_k") == 1).over(seen))
+    valid, over = F.col("_k") == 2, F.col("_n") >= most
+    at = lambda c, x: F.min(F.when(c, F.col(x)))
+    df = own.groupBy(item).agg(at(valid, "attempt").alias("_valid"), at(over, "attempt").alias("_last"), at(valid, "_n").alias("_n_valid"), at(over, "_n").alias("_n_last"), F.max("_n").alias("_n"))
     won = F.col("_valid").isNotNull() & (F.col("_last").isNull() | (F.col("_valid") < F.col("_last")))
     end = F.when(won, F.col("_valid")).otherwise(F.col("_last"))
     kind = F.when(won, VALID).when(F.col("_last").isNotNull(), "exhausted").otherwise("open")
-    n = F.size(F.filter(F.coalesce("_a", F.array().cast("array<struct<attempt:int,kind:string>>")), lambda x: (x["kind"] == INVALID) & (F.isnull("_end") | (x["attempt"] <= F.col("_end")))))
-    return df.withColumn("_end", end).select(item, kind.alias("outcome"), F.col("_end").alias("attempt"), n.cast("bigint").alias("n_invalid"))
+    return df.select(item, kind.alias("outcome"), end.alias("attempt"), F.coalesce(F.when(won, F.col("_n_valid")), "_n_last", "_n").alias("n_invalid"))
 
 
 def until_valid(items: DataFrame, send: Callable[[DataFrame], DataFrame], valid: Column, most: int, rounds: int = 100) -> DataFrame:
