@@ -94,7 +94,7 @@ def phrase_places(words: Column, phrase: Column) -> Column:
     def places(x):
         low, p = x["low"], x["p"]
         last = F.size(low) - F.size(p)
-        return F.when((last >= 0) & (F.size(p) > 0), F.filter(F.sequence(F.lit(0), last), lambda i: F.slice(low, i + 1, F.size(p)) == p)).otherwise(F.array().cast("array<int>"))
+        return F.when((last >= 0) & (F.size(p) > 0), F.filter(F.sequence(F.lit(0), last), lambda i: (F.get(low, i) == F.get(p, F.lit(0))) & (F.slice(low, i + 1, F.size(p)) == p))).otherwise(F.array().cast("array<int>"))
 
     # a lambda's variable is computed once; the lists themselves would be made anew for every index
     return F.flatten(F.transform(F.array(F.struct(F.transform(words, F.lower).alias("low"), T.tokens(F.lower(phrase)).alias("p"))), places))
@@ -102,14 +102,25 @@ def phrase_places(words: Column, phrase: Column) -> Column:
 
 def only_place(words: Column, phrase: Column) -> Column:
     """The one place of a phrase; an error where it is not found, or more than once."""
-    at = phrase_places(words, phrase)
-    wrong = F.when(F.size(at) == 0, F.concat(F.lit("no place has the words: "), phrase)).otherwise(F.concat(F.lit("several places have the words: "), phrase, F.lit(", at "), F.array_join(at.cast("array<string>"), ", ")))
-    return F.when(F.size(at) == 1, F.get(at, F.lit(0))).otherwise(F.raise_error(wrong).cast("int"))
 
+    def only(at):
+        wrong = F.when(F.size(at) == 0, F.concat(F.lit("no place has the words: "), phrase)).otherwise(F.concat(F.lit("several places have the words: "), phrase, F.lit(", at "), F.array_join(at.cast("array<string>"), ", ")))
+        return F.when(F.size(at) == 1, F.get(at, F.lit(0))).otherwise(F.raise_error(wrong).cast("int"))
 
-def markers(phrases: DataFrame) -> DataFrame:
-    """(doc_id, word_idx, ts) of phrases(doc_id, ord, words, phrase, timestamp); of one index the last ord wins."""
-    own = phrases.select("doc_id", "ord", only_place(F.col("words"), F.col("phrase")).cast("bigint").alias("word_idx"), T.seconds(F.col("timestamp")).alias("ts"))
+    # as a lambda's variable the places are looked for once
+    return F.get(F.transform(F.array(phrase_places(words, phrase)), only), F.lit(0))
+
+
+def markers(phrases: DataFrame, once: bool = False) -> DataFrame:
+    """(doc_id, word_idx, ts) of phrases(doc_id, ord, words, phrase, timestamp); of one index the last ord wins.
+
+    A phrase that does not stand exactly once is an error, or with once left out.
+    """
+    if once:  # a generator looks for the places once
+        own = phrases.select("doc_id", "ord", F.explode(F.array(phrase_places(F.col("words"), F.col("phrase")))).alias("_at"), "timestamp").where(F.size("_at") == 1)
+        own = own.select("doc_id", "ord", F.get("_at", F.lit(0)).cast("bigint").alias("word_idx"), T.seconds(F.col("timestamp")).alias("ts"))
+    else:
+        own = phrases.select("doc_id", "ord", only_place(F.col("words"), F.col("phrase")).cast("bigint").alias("word_idx"), T.seconds(F.col("timestamp")).alias("ts"))
     return own.groupBy("doc_id", "word_idx").agg(F.max_by("ts", "ord").alias("ts"))
 
 

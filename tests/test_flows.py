@@ -6,6 +6,7 @@ import random
 import pytest
 from cantolith.functions import fitting
 from cantolith.functions.text import similarity
+from cantolith.plans import registry
 from cantolith.operators import alignment, attempts, bands, matching, requests, sequences
 from cantolith.sources import files, readers
 from pyspark.sql import functions as F
@@ -147,6 +148,24 @@ def test_outcomes_equal_the_loop(spark):
         assert {x.item: (x.outcome, x.attempt, x.n_invalid) for x in attempts.outcome(df, most).collect()} == want
 
 
+def test_no_item_or_document_is_gathered(spark):
+    """Attempts pass in order; the lines of a return flag, a third of the table, are numbered by blocks."""
+    df = spark.createDataFrame([(1, 1, "valid")], "item long, attempt int, kind string")
+    assert "collect_list" not in attempts.outcome(df, 3)._jdf.queryExecution().toString()
+    plan = registry.QUERIES["low_alignment_runs"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number()" not in plan
+
+
+def test_markers_of_phrases_that_stand_once(spark):
+    """The others are left out; the places of a phrase are looked for once a row."""
+    rows = [(1, 1, ["a", "B", "c", "a"], "b c", "1:01"), (1, 2, ["a", "B", "c", "a"], "a", "2:01"), (1, 3, ["a", "B", "c", "a"], "B", "3:01"), (2, 1, [], "x", "1:01"), (2, 2, ["y"], "", "1:01")]
+    df = spark.createDataFrame(rows, "doc_id long, ord int, words array<string>, phrase string, timestamp string")
+    got = sequences.markers(df, once=True)
+    assert [tuple(r) for r in got.collect()] == [(1, 1, 181.0)]
+    plan = registry.QUERIES["marker_merge"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("flatten(") == 1
+
+
 def test_only_rejected_items_are_sent_again(spark):
     sent = []
 
