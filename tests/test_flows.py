@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from cantolith.functions import fitting
 from cantolith.functions.text import similarity
@@ -287,3 +288,17 @@ def test_words_of_lines(spark):
     assert rows() == [(1, 0, 0, "a"), (1, 1, 0, "b"), (1, 2, 2, "c"), (1, 3, 2, "d"), (1, 4, 2, "e"), (2, 0, 0, "x")]
     limit = spark.createDataFrame([(1, 3), (2, 0), (2, -1), (3, 5), (2, None)], "doc_id long, n long")
     assert rows(limit) == [(1, 0, 0, "a"), (1, 1, 0, "b"), (1, 2, 2, "c")]
+
+
+def test_aligned_documents_are_given_out_in_bounded_batches(monkeypatch):
+    """A batch of many documents comes out as several; none of its words is lost."""
+    monkeypatch.setattr(alignment, "ROWS", 10)
+    kind = pa.list_(pa.struct([("word", pa.string()), ("start_s", pa.float64()), ("end_s", pa.float64())]))
+    marks = pa.list_(pa.struct([("word_idx", pa.int64()), ("ts", pa.float64())]))
+    heard = [[{"word": w, "start_s": float(k), "end_s": k + 1.0} for k, w in enumerate("abc")], None, []] * 5
+    words = [list("abc"), list("ab"), None] * 5
+    batch = pa.record_batch([pa.array(range(15), pa.int64()), pa.array(heard, kind), pa.array(words, pa.list_(pa.string())), pa.array([None] * 15, marks)], ["doc_id", "heard", "words", "markers"])
+    out = list(alignment._documents(0.5, 5.0)(iter([batch])))
+    assert len(out) == 3 and max(b.num_rows for b in out) <= 12
+    rows = [tuple(r.values()) for b in out for r in b.to_pylist()]
+    assert rows == [(d, k, w, *((float(k), k + 1.0) if d % 3 == 0 else (None, None))) for d in range(15) for k, w in enumerate(words[d] or [])]
