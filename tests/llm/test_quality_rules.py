@@ -150,6 +150,25 @@ def test_model_is_pruned_to_a_bound(spark):
     assert size(Q.train(texts, most=2000)) <= 2000 < size(full)
 
 
+def test_results_do_not_depend_on_what_the_driver_holds(spark):
+    """Of languages in one, two and three bytes a character, with junk that no model has met: most bounds memory, not the model."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    r = np.random.default_rng(8)
+    other = [(9000 + i, " ".join("".join(r.choice(list(letters), 4)) for _ in range(200)), lang) for i in range(150) for lang, letters in [("ru", "абвгдежзик"), ("zh", "天地玄黄宇宙洪荒日月")]]
+    odd = [(None, "é \U0001f600 " * 30, "en"), (None, None, "zh"), (1, "", "xx"), *((-1 - i, " ".join(map(str, r.permutation(80))) + " #x" * 3, "en") for i in range(3))]
+    docs = docs.union(spark.createDataFrame([*other, *odd], "doc_id long, text string, lang string")).persist()
+    rows = lambda df: sorted((tuple(x) for x in df.collect()), key=repr)
+    want = rows(Q.quality_rules(docs))
+    size = sum(len(m.tables[-1][0]) for m in Q.train(docs.select(Q.language(Q.F.col("lang")).alias("lang"), "text")).values())
+    for most in (0, size // 20):
+        got = rows(Q.quality_rules(docs, most=most))
+        assert len(got) == len(want)
+        at = 1 + Q.NAMES.index("perplexity")
+        for g, w in zip(got, want, strict=True):
+            assert g[:at] + g[at + 1 :] == w[:at] + w[at + 1 :] and abs(g[at] - w[at]) <= 2e-6 * max(1, w[at]), (most, g, w)
+    docs.unpersist()
+
+
 def test_a_small_language_keeps_its_verdicts_beside_large_ones(spark):
     """Of a language with few of the n-grams the same texts go as where it stands alone, though the others lose many of theirs."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
