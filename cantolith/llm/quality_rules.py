@@ -527,16 +527,21 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     return verdicts(scored, find_bands(scored, lower, upper)).select(F.col("c0").alias(doc_id), *NAMES)
 
 
-def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = KEYS) -> DataFrame:
     """docs without the rows that quality_rules rejects.
 
     Null and empty texts go, as do all rows that fail the base rules; equal rows stay or go
     together; an empty table gives an empty result. All columns are carried, whatever their names.
     """
     d, t, x = numbered(docs), number(docs, text), number(docs, lang)
-    shared = trained(d, t, x)
-    bands = find_bands(scores(d, shared, [], t, x), LOWER, UPPER)
-    out = verdicts(scores(d, shared, d.columns, t, x), bands).where("kept")
+    shared, levels = _trained(d, t, x, most)
+    if levels:
+        scored = completed(scores(d, shared, d.columns, t, x, False), levels)
+        bands = find_bands(scored, LOWER, UPPER)
+    else:
+        scored = scores(d, shared, d.columns, t, x)
+        bands = find_bands(scores(d, shared, [], t, x), LOWER, UPPER)
+    out = verdicts(scored, bands).where("kept")
     return out.select(*d.columns).toDF(*docs.columns)
 
 

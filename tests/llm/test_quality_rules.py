@@ -159,6 +159,7 @@ def test_results_do_not_depend_on_what_the_driver_holds(spark):
     docs = docs.union(spark.createDataFrame([*other, *odd], "doc_id long, text string, lang string")).persist()
     rows = lambda df: sorted((tuple(x) for x in df.collect()), key=repr)
     want = rows(Q.quality_rules(docs))
+    good = rows(Q.keep_good(docs))
     size = sum(len(m.tables[-1][0]) for m in Q.train(docs.select(Q.language(Q.F.col("lang")).alias("lang"), "text")).values())
     for most in (0, size // 20):
         got = rows(Q.quality_rules(docs, most=most))
@@ -166,6 +167,7 @@ def test_results_do_not_depend_on_what_the_driver_holds(spark):
         at = 1 + Q.NAMES.index("perplexity")
         for g, w in zip(got, want, strict=True):
             assert g[:at] + g[at + 1 :] == w[:at] + w[at + 1 :] and abs(g[at] - w[at]) <= 2e-6 * max(1, w[at]), (most, g, w)
+        assert rows(Q.keep_good(docs, most=most)) == good
     docs.unpersist()
 
 
