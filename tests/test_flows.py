@@ -305,3 +305,23 @@ def test_aligned_documents_are_given_out_in_bounded_batches(monkeypatch):
     assert len(out) == 3 and max(b.num_rows for b in out) <= 12
     rows = [tuple(r.values()) for b in out for r in b.to_pylist()]
     assert rows == [(d, k, w, *((float(k), k + 1.0) if d % 3 == 0 else (None, None))) for d in range(15) for k, w in enumerate(words[d] or [])]
+
+
+def test_documents_aligned_together_equal_each_alone(monkeypatch):
+    """Of words short, long, empty and in letters that change their number in lower case; groups of one document, of some and of all."""
+    r = random.Random(7)
+    odd = ["", "a", "A", "ab", "ba", "İx", "ß", "\U0001f600q", "x" * 63, "x" * 64, "heaven", "haven", "seven"]
+    docs = []
+    for _ in range(150):
+        heard, words = ([r.choice(odd) for _ in range(r.randrange(12))] for _ in range(2))
+        starts = [r.choice([None, float(i), i + 0.25]) for i in range(len(heard))]
+        docs.append((heard, starts, [None if t is None else t + 1 for t in starts], words, {r.randrange(14): r.choice([1.0, 2.5, None]) for _ in range(r.randrange(4))}))
+    want = [alignment.align(list(zip(h, s, e, strict=True)), w, m, 0.3) for h, s, e, w, m in docs]
+    together = []
+    own = alignment._matched
+    monkeypatch.setattr(alignment, "_matched", lambda group: together.append(len(group)) or own(group))
+    for cells in (1, 1000, 1 << 19):
+        together.clear()
+        monkeypatch.setattr(alignment, "TOGETHER", cells)
+        assert alignment.align_many(docs, 0.3) == want
+        assert (len(together) == 1) == (cells == 1 << 19) and (max(together) == 1) == (cells == 1)
