@@ -13,7 +13,7 @@ from cantolith.operators import alignment, attempts, bands, matching, quality, r
 from cantolith.operators.scan import Fold, places, scan
 from cantolith.plans.more import alignment_sql
 from cantolith.plans.registry import SECONDS, query
-from cantolith.session import scratch, table
+from cantolith.session import cut, scratch, table
 from cantolith.sources import files, readers, sinks
 from cantolith.streaming import clamp
 
@@ -81,9 +81,9 @@ def written_images(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part").select("p_partkey", F.concat("p_brand", F.lit(".png")).alias("brand"), F.encode(F.concat_ws("/", "p_name", F.col("p_partkey").cast("string")), "UTF-8").alias("bytes"))
     path = scratch(spark)
     files.register(spark)
-    matching.free_names(p, "brand", "p_partkey", "name").select("name", "bytes").write.format("named_files").mode("append").save(path)
-    got = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").load(path)
-    return got.select(F.url_decode(F.regexp_extract("path", r"([^/]*)$", 1)).alias("name"), "length", F.decode("content", "UTF-8").alias("text"))
+    own = cut(matching.free_names(p, "brand", "p_partkey", "name").select("name", "bytes"))
+    files.dealt(own, "name").write.format("named_files").mode("append").save(path)
+    return cut(files.contents(own, path).select("name", "length", F.decode("content", "UTF-8").alias("text")))
 
 
 _SENT = """t AS (SELECT o_orderkey AS item, CAST(unnest(range(1, 13)) AS INTEGER) AS attempt FROM orders),

@@ -11,7 +11,8 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 DONE = "_SUCCESS"
@@ -25,9 +26,9 @@ def store(path: str) -> tuple[fs.FileSystem, str]:
 
 @dataclass
 class Written(WriterCommitMessage):
-    """Files that a task has written."""
+    """How many files a task has written; their names, which may be millions, stay there."""
 
-    names: list[str]
+    number: int
 
 
 class NamedFiles(DataSource):
@@ -63,7 +64,7 @@ class _FileWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         own, at = store(self.path)
-        names, part = [], f"{at}/.{uuid.uuid4().hex}"
+        number, part = 0, f"{at}/.{uuid.uuid4().hex}"
         try:
             for batch in iterator:
                 for name, data in zip(batch.column("name"), batch.column("bytes"), strict=True):
@@ -73,12 +74,12 @@ class _FileWriter(DataSourceArrowWriter):
                     with own.open_output_stream(part) as out:
                         out.write(data.as_buffer() if data.is_valid else b"")
                     own.move(part, f"{at}/{name}")
-                    names.append(name)
+                    number += 1
         except BaseException:
             if own.get_file_info(part).type != fs.FileType.NotFound:
                 own.delete_file(part)
             raise
-        return Written(names)
+        return Written(number)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         own, at = store(self.path)
@@ -165,6 +166,32 @@ class _PageReader(DataSourceReader):
             yield cursor // partition.step, self.source.answer(cursor)
 
 
+def dealt(df: DataFrame, name: str) -> DataFrame:
+    """df by a hash of its files' names, over as many tasks as the session has for a shuffle: small rows are merged to few, though each is a file."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(name))
+
+
+def contents(names: DataFrame, path: str) -> DataFrame:
+    """(name, length, content) of the files of a folder that names(name) holds.
+
+    Executors open each by its name; nobody lists the folder, which takes a driver as long and as much memory as
+    it has files, and Spark's readers plan a task for every few of them. A file that is missing fails the task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, at = store(path)
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                few = batch.column(0).slice(k, 512)
+                data = []
+                for name in few.to_pylist():
+                    with own.open_input_stream(f"{at}/{name}") as f:
+                        data.append(f.read())
+                yield pa.record_batch([few, pa.array([len(x) for x in data], pa.int64()), pa.array(data, pa.binary())], ["name", "length", "content"])
+
+    return dealt(names.select("name"), "name").mapInArrow(run, "name string, length long, content binary")
+
+
 def register(spark: SparkSession) -> SparkSession:
     """Makes both known to the session."""
     for source in (NamedFiles, CursorPages):

@@ -325,3 +325,26 @@ def test_documents_aligned_together_equal_each_alone(monkeypatch):
         monkeypatch.setattr(alignment, "TOGETHER", cells)
         assert alignment.align_many(docs, 0.3) == want
         assert (len(together) == 1) == (cells == 1 << 19) and (max(together) == 1) == (cells == 1)
+
+
+def test_written_images_are_read_by_name(spark, monkeypatch):
+    """Nobody lists the folder, and files are dealt over the tasks of a shuffle, however small they are; a missing one is told."""
+    from pyspark.sql.readwriter import DataFrameReader
+
+    asked, own = [], DataFrameReader.format
+    monkeypatch.setattr(DataFrameReader, "format", lambda self, source: asked.append(source) or own(self, source))
+    got = registry.QUERIES["written_images"](spark, "/root/testdata/sf0.001")
+    assert got.count() == got.select("name").distinct().count() == spark.read.parquet("/root/testdata/sf0.001/part.parquet").count()
+    assert "binaryFile" not in asked
+
+
+def test_contents_of_named_files(spark, tmp_path):
+    data = {"a b.png": b"x", "\u00e9%20.png": b"", "#1.png": bytes(range(256)), "k": b"y" * 70000}
+    for name, x in data.items():
+        (tmp_path / name).write_bytes(x)
+    names = lambda some: spark.createDataFrame([(x,) for x in some], "name string").coalesce(1)
+    got = files.contents(names(data), str(tmp_path))
+    assert {r.name: (r.length, bytes(r.content)) for r in got.collect()} == {k: (len(x), x) for k, x in data.items()}
+    assert got.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with pytest.raises(Exception, match="FileNotFound"):
+        files.contents(names([*data, "none"]), str(tmp_path)).collect()
