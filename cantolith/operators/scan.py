@@ -51,23 +51,26 @@ class Fold:
         return F.greatest(earlier, later) if self.kind == "max" else F.coalesce(later, earlier)
 
 
-def places(order: str, size: int = BLOCK) -> Column:
-    """Blocks of an order of whole numbers."""
-    return F.floor(F.col(order) / size).cast("bigint")
+def places(order: str, size: int | str = BLOCK) -> Column | str:
+    """Blocks of an order of whole numbers; the name of a column that holds blocks stands for itself."""
+    return size if isinstance(size, str) else F.floor(F.col(order) / size).cast("bigint")
 
 
-def scan(df: DataFrame, by: str, order: list[str], block: Column, **folds: Fold) -> DataFrame:
+def scan(df: DataFrame, by: str, order: list[str], block: Column | str, deal: bool = False, **folds: Fold) -> DataFrame:
     """df with a column for each fold, over the rows of by in order.
 
-    block must rise with the order. Sums of floating numbers are added up by blocks. Rows with a null
-    key are folded by block alone; columns starting with _ are the scan's own.
+    block must rise with the order. The column of a name stays in the rows; with deal they are shuffled by
+    (by, block) once, however small the states, and a later scan by the same column shuffles none of them. Sums
+    of floating numbers are added up by blocks. Rows with a null key are folded by block alone; columns starting
+    with _ are the scan's own.
     """
-    own = df.withColumn("_b", block).withColumns({f"_v_{n}": f.value for n, f in folds.items()})
+    b = block if isinstance(block, str) else "_b"
+    own = (df if isinstance(block, str) else df.withColumn(b, block)).withColumns({f"_v_{n}": f.value for n, f in folds.items()})
     at = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    states = own.where(F.col(by).isNotNull()).groupBy(by, "_b").agg(*(f.state(f"_v_{n}", at).alias(f"_v_{n}") for n, f in folds.items()))
-    left = states.select(by, "_b", *(f.over(f"_v_{n}", [by], ["_b"], False).alias(f"_c_{n}") for n, f in folds.items()))
-    local = own.withColumns({n: f.over(f"_v_{n}", [by, "_b"], order, f.own) for n, f in folds.items()})
-    out = local.join(left, [by, "_b"], "left").withColumns({n: f.joined(F.col(f"_c_{n}"), F.col(n)) for n, f in folds.items()})
+    states = own.where(F.col(by).isNotNull()).groupBy(by, b).agg(*(f.state(f"_v_{n}", at).alias(f"_v_{n}") for n, f in folds.items()))
+    left = states.select(by, b, *(f.over(f"_v_{n}", [by], [b], False).alias(f"_c_{n}") for n, f in folds.items()))
+    local = (own.repartition(by, b) if deal else own).withColumns({n: f.over(f"_v_{n}", [by, b], order, f.own) for n, f in folds.items()})
+    out = local.join(left, [by, b], "left").withColumns({n: f.joined(F.col(f"_c_{n}"), F.col(n)) for n, f in folds.items()})
     return out.select(*df.columns, *folds)
 
 

@@ -100,10 +100,11 @@ def active(ticks: DataFrame, words: DataFrame, tolerance: float, bucket: float,
 
 
 def active_runs(totals: DataFrame, words: DataFrame, step: float, tolerance: float, block: int = BLOCK) -> DataFrame:
-    """(doc_id, tick, until, word_idx): active() over grid(totals, step), as runs [tick, until) of ticks with one value.
+    """(doc_id, tick, until, word_idx, block): active() over grid(totals, step), as runs [tick, until) of ticks with one value.
 
     Only ticks at which something changes are shuffled and scanned: those inside a word, the first one at or after
-    an end, and 0. Repairs of frames hold for runs as well; ticks() gives the grid at last.
+    an end, and 0, which brings the grid's end to the others. Repairs of frames hold for runs as well, by the same
+    blocks (block="block") without a shuffle of them; ticks() gives the grid at last. Words of no document are in no grid.
     """
     step = float(step)
     from_ = lambda x, k: F.when((k - 1) * step >= x, k - 1).when(k * step < x, k + 1).otherwise(k)  # noqa: E731  quotients are rounded
@@ -118,19 +119,18 @@ def active_runs(totals: DataFrame, words: DataFrame, step: float, tolerance: flo
     ended = F.when(F.col("end_s").isNotNull(), F.array(F.greatest(F.lit(0).cast("bigint"), first(F.col("end_s"))))).otherwise(none)
     empty = F.when(F.lit(False), at)
     both = F.concat(F.transform(inside, lambda k: mark(k, F.col("word_idx").cast("bigint"), empty)), F.transform(ended, lambda k: mark(k, no, at)))
-    marks = words.select("doc_id", F.explode(both).alias("x")).select("doc_id", "x.*")
-    ends = totals.where(F.col("total_s") > 0).select("doc_id", F.ceil(F.col("total_s") / step).cast("bigint").alias("_n"))
-    marks = marks.unionByName(ends.select("doc_id", F.lit(0).cast("bigint").alias("tick"), no.alias("_in"), F.lit(None).cast(marks.schema["_w"].dataType).alias("_w")))
-    marks = marks.groupBy("doc_id", "tick").agg(F.min("_in").alias("_in"), F.max("_w").alias("_w"))
-    marks = scan(marks, "doc_id", ["tick"], places("tick", block), _before=Fold("last", F.col("_w")), _next=Fold("last", F.col("tick"), back=True, own=False))
-    marks = marks.join(ends, "doc_id").where("tick < _n").withColumn("until", F.least("_next", "_n"))
+    marks = words.where("doc_id is not null").select("doc_id", F.explode(both).alias("x")).select("doc_id", "x.*", no.alias("_n"))
+    ends = totals.where("doc_id is not null and total_s > 0").select("doc_id", F.lit(0).cast("bigint").alias("tick"), no.alias("_in"), F.lit(None).cast(marks.schema["_w"].dataType).alias("_w"), F.ceil(F.col("total_s") / step).cast("bigint").alias("_n"))
+    marks = marks.unionByName(ends).groupBy("doc_id", "tick").agg(F.min("_in").alias("_in"), F.max("_w").alias("_w"), F.max("_n").alias("_n")).withColumn("block", places("tick", block))
+    marks = scan(marks, "doc_id", ["tick"], "block", deal=True, _before=Fold("last", F.col("_w")), _next=Fold("last", F.col("tick"), back=True, own=False), _end=Fold("last", F.col("_n")))
+    marks = marks.where("tick < _end").withColumn("until", F.least("_next", "_end"))
     e = F.col("_before.e")
     far = F.greatest("tick", F.least("until", F.coalesce(over(e, F.floor((e + tolerance) / step).cast("bigint") + 1), F.col("tick"))))
     rest = F.when(F.col("_in").isNotNull(), F.col("tick") + 1).otherwise(F.col("tick"))
     run = lambda low, high, value: F.struct(low.alias("tick"), high.alias("until"), value.alias("word_idx"))
-    marks = marks.select("doc_id", "tick", "until", "_in", rest.alias("_rest"), far.alias("_far"), (-F.col("_before.i")).alias("_i"))
+    marks = marks.select("doc_id", "block", "tick", "until", "_in", rest.alias("_rest"), far.alias("_far"), (-F.col("_before.i")).alias("_i"))
     three = F.array(run(F.col("tick"), F.col("_rest"), F.col("_in")), run(F.col("_rest"), F.col("_far"), F.col("_i")), run(F.greatest("_far", "_rest"), F.col("until"), no))
-    return marks.select("doc_id", F.explode(three).alias("x")).select("doc_id", "x.*").where("tick < until")
+    return marks.select("doc_id", "block", F.explode(three).alias("x")).select("doc_id", "x.*", "block").where("tick < until")
 
 
 def ticks(runs: DataFrame, step: float) -> DataFrame:
@@ -139,19 +139,19 @@ def ticks(runs: DataFrame, step: float) -> DataFrame:
     return each.select("doc_id", "tick", (F.col("tick") * F.lit(float(step))).alias("t_s"), "word_idx")
 
 
-def monotonic_frames(frames: DataFrame, order: DataFrame | None = None, at: str = "word_idx", block: int = BLOCK) -> DataFrame:
+def monotonic_frames(frames: DataFrame, order: DataFrame | None = None, at: str = "word_idx", block: int | str = BLOCK) -> DataFrame:
     """Of a document's ticks, one that goes back in the order takes the last valid one; nulls stay.
 
     order(at, pos) places the values; without it they are their own places. A value that is not
-    in the order has place -1.
+    in the order has place -1. block is a number of ticks, or the name of a column of blocks.
     """
     df = frames.withColumn("_pos", F.col(at)) if order is None else frames.join(order.select(at, F.col("pos").alias("_pos")), at, "left").withColumn("_pos", F.coalesce("_pos", F.lit(-1)))
     out = scan(df, "doc_id", ["tick"], places("tick", block), _best=Fold("max", F.when(F.col(at).isNotNull(), F.struct("_pos", at))))
     return out.withColumn(at, F.when(F.col(at).isNotNull(), F.col(f"_best.{at}"))).drop("_pos", "_best")
 
 
-def fill_between(frames: DataFrame, at: str = "word_idx", block: int = BLOCK) -> DataFrame:
-    """Nulls between two equal values take that value."""
+def fill_between(frames: DataFrame, at: str = "word_idx", block: int | str = BLOCK) -> DataFrame:
+    """Nulls between two equal values take that value; block as in monotonic_frames."""
     df = scan(frames, "doc_id", ["tick"], places("tick", block), _p=Fold("last", F.col(at)), _n=Fold("last", F.col(at), back=True))
     return df.withColumn(at, F.coalesce(F.col(at), F.when(F.col("_p") == F.col("_n"), F.col("_p")))).drop("_p", "_n")
 

@@ -95,6 +95,42 @@ def test_active_runs_equal_active(spark, block, step):
     assert sorted(map(tuple, timeline.ticks(repaired(runs), step).collect()), key=str) == sorted(map(tuple, repaired(want).collect()), key=str)
 
 
+@pytest.mark.parametrize("block", [2, 1 << 14])
+def test_repairs_by_the_runs_own_blocks(spark, block):
+    """The column of blocks gives what blocks of ticks give; words of no document and totals of none make no run."""
+    rows = [(d or None, k, w, a, b) for d, k, w, a, b in words(5)]
+    totals = spark.createDataFrame([(d or None, float(4 * d + 4)) for d in range(24)], "doc_id long, total_s double")
+    runs = timeline.active_runs(totals, spark.createDataFrame(rows, WORDS), 2.5, 4.0, block)
+    own = timeline.fill_between(timeline.monotonic_frames(runs, block="block"), block="block")
+    want = timeline.fill_between(timeline.monotonic_frames(runs))
+    got = sorted(map(tuple, own.collect()), key=str)
+    assert got == sorted(map(tuple, want.collect()), key=str) and len(got) > 50 and all(x[0] for x in got)
+
+
+@pytest.mark.parametrize("name", ["timeline_monotonic", "time_grid_active"])
+def test_marks_of_a_grid_are_shuffled_once(spark, name):
+    """Events by document and marks by document and block, each once, whether states are broadcast or joined."""
+    from cantolith.plans import registry
+
+    sc = spark.sparkContext._jsc.sc()
+
+    def shuffled(threshold):
+        stages = lambda: (sc.listenerBus().waitUntilEmpty(), sc.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None))[1]
+        seen = stages()
+        last = max((seen.apply(k).stageId() for k in range(seen.size())), default=-1)
+        held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            registry.QUERIES[name](spark, "/root/testdata/sf0.01").write.format("noop").mode("overwrite").save()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+        new = stages()
+        return sum(new.apply(k).shuffleWriteRecords() for k in range(new.size()) if new.apply(k).stageId() > last)
+
+    few, many = shuffled("10MB"), shuffled("-1")
+    assert 10_000 < few <= many < 1.1 * few, (few, many)
+
+
 def test_frames(spark):
     frames = lambda x: spark.createDataFrame([(1, k, v) for k, v in enumerate(x)], "doc_id long, tick long, word_idx long")
     out = lambda df: [r.word_idx for r in df.orderBy("tick").collect()]
